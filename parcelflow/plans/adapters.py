@@ -35,23 +35,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- codes ----
 
+def dep_of_index(m: int) -> str:
+    """dep() of the rule above for m = k mod 101 (plain Python)."""
+    if m < 19:
+        return f"{m + 1:02d}"
+    if m in (19, 20):
+        return "2A" if m == 19 else "2B"
+    if m <= 95:
+        return str(m)
+    return str(m + 875) if m <= 99 else "976"
+
+
+# generated from the rule, index m = k mod 101
+DEP_BY_INDEX = tuple(dep_of_index(m) for m in range(101))
+
+
 def dep_code(k: Column) -> Column:
-    m = F.pmod(k, F.lit(101))
-    return (
-        F.when(m < 19, F.lpad((m + 1).cast("string"), 2, "0"))
-        .when(m == 19, F.lit("2A"))
-        .when(m == 20, F.lit("2B"))
-        .when(m <= 95, m.cast("string"))
-        .when(m <= 99, (m + 875).cast("string"))
-        .otherwise(F.lit("976"))
-    )
+    return F.element_at(F.array(*[F.lit(d) for d in DEP_BY_INDEX]), (F.pmod(k, F.lit(101)) + 1).cast("int"))
 
 
 def commune_code(k: Column) -> Column:
-    d = dep_code(k)
-    n = F.floor(k / 101).cast("bigint")
-    return F.when(F.length(d) == 2, F.concat(d, F.lpad(F.pmod(n, F.lit(1000)).cast("string"), 3, "0"))) \
-        .otherwise(F.concat(d, F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")))
+    n = F.floor(k / 101)
+    suffix = F.when(F.pmod(k, F.lit(101)) >= 96, F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")) \
+        .otherwise(F.lpad(F.pmod(n, F.lit(1000)).cast("string"), 3, "0"))
+    return F.concat(dep_code(k), suffix)
 
 
 def ck(x: Column) -> Column:
@@ -134,21 +141,9 @@ def _two_letters_sql(k: str) -> str:
 
 # --------------------------------------------------------------- layers ----
 
-def code_dimension(spark: SparkSession) -> DataFrame:
-    """Commune index -> (département, commune code), for all 10,100 indexes.
-
-    A fixed-size dimension (bounded by N_COMMUNE_KEYS, independent of the
-    data), joined by broadcast: layer rows then carry ``commune`` as a plain
-    column, as real layer files do, instead of a long derived expression
-    that Catalyst would inline into every pushed-down predicate.
-    """
-    k = F.col("id")
-    return spark.range(N_COMMUNE_KEYS).select(
-        k.alias("_k"), dep_code(k).alias("_dep"), commune_code(k).alias("_com"))
-
-
 def _with_codes(df: DataFrame, k: Column) -> DataFrame:
-    return df.withColumn("_k", k).join(F.broadcast(code_dimension(df.sparkSession)), "_k")
+    """Stage commune index and commune code as columns of the layer rows."""
+    return df.withColumn("_k", k).withColumn("_com", commune_code(F.col("_k")))
 
 
 def _parcel_id() -> Column:
@@ -265,3 +260,88 @@ def layer_sql(name: str) -> str:
                 f"l_returnflag AS lettre, {_dates_sql('l_orderkey')}, "
                 f"{child_bbox_sql(ck_sql('l_partkey'), 'l_orderkey')} FROM lineitem WHERE l_linenumber <= 2")
     raise ValueError(f"unknown layer {name!r}")
+
+
+# ------------------------------------------------ manifest, log, files ----
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, format, millesime, source): every 10th format and every
+    13th source blank; even pages 'shp', odd pages 'edigeo'."""
+    pid = F.col("page_id")
+    return table(spark, sf_dir, "pages").select(
+        pid,
+        F.when(F.pmod(pid, F.lit(10)) == 0, F.lit("")).when(F.pmod(pid, F.lit(2)) == 0, F.lit("shp"))
+        .otherwise(F.lit("edigeo")).alias("format"),
+        F.lit(S.DEFAULT_MILLESIME).alias("millesime"),
+        F.when(F.pmod(pid, F.lit(13)) == 0, F.lit("")).otherwise(F.col("url")).alias("source"))
+
+
+MANIFEST_SQL = (f"SELECT page_id, CASE WHEN page_id % 10 = 0 THEN '' WHEN page_id % 2 = 0 THEN 'shp' "
+                f"ELSE 'edigeo' END AS format, '{S.DEFAULT_MILLESIME}' AS millesime, "
+                f"CASE WHEN page_id % 13 = 0 THEN '' ELSE url END AS source FROM pages")
+
+
+def download_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").where(F.pmod(F.col("page_id"), F.lit(3)) == 0).select("url")
+
+
+LOG_SQL = "SELECT url FROM pages WHERE page_id % 3 = 0"
+
+MIRROR_ROOT = "/mirror"
+MIRROR_DIR = MIRROR_ROOT + "/files.example.org/shp/departements/"
+FILE_KINDS = S.LAYERS + ("other",)
+
+
+def _file_stem(k: Column, cust: Column) -> Column:
+    d = dep_code(cust)
+    name = F.element_at(F.array(*[F.lit(n) for n in FILE_KINDS]), (F.pmod(k, F.lit(9)) + 1).cast("int"))
+    return F.concat(F.lit(MIRROR_DIR), d, F.lit("/cadastre-"), d, F.lit("-"), name, F.lit("-"), k.cast("string"))
+
+
+def _file_stem_sql() -> str:
+    d = dep_sql("o_custkey")
+    kinds = "[" + ", ".join(f"'{n}'" for n in FILE_KINDS) + "]"
+    return (f"'{MIRROR_DIR}' || {d} || '/cadastre-' || {d} || '-' || {kinds}[o_orderkey % 9 + 1] "
+            f"|| '-' || CAST(o_orderkey AS VARCHAR)")
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror tree listing shaped like the ``binaryFile`` source
+    (path, modificationTime, length): one shapefile per order (``.SHP`` for
+    odd keys), empty when key mod 11 = 0; a ``.cpg`` sidecar when key mod
+    4 = 0; a converted ``.parquet`` twin when key mod 6 = 0."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(
+        k, _file_stem(k, F.col("o_custkey")).alias("_stem"),
+        F.col("o_orderdate").alias("modificationTime"),
+        F.when(F.pmod(k, F.lit(11)) == 0, F.lit(0)).otherwise(F.floor("o_totalprice")).cast("bigint").alias("_len"))
+    shp = o.select(F.concat("_stem", F.when(F.pmod(k, F.lit(2)) == 1, F.lit(".SHP")).otherwise(F.lit(".shp")))
+                   .alias("path"), "modificationTime", F.col("_len").alias("length"))
+    cpg = o.where(F.pmod(k, F.lit(4)) == 0).select(
+        F.concat("_stem", F.lit(".cpg")).alias("path"), "modificationTime", F.lit(5).cast("bigint").alias("length"))
+    pq = o.where(F.pmod(k, F.lit(6)) == 0).select(
+        F.concat("_stem", F.lit(".parquet")).alias("path"), "modificationTime", (F.col("_len") * 2).alias("length"))
+    return shp.unionByName(cpg).unionByName(pq)
+
+
+def file_listing_sql() -> str:
+    st = _file_stem_sql()
+    ln = "CAST(CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE floor(o_totalprice) END AS BIGINT)"
+    return (f"SELECT {st} || CASE WHEN o_orderkey % 2 = 1 THEN '.SHP' ELSE '.shp' END AS path, "
+            f"o_orderdate AS \"modificationTime\", {ln} AS length FROM orders "
+            f"UNION ALL SELECT {st} || '.cpg', o_orderdate, CAST(5 AS BIGINT) FROM orders WHERE o_orderkey % 4 = 0 "
+            f"UNION ALL SELECT {st} || '.parquet', o_orderdate, {ln} * 2 FROM orders WHERE o_orderkey % 6 = 0")
+
+
+def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst) over part keys: k div 3 -> k unless k mod 5 = 0, plus
+    back edges k -> k div 3 when k mod 4 = 0.  Has cycles."""
+    k = F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    fwd = part.where(F.pmod(k, F.lit(5)) != 0).select(F.floor(k / 3).cast("bigint").alias("src"), k.alias("dst"))
+    back = part.where(F.pmod(k, F.lit(4)) == 0).select(k.alias("src"), F.floor(k / 3).cast("bigint").alias("dst"))
+    return fwd.unionByName(back)
+
+
+LINK_EDGES_SQL = ("SELECT p_partkey // 3 AS src, p_partkey AS dst FROM part WHERE p_partkey % 5 <> 0 "
+                  "UNION ALL SELECT p_partkey AS src, p_partkey // 3 AS dst FROM part WHERE p_partkey % 4 = 0")

@@ -271,3 +271,176 @@ EXTENTS_SQL = ("SELECT CAST(n_nationkey AS BIGINT) AS extent_id, CAST((n_nationk
           f"AND f.geom_srid = e.srid WHERE f.lot IS NOT NULL")
 def q_extract_many_extents(spark, sf_dir):
     return flat(extract.extract_many_extents(published(spark, sf_dir), extents(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ manifest ----
+
+from ..functions import urls as U  # noqa: E402
+from ..operators import inventory, links, manifest  # noqa: E402
+
+
+def lit_sql(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def basename_sql(url: str) -> str:
+    return f"regexp_extract(regexp_extract({url}, {lit_sql(U.PATH_RE)}, 1), '([^/]*)$', 1)"
+
+
+def normalize_sql(u: str) -> str:
+    return (f"CASE WHEN NOT ends_with({u}, '/') AND NOT contains({basename_sql(u)}, '.') "
+            f"THEN {u} || '/' ELSE {u} END")
+
+
+MANIFEST_CLEAN_SQL = (f"SELECT page_id, trim(coalesce(format, '')) AS format, "
+                      f"trim(coalesce(millesime, 'inconnu')) AS millesime, trim(coalesce(source, '')) AS source "
+                      f"FROM ({A.MANIFEST_SQL})")
+MANIFEST_URL_SQL = (f"SELECT *, CASE WHEN length(source) > 0 THEN {normalize_sql('source')} END AS url "
+                    f"FROM ({MANIFEST_CLEAN_SQL})")
+FORMAT_FILTER = "shp"
+
+
+def _outcome_sql(with_log: bool) -> str:
+    skipped = "WHEN url IN (SELECT url FROM log_urls) THEN 'skipped' " if with_log else ""
+    return (f"CASE WHEN length(source) = 0 THEN 'missing_url' WHEN format != '{FORMAT_FILTER}' THEN 'filtered' "
+            f"{skipped}ELSE 'planned' END")
+
+
+_LOG_CTE = f"WITH log_urls AS ({A.LOG_SQL}) "
+
+
+@register("manifest_plan", f"SELECT *, {_outcome_sql(False)} AS outcome FROM ({MANIFEST_URL_SQL})")
+def q_manifest_plan(spark, sf_dir):
+    return manifest.plan_manifest(A.manifest(spark, sf_dir), FORMAT_FILTER)
+
+
+@register("manifest_resume",
+          f"{_LOG_CTE}SELECT * FROM ({MANIFEST_URL_SQL}) m WHERE length(source) > 0 "
+          f"AND format = '{FORMAT_FILTER}' AND NOT EXISTS (SELECT 1 FROM log_urls l WHERE l.url = m.url)")
+def q_manifest_resume(spark, sf_dir):
+    return manifest.resume_worklist(A.manifest(spark, sf_dir), A.download_log(spark, sf_dir), FORMAT_FILTER)
+
+
+@register("manifest_outcomes",
+          f"{_LOG_CTE}SELECT outcome, count(*) AS n FROM (SELECT {_outcome_sql(True)} AS outcome "
+          f"FROM ({MANIFEST_URL_SQL})) GROUP BY outcome")
+def q_manifest_outcomes(spark, sf_dir):
+    plan = manifest.plan_manifest(A.manifest(spark, sf_dir), FORMAT_FILTER, A.download_log(spark, sf_dir))
+    return manifest.outcome_counts(plan)
+
+
+@register("manifest_formats",
+          f"SELECT DISTINCT trim(format) AS format FROM ({A.MANIFEST_SQL}) WHERE length(trim(format)) > 0")
+def q_manifest_formats(spark, sf_dir):
+    return manifest.manifest_formats(A.manifest(spark, sf_dir))
+
+
+@register("log_rebuild",
+          f"SELECT 'https://' || split_part(rel, '/', 1) || '/' || substr(rel, strpos(rel, '/') + 1) AS url "
+          f"FROM (SELECT substr(path, {len(A.MIRROR_ROOT) + 2}) AS rel, length FROM ({A.file_listing_sql()})) "
+          f"WHERE length > 0 AND contains(rel, '/')")
+def q_log_rebuild(spark, sf_dir):
+    return manifest.rebuild_log(A.file_listing(spark, sf_dir), A.MIRROR_ROOT)
+
+
+# ----------------------------------------------------------- inventory ----
+
+def _layer_of_sql(path: str) -> str:
+    name = f"lower(regexp_extract({path}, '([^/\\\\]*)$', 1))"
+    return "CASE " + " ".join(f"WHEN contains({name}, '{n}') THEN '{n}'" for n in S.LAYERS) + " END"
+
+
+_LISTING_SQL = A.file_listing_sql()
+_SHP_SQL = f"SELECT * FROM ({_LISTING_SQL}) WHERE ends_with(lower(path), '.shp')"
+
+
+def _stem_sql(path: str) -> str:
+    return f"regexp_replace({path}, '\\.[^./\\\\]*$', '')"
+
+
+@register("file_inventory",
+          f"SELECT ym, layer, count(*) AS n_files, CAST(sum(length) AS BIGINT) AS total_bytes FROM ("
+          f"SELECT strftime(\"modificationTime\", '%Y_%m') AS ym, {_layer_of_sql('path')} AS layer, length "
+          f"FROM ({_SHP_SQL})) WHERE layer IS NOT NULL GROUP BY ym, layer")
+def q_file_inventory(spark, sf_dir):
+    return inventory.layer_inventory(A.file_listing(spark, sf_dir))
+
+
+@register("missing_sidecars",
+          f"SELECT path FROM ({_SHP_SQL}) s WHERE NOT EXISTS (SELECT 1 FROM ({_LISTING_SQL}) c "
+          f"WHERE ends_with(lower(c.path), '.cpg') AND {_stem_sql('c.path')} = {_stem_sql('s.path')})")
+def q_missing_sidecars(spark, sf_dir):
+    return inventory.missing_sidecars(A.file_listing(spark, sf_dir))
+
+
+@register("sidecar_counts",
+          f"SELECT count(*) AS n_shapefiles, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM ({_LISTING_SQL}) c "
+          f"WHERE ends_with(lower(c.path), '.cpg') AND {_stem_sql('c.path')} = {_stem_sql('s.path')})) AS n_to_create "
+          f"FROM ({_SHP_SQL}) s")
+def q_sidecar_counts(spark, sf_dir):
+    return inventory.sidecar_counts(A.file_listing(spark, sf_dir))
+
+
+@register("conversion_plan",
+          f"SELECT path, CASE WHEN EXISTS (SELECT 1 FROM ({_LISTING_SQL}) p WHERE ends_with(lower(p.path), '.parquet') "
+          f"AND {_stem_sql('p.path')} = {_stem_sql('s.path')}) THEN 'skipped' ELSE 'to_convert' END AS outcome "
+          f"FROM ({_SHP_SQL}) s")
+def q_conversion_plan(spark, sf_dir):
+    return inventory.conversion_plan(A.file_listing(spark, sf_dir))
+
+
+# --------------------------------------------------------------- links ----
+
+_HREFS_SQL = (f"SELECT page_id, url, list_transform(regexp_extract_all(regexp_replace(regexp_replace(html, "
+              f"{lit_sql(U.COMMENT_RE)}, '', 'g'), {lit_sql(U.SCRIPT_RE)}, '', 'g'), {lit_sql(U.ANCHOR_HREF_RE)}, 1), "
+              f"lambda h: replace(h, '&amp;', '&')) AS hrefs FROM pages")
+
+
+def _followable_sql(h: str) -> str:
+    return (f"({h} <> '' AND NOT starts_with({h}, 'http') AND NOT starts_with({h}, '#') "
+            f"AND NOT starts_with({h}, 'javascript:'))")
+
+
+def _dots_sql(p: str, rounds: int = 4) -> str:
+    out = f"regexp_replace({p}, '/\\./', '/', 'g')"
+    for _ in range(rounds):
+        out = f"regexp_replace({out}, '/[^/]+/\\.\\./', '/')"
+    return out
+
+
+def _resolve_sql(base: str, h: str) -> str:
+    scheme = f"regexp_extract({base}, {lit_sql(U.SCHEME_RE)}, 1)"
+    netloc = f"regexp_extract({base}, {lit_sql(U.NETLOC_RE)}, 1)"
+    bpath = f"regexp_extract({base}, {lit_sql(U.PATH_RE)}, 1)"
+    hpath = f"regexp_extract({h}, '^([^?#]*)', 1)"
+    rest = f"regexp_extract({h}, '^[^?#]*(.*)$', 1)"
+    origin = f"{scheme} || '://' || {netloc}"
+    bdir = f"regexp_extract({bpath}, '^(.*/)', 1)"
+    base_dir = f"(CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END)"
+    return (f"CASE WHEN regexp_matches({h}, {lit_sql(U.SCHEME_RE)}) THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+            f"WHEN starts_with({hpath}, '/') THEN {origin} || {_dots_sql(hpath)} || {rest} "
+            f"ELSE {origin} || {_dots_sql(base_dir + ' || ' + hpath)} || {rest} END")
+
+
+@register("page_links",
+          f"SELECT page_id, url, pos, href, {_resolve_sql('url', 'href')} AS link FROM ("
+          f"SELECT page_id, url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM ({_HREFS_SQL})) "
+          f"WHERE {_followable_sql('href')} AND href NOT IN ('../', './', '/')")
+def q_page_links(spark, sf_dir):
+    return links.page_links(A.table(spark, sf_dir, "pages"))
+
+
+@register("directory_pages",
+          f"SELECT page_id, url FROM ({_HREFS_SQL}) WHERE ends_with(url, '/') AND "
+          f"len(list_filter(hrefs, lambda h: {_followable_sql('h')} AND (ends_with(h, '/') OR contains(h, '.')))) > 0")
+def q_directory_pages(spark, sf_dir):
+    return links.directory_pages(A.table(spark, sf_dir, "pages"))
+
+
+@register("reachable_files",
+          f"WITH RECURSIVE edges AS ({A.LINK_EDGES_SQL}), r(node) AS (SELECT CAST(0 AS BIGINT) UNION "
+          f"SELECT e.dst FROM r JOIN edges e ON e.src = r.node) SELECT node FROM r")
+def q_reachable_files(spark, sf_dir):
+    seeds = spark.range(1).select(F.col("id").alias("node"))
+    return links.reachable(A.link_edges(spark, sf_dir), seeds).select("node")
