@@ -444,3 +444,30 @@ def q_directory_pages(spark, sf_dir):
 def q_reachable_files(spark, sf_dir):
     seeds = spark.range(1).select(F.col("id").alias("node"))
     return links.reachable(A.link_edges(spark, sf_dir), seeds).select("node")
+
+
+# ------------------------------------------------------------- spatial ----
+
+from ..operators import spatial  # noqa: E402
+
+LOCATE_CELL = 500.0
+
+
+def _locate_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    _, unlocated = enrich.split_subdivisions(A.layer(spark, sf_dir, "subdivisions_fiscales", with_geometry=True))
+    communes = enrich.enrich_layer(A.layer(spark, sf_dir, "communes", with_geometry=True), "communes")
+    return unlocated, communes
+
+
+@register("locate_by_containment",
+          f"WITH u AS (SELECT id, lettre, geometry_bbox.xmin + 0.5 AS px, geometry_bbox.ymin + 0.5 AS py "
+          f"FROM ({A.layer_sql('subdivisions_fiscales')}) WHERE parcelle IS NULL), "
+          f"c AS (SELECT id AS commune, geometry_bbox AS b FROM ({A.layer_sql('communes')})), "
+          f"m AS (SELECT px, py, min(commune) AS commune FROM (SELECT DISTINCT px, py FROM u) p JOIN c "
+          f"ON p.px > c.b.xmin AND p.px < c.b.xmax AND p.py > c.b.ymin AND p.py < c.b.ymax GROUP BY px, py) "
+          f"SELECT u.id, u.lettre, coalesce(m.commune, '00000') AS commune, "
+          f"coalesce({dep_of_sql('m.commune')}, '000') AS departement FROM u LEFT JOIN m USING (px, py)")
+def q_locate_by_containment(spark, sf_dir):
+    unlocated, communes = _locate_inputs(spark, sf_dir)
+    out = spatial.locate_by_containment(unlocated, communes, cell_size=LOCATE_CELL, match_srid=False)
+    return out.select("id", "lettre", "commune", "departement")
