@@ -77,24 +77,31 @@ def _read_polygon(b: memoryview, off: int, rings: list) -> int:
     return off
 
 
-def wkb_rings(wkb: bytes) -> list:
-    """All rings (outer and holes, of all parts) of a (multi)polygon."""
+def wkb_polygons(wkb: bytes) -> list:
+    """Polygons of a (multi)polygon, each a list of rings (shell first)."""
     if wkb is None:
         return []
     b = memoryview(wkb)
     order = "<" if b[0] == 1 else ">"
     (gtype,) = struct.unpack_from(order + "I", b, 1)
-    rings: list = []
+    polygons: list = []
     if gtype % 1000 == WKB_POLYGON:
-        _read_polygon(b, 0, rings)
+        polygons.append([])
+        _read_polygon(b, 0, polygons[-1])
     elif gtype % 1000 == WKB_MULTIPOLYGON:
         (n,) = struct.unpack_from(order + "I", b, 5)
         off = 9
         for _ in range(n):
-            off = _read_polygon(b, off, rings)
+            polygons.append([])
+            off = _read_polygon(b, off, polygons[-1])
     else:
         raise ValueError(f"unsupported WKB type {gtype}")
-    return rings
+    return polygons
+
+
+def wkb_rings(wkb: bytes) -> list:
+    """All rings (outer and holes, of all parts) of a (multi)polygon."""
+    return [r for poly in wkb_polygons(wkb) for r in poly]
 
 
 def interior_point(rings: list) -> tuple[float, float]:

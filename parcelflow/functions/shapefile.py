@@ -1,0 +1,182 @@
+"""Shapefile (.shp/.shx/.dbf) codec used inside Spark tasks.
+
+Layout per the published ESRI shapefile and dBase III formats: big-endian
+file/record headers, little-endian shape content, fixed-width DBF records.
+Polygons (type 5) and points (type 1) are supported; null shapes decode to
+NULL geometry.  Decoded geometry is WKB; ring grouping uses orientation
+(clockwise rings start a polygon, counter-clockwise rings are its holes).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import struct
+
+import numpy as np
+import pandas as pd
+
+from .geometry import WKB_POINT, multipolygon_wkb, polygon_wkb
+
+SHP_FILE_CODE = 9994
+SHP_VERSION = 1000
+SHAPE_NULL = 0
+SHAPE_POINT = 1
+SHAPE_POLYGON = 5
+
+
+# ------------------------------------------------------------------ shp ----
+
+def _signed_area(r: np.ndarray) -> float:
+    x, y = r[:, 0], r[:, 1]
+    return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2.0
+
+
+def _polygon_record_to_wkb(content: memoryview) -> tuple[bytes, tuple]:
+    box = struct.unpack_from("<4d", content, 4)
+    nparts, npoints = struct.unpack_from("<2i", content, 36)
+    parts = list(struct.unpack_from(f"<{nparts}i", content, 44))
+    pts = np.frombuffer(content, dtype="<f8", count=npoints * 2, offset=44 + 4 * nparts).reshape(npoints, 2)
+    bounds = parts + [npoints]
+    polygons: list[list[np.ndarray]] = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        ring = pts[a:b]
+        if _signed_area(ring) <= 0 or not polygons:  # clockwise: a new shell
+            polygons.append([ring])
+        else:
+            polygons[-1].append(ring)
+    wkb = polygon_wkb(polygons[0]) if len(polygons) == 1 else multipolygon_wkb(polygons)
+    return wkb, box
+
+
+def read_shp(data: bytes) -> list[tuple]:
+    """Records of a .shp file as ``(wkb or None, (xmin, ymin, xmax, ymax) or None)``."""
+    b = memoryview(data)
+    (code,) = struct.unpack_from(">i", b, 0)
+    if code != SHP_FILE_CODE:
+        raise ValueError("not a shapefile (bad file code)")
+    (words,) = struct.unpack_from(">i", b, 24)
+    end = min(len(b), words * 2)
+    off, out = 100, []
+    while off + 8 <= end:
+        _, clen = struct.unpack_from(">2i", b, off)
+        content = b[off + 8: off + 8 + clen * 2]
+        (stype,) = struct.unpack_from("<i", content, 0)
+        if stype == SHAPE_NULL:
+            out.append((None, None))
+        elif stype % 10 == SHAPE_POLYGON:
+            out.append(_polygon_record_to_wkb(content))
+        elif stype % 10 == SHAPE_POINT:
+            x, y = struct.unpack_from("<2d", content, 4)
+            out.append((struct.pack("<BIdd", 1, WKB_POINT, x, y), (x, y, x, y)))
+        else:
+            raise ValueError(f"unsupported shape type {stype}")
+        off += 8 + clen * 2
+    return out
+
+
+def write_shp(rings_per_record: list, boxes: list) -> tuple[bytes, bytes]:
+    """Polygon records (list of closed rings each) -> (.shp, .shx) bytes."""
+    recs, index = [], []
+    off_words = 50
+    for i, (rings, box) in enumerate(zip(rings_per_record, boxes), 1):
+        if rings is None:
+            content = struct.pack("<i", SHAPE_NULL)
+        else:
+            parts, acc = [], 0
+            for r in rings:
+                parts.append(acc)
+                acc += len(r)
+            pts = np.concatenate(rings).astype("<f8")
+            content = (struct.pack("<i4d2i", SHAPE_POLYGON, *box, len(rings), acc)
+                       + struct.pack(f"<{len(parts)}i", *parts) + pts.tobytes())
+        clen = len(content) // 2
+        recs.append(struct.pack(">2i", i, clen) + content)
+        index.append(struct.pack(">2i", off_words, clen))
+        off_words += 4 + clen
+    valid = [b for b in boxes if b is not None]
+    total = (min(b[0] for b in valid), min(b[1] for b in valid), max(b[2] for b in valid),
+             max(b[3] for b in valid)) if valid else (0.0, 0.0, 0.0, 0.0)
+
+    def header(words: int) -> bytes:
+        return (struct.pack(">7i", SHP_FILE_CODE, 0, 0, 0, 0, 0, words)
+                + struct.pack("<2i", SHP_VERSION, SHAPE_POLYGON) + struct.pack("<8d", *total, 0, 0, 0, 0))
+
+    body = b"".join(recs)
+    shp = header(50 + len(body) // 2) + body
+    shx = header(50 + 4 * len(index)) + b"".join(index)
+    return shp, shx
+
+
+# ------------------------------------------------------------------ dbf ----
+
+def read_dbf(data: bytes, charset: str) -> pd.DataFrame:
+    """dBase III table -> DataFrame (C: str, N/F: int or float, D: date, L: bool).
+
+    Blank fields are NULL; deleted records are skipped.
+    """
+    b = memoryview(data)
+    nrec, hlen, rlen = struct.unpack_from("<IHH", b, 4)
+    fields, off = [], 32
+    while off < hlen - 1 and b[off] != 0x0D:
+        name = bytes(b[off: off + 11]).split(b"\x00", 1)[0].decode("ascii")
+        ftype = chr(b[off + 11])
+        flen, fdec = b[off + 16], b[off + 17]
+        fields.append((name, ftype, flen, fdec))
+        off += 32
+    raw = np.frombuffer(b, dtype=np.uint8, count=nrec * rlen, offset=hlen).reshape(nrec, rlen)
+    keep = raw[:, 0] != ord("*")
+    cols, pos = {}, 1
+    for name, ftype, flen, fdec in fields:
+        cells = [bytes(r[pos: pos + flen]) for r in raw[keep]]
+        pos += flen
+        vals = []
+        for c in cells:
+            s = c.decode(charset).strip()
+            if s == "" or (ftype in "NF" and set(s) <= {"*"}):
+                vals.append(None)
+            elif ftype == "C":
+                vals.append(s)
+            elif ftype in "NF":
+                vals.append(int(s) if fdec == 0 and ftype == "N" and s.lstrip("+-").isdigit() else float(s))
+            elif ftype == "D":
+                vals.append(dt.date(int(s[:4]), int(s[4:6]), int(s[6:8])))
+            elif ftype == "L":
+                vals.append(s.upper() in ("Y", "T"))
+            else:
+                vals.append(s)
+        cols[name] = vals
+    return pd.DataFrame(cols)
+
+
+def write_dbf(pdf: pd.DataFrame, charset: str) -> bytes:
+    """DataFrame -> dBase III: str -> C, int -> N, date -> D."""
+    specs = []
+    for name in pdf.columns:
+        s = pdf[name]
+        nonnull = s.dropna()
+        sample = nonnull.iloc[0] if len(nonnull) else ""
+        if isinstance(sample, (dt.date, pd.Timestamp)):
+            specs.append((name, "D", 8, 0, lambda v: v.strftime("%Y%m%d").encode("ascii")))
+        elif (isinstance(sample, (int, np.integer)) and not isinstance(sample, bool)) or (
+                isinstance(sample, (float, np.floating)) and all(float(v).is_integer() for v in nonnull)):
+            w = max([len(str(int(v))) for v in nonnull] + [1])
+            specs.append((name, "N", w, 0, lambda v, w=w: str(int(v)).rjust(w).encode("ascii")))
+        else:
+            enc = [str(v).encode(charset) for v in nonnull]
+            w = min(max([len(e) for e in enc] + [1]), 254)
+            specs.append((name, "C", w, 0, lambda v, w=w: str(v).encode(charset)[:w].ljust(w)))
+    rlen = 1 + sum(s[2] for s in specs)
+    hlen = 32 + 32 * len(specs) + 1
+    today = dt.date.today()
+    out = [struct.pack("<BBBBIHH20x", 3, today.year - 1900, today.month, today.day, len(pdf), hlen, rlen)]
+    for name, ftype, flen, fdec, _ in specs:
+        out.append(struct.pack("<11sc4xBB14x", name.encode("ascii")[:10], ftype.encode("ascii"), flen, fdec))
+    out.append(b"\x0d")
+    for row in pdf.itertuples(index=False):
+        rec = [b" "]
+        for v, (_, _, flen, _, fmt) in zip(row, specs):
+            null = v is None or (isinstance(v, float) and np.isnan(v)) or v is pd.NaT
+            rec.append(b" " * flen if null else fmt(v))
+        out.append(b"".join(rec))
+    out.append(b"\x1a")
+    return b"".join(out)

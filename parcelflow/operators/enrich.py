@@ -57,3 +57,24 @@ def sort_layer(df: DataFrame) -> DataFrame:
     export re-sorts anyway, so the unified path never calls it.
     """
     return df.orderBy(F.col("departement").asc_nulls_last(), F.col("commune").asc_nulls_last())
+
+
+def enrich_mixed(df: DataFrame, millesime: str = S.DEFAULT_MILLESIME, layer_col: str = "layer") -> DataFrame:
+    """Enrich rows of several layers at once, told apart by ``layer_col``.
+
+    Same result per row as :func:`enrich_layer` on each layer separately;
+    used where layers arrive interleaved (a stream of landed files, a batch
+    of decoded shapefiles) so one scan serves all of them.  ``df`` must hold
+    the attribute columns of :data:`schema.ATTRIBUTES` (NULL where absent).
+    """
+    layer = F.col(layer_col)
+    located = F.col("parcelle").isNotNull()
+    subdiv = layer == F.lit("subdivisions_fiscales")
+    commune = (F.when(layer == F.lit("communes"), F.col("id"))
+               .when(subdiv, F.when(located, commune_of_parcelle("parcelle")).otherwise(F.lit(S.UNLOCATED_COMMUNE)))
+               .otherwise(F.col("commune")))
+    return (df.withColumn("commune", commune)
+              .withColumn("departement", F.when(subdiv & ~located, F.lit(S.UNLOCATED_DEPARTEMENT))
+                          .otherwise(departement_of("commune")))
+              .withColumn("millesime", F.lit(millesime))
+              .withColumn("type_objet", layer))

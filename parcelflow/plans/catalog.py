@@ -471,3 +471,51 @@ def q_locate_by_containment(spark, sf_dir):
     unlocated, communes = _locate_inputs(spark, sf_dir)
     out = spatial.locate_by_containment(unlocated, communes, cell_size=LOCATE_CELL, match_srid=False)
     return out.select("id", "lettre", "commune", "departement")
+
+
+# ------------------------------------------------------ ingest, stream ----
+
+from ..operators import ingest  # noqa: E402
+from ..sources import archives as AR  # noqa: E402
+from ..sources import shapefiles as SH  # noqa: E402
+from ..streaming import incremental  # noqa: E402
+from . import fixtures as FX  # noqa: E402
+
+
+@register("expand_archives")
+def q_expand_archives(spark, sf_dir):
+    root = FX.layer_archives(spark, sf_dir)
+    return AR.expand_archives(spark, root, with_content=False).select("member", "size", "ok", "error")
+
+
+_ATTR_COLS = [f.name for f in S.ATTRIBUTES.fields if f.name not in ("geometry", "geometry_bbox")]
+_RAW_UNION_SQL = " UNION ALL BY NAME ".join(
+    f"SELECT '{n}' AS layer, * FROM ({A.layer_sql(n)})" for n in S.LAYERS)
+
+
+@register("read_shapefiles",
+          flat_sql(f"SELECT layer, {', '.join(repr(c).replace(chr(39), chr(34)) for c in _ATTR_COLS)}, "
+                   f"geometry_bbox FROM ({_RAW_UNION_SQL})"))
+def q_read_shapefiles(spark, sf_dir):
+    root = FX.layer_archives(spark, sf_dir)
+    return flat(SH.read_shapefiles(spark, root, from_archives=True).drop("source"))
+
+
+@register("shapefile_ingest_outcomes")
+def q_shapefile_ingest_outcomes(spark, sf_dir):
+    root = FX.layer_archives(spark, sf_dir)
+    status = ingest.ingest_shapefiles(spark, root, scratch_path(spark, "layers"), from_archives=True)
+    return SH.conversion_outcomes(status)
+
+
+@register("incremental_layers", UNIFIED_FLAT_SQL)
+def q_incremental_layers(spark, sf_dir):
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "landed")
+    ckpt = scratch_path(spark, "landing-checkpoint")
+    half = len(S.LAYERS) // 2
+    FX.land_layer_files(spark, sf_dir, landing, S.LAYERS[:half])
+    incremental.land_layers(spark, landing, out, ckpt)
+    FX.land_layer_files(spark, sf_dir, landing, S.LAYERS[half:])
+    incremental.land_layers(spark, landing, out, ckpt)
+    from ..sources.layers import PUBLISHED  # canonical schema (+ unused lot)
+    return flat(spark.read.schema(PUBLISHED).parquet(out).drop("lot"))

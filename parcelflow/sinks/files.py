@@ -1,0 +1,24 @@
+"""Task-side file output through ``pyarrow.fs`` (local, HDFS, object stores)."""
+
+from __future__ import annotations
+
+import posixpath
+
+from pyarrow import fs as pafs
+
+
+def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Filesystem and path of a Spark-style location (``file:`` URIs included)."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    if "://" in uri:
+        return pafs.FileSystem.from_uri(uri)
+    return pafs.LocalFileSystem(), uri
+
+
+def write_bytes(uri: str, data: bytes) -> None:
+    """Write (or overwrite) one file; a retried task rewrites the same name."""
+    filesystem, path = resolve(uri)
+    filesystem.create_dir(posixpath.dirname(path), recursive=True)
+    with filesystem.open_output_stream(path) as f:
+        f.write(data)

@@ -1,0 +1,90 @@
+"""Layer rows -> zipped shapefile sets, written by the tasks themselves.
+
+This is the inverse of the ingest path and is used to publish a layer in
+the upstream distribution format (and to build round-trip fixtures from
+the driver's tables).  Each Arrow batch of a task becomes one archive, so
+memory per task is bounded by the batch size, and a retried task rewrites
+the same file names.
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from .. import schema as S
+from ..functions.geometry import wkb_polygons
+from ..functions.shapefile import write_dbf, write_shp
+from .files import write_bytes
+
+# --- fixed values: sidecar text per Python codec ----------------------------
+CPG_TEXT = {"iso-8859-1": "88591", "utf-8": "UTF-8", "cp1252": "1252"}
+# ---------------------------------------------------------------------------
+
+
+def _clockwise(r: np.ndarray) -> np.ndarray:
+    x, y = r[:, 0], r[:, 1]
+    area = np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])
+    return r[::-1] if area > 0 else r
+
+
+def _shapes(pdf: pd.DataFrame) -> tuple[list, list]:
+    rings, boxes = [], []
+    geoms = pdf["geometry"] if "geometry" in pdf.columns else [None] * len(pdf)
+    bbs = pdf["geometry_bbox"] if "geometry_bbox" in pdf.columns else [None] * len(pdf)
+    for g, b in zip(geoms, bbs):
+        if g is not None:
+            parts = []
+            for poly in wkb_polygons(bytes(g)):
+                parts.append(_clockwise(np.asarray(poly[0])))
+                parts.extend(_clockwise(np.asarray(h))[::-1] for h in poly[1:])
+            pts = np.concatenate(parts)
+            rings.append(parts)
+            boxes.append((pts[:, 0].min(), pts[:, 1].min(), pts[:, 0].max(), pts[:, 1].max()))
+        elif b is not None and not (isinstance(b, float) and np.isnan(b)):
+            x0, y0, x1, y1 = (float(b[k]) for k in ("xmin", "ymin", "xmax", "ymax"))
+            rings.append([np.array([[x0, y0], [x0, y1], [x1, y1], [x1, y0], [x0, y0]])])
+            boxes.append((x0, y0, x1, y1))
+        else:
+            rings.append(None)
+            boxes.append(None)
+    return rings, boxes
+
+
+def _writer(root: str, layer: str, charset: str):
+    codec = charset.lower()
+
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        out = []
+        for i, pdf in enumerate(batches):
+            if len(pdf) == 0:
+                continue
+            attrs = pdf[[c for c in pdf.columns if c not in ("geometry", "geometry_bbox")]]
+            rings, boxes = _shapes(pdf)
+            shp, shx = write_shp(rings, boxes)
+            dbf = write_dbf(attrs.reset_index(drop=True), codec)
+            stem = f"cadastre-{layer}"
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(stem + ".shp", shp)
+                z.writestr(stem + ".shx", shx)
+                z.writestr(stem + ".dbf", dbf)
+                if codec in CPG_TEXT:
+                    z.writestr(stem + ".cpg", CPG_TEXT[codec])
+            uri = f"{root}/{layer}/part-{pid:05d}-{i:05d}.zip"
+            write_bytes(uri, buf.getvalue())
+            out.append((uri, len(pdf)))
+        yield pd.DataFrame(out, columns=["archive", "n_records"])
+    return run
+
+
+def write_layer_archives(layer_df: DataFrame, layer: str, root: str,
+                         charset: str = S.DEFAULT_CHARSET) -> DataFrame:
+    """Lazily defined job: returns (archive, n_records) once an action runs."""
+    return layer_df.mapInPandas(_writer(root.rstrip("/"), layer, charset), "archive string, n_records long")
