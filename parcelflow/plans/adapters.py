@@ -29,8 +29,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_TABLE_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read handle of a driver table (schema discovered once per session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLE_HANDLES:
+        _TABLE_HANDLES[key] = spark.read.parquet(path)
+    return _TABLE_HANDLES[key]
 
 
 # ---------------------------------------------------------------- codes ----
@@ -51,7 +59,8 @@ DEP_BY_INDEX = tuple(dep_of_index(m) for m in range(101))
 
 
 def dep_code(k: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in DEP_BY_INDEX]), (F.pmod(k, F.lit(101)) + 1).cast("int"))
+    # one constant-folded literal array instead of 101 literal columns
+    return F.element_at(F.split(F.lit(",".join(DEP_BY_INDEX)), ","), (F.pmod(k, F.lit(101)) + 1).cast("int"))
 
 
 def commune_code(k: Column) -> Column:
@@ -294,7 +303,7 @@ FILE_KINDS = S.LAYERS + ("other",)
 
 def _file_stem(k: Column, cust: Column) -> Column:
     d = dep_code(cust)
-    name = F.element_at(F.array(*[F.lit(n) for n in FILE_KINDS]), (F.pmod(k, F.lit(9)) + 1).cast("int"))
+    name = F.element_at(F.split(F.lit(",".join(FILE_KINDS)), ","), (F.pmod(k, F.lit(9)) + 1).cast("int"))
     return F.concat(F.lit(MIRROR_DIR), d, F.lit("/cadastre-"), d, F.lit("-"), name, F.lit("-"), k.cast("string"))
 
 

@@ -115,9 +115,12 @@ def unified_sql(srid_mode: str = "literal") -> str:
 UNIFIED_FLAT_SQL = flat_sql(unified_sql())
 
 
-def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal",
-            with_geometry: bool = False) -> DataFrame:
-    return unify.unified_features(A.layers(spark, sf_dir, with_geometry), srid_mode=srid_mode)
+def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal") -> DataFrame:
+    """Canonical features from the layer files derived from ``sf_dir``."""
+    from ..sources.layers import read_layers
+    from .fixtures import layer_files
+    return unify.unified_features(read_layers(spark, layer_files(spark, sf_dir), layout="partitioned"),
+                                  srid_mode=srid_mode)
 
 
 # ---------------------------------------------------------- layer jobs ----

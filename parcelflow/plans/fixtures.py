@@ -33,3 +33,21 @@ def land_layer_files(spark: SparkSession, sf_dir: str, landing: str, layers: tup
     """Drop raw layer files into ``landing/layer=<name>/`` (append)."""
     for name in layers:
         A.layer(spark, sf_dir, name).write.mode("append").parquet(f"{landing}/layer={name}")
+
+
+_LAYER_FILES: dict[tuple[str, str], str] = {}
+
+
+def layer_files(spark: SparkSession, sf_dir: str) -> str:
+    """All eight adapted layers, with WKB geometry, as one zstd Parquet
+    dataset partitioned by ``layer``: the converted layer files the import
+    step reads.  One Spark job; written once per session and folder."""
+    from functools import reduce
+    key = (shared_dir(spark), sf_dir)
+    if key not in _LAYER_FILES:
+        root = scratch_path(spark, "layer-files")
+        frames = [A.layer(spark, sf_dir, n, with_geometry=True).withColumn("layer", F.lit(n)) for n in S.LAYERS]
+        allc = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        allc.write.option("compression", "zstd").partitionBy("layer").parquet(root)
+        _LAYER_FILES[key] = root
+    return _LAYER_FILES[key]

@@ -25,6 +25,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # per-call Python call-site capture costs extra JVM round trips per Column
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("PARCELFLOW_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra or {}).items():
