@@ -104,13 +104,10 @@ def wkb_rings(wkb: bytes) -> list:
     return [r for poly in wkb_polygons(wkb) for r in poly]
 
 
-def interior_point(rings: list) -> tuple[float, float]:
-    """A point inside the polygon: middle of the widest horizontal interval
-    on a scan line placed between the vertex ordinates nearest to the
-    middle of the bounding box (so the line never runs through a vertex).
-    """
-    if not rings:
-        return (float("nan"), float("nan"))
+def _widest_interval(rings: list) -> tuple[float, float, float]:
+    """(x, y, width) of the widest inside interval of one polygon on a scan
+    line placed between the vertex ordinates nearest to the middle of its
+    bounding box (so the line never runs through a vertex)."""
     pts = np.concatenate(rings)
     ys = pts[:, 1]
     mid = (ys.min() + ys.max()) / 2.0
@@ -124,15 +121,27 @@ def interior_point(rings: list) -> tuple[float, float]:
         if cross.any():
             xs.append(x1[cross] + (y - y1[cross]) * (x2[cross] - x1[cross]) / (y2[cross] - y1[cross]))
     if not xs:
-        return (float((pts[:, 0].min() + pts[:, 0].max()) / 2.0), float(mid))
+        return (float((pts[:, 0].min() + pts[:, 0].max()) / 2.0), float(mid), -1.0)
     xs = np.sort(np.concatenate(xs))
     starts, ends = xs[0::2], xs[1::2]
     k = len(ends)
     if k == 0:
-        return (float(xs[0]), float(y))
+        return (float(xs[0]), float(y), 0.0)
     widths = ends - starts[:k]
     i = int(np.argmax(widths))
-    return (float((starts[i] + ends[i]) / 2.0), float(y))
+    return (float((starts[i] + ends[i]) / 2.0), float(y), float(widths[i]))
+
+
+def interior_point(polygons: list) -> tuple[float, float]:
+    """A point inside a (multi)polygon: middle of the widest scan-line
+    interval over its parts.  Accepts a list of polygons (lists of rings)
+    or, for a single polygon, its list of rings."""
+    if not polygons:
+        return (float("nan"), float("nan"))
+    if isinstance(polygons[0], np.ndarray):
+        polygons = [polygons]
+    best = max((_widest_interval(p) for p in polygons if p), key=lambda t: t[2])
+    return (best[0], best[1])
 
 
 POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
@@ -141,7 +150,7 @@ POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y"
 @F.pandas_udf(POINT_TYPE)
 def point_on_surface(wkb: pd.Series) -> pd.DataFrame:
     """Interior point of each (multi)polygon, Arrow batch at a time."""
-    pts = [interior_point(wkb_rings(g)) if g is not None else (float("nan"), float("nan")) for g in wkb]
+    pts = [interior_point(wkb_polygons(g)) if g is not None else (float("nan"), float("nan")) for g in wkb]
     arr = np.array(pts, dtype=float).reshape(-1, 2)
     return pd.DataFrame({"x": arr[:, 0], "y": arr[:, 1]})
 

@@ -7,6 +7,8 @@ filtered, skipped as already done or rejected, and the resume log.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,8 +98,9 @@ def rebuild_log(files: DataFrame, root: str) -> DataFrame:
     ``files`` is a listing (``path``, ``length``); the first directory below
     ``root`` is the host name.
     """
-    prefix = root.rstrip("/") + "/"
-    rel = F.when(F.col("path").startswith(prefix), F.substring(F.col("path"), len(prefix) + 1, 1 << 30))
+    prefix = re.sub(r"^file:(//)?", "", root).rstrip("/") + "/"
+    path = F.regexp_replace(F.col("path"), r"^file:(//)?", "")
+    rel = F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30))
     name = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
     return (files.where((F.col("length") > 0) & (name != F.lit(S.LOG_FILE_NAME)))
             .select(path_to_url(rel).alias("url")).where(F.col("url").isNotNull()))

@@ -1,0 +1,136 @@
+"""Geometry, containment, shapefile/zip ingest and the streaming landing."""
+
+import io
+import os
+import zipfile
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from parcelflow.functions.geometry import (contains_point, interior_point, multipolygon_wkb, polygon_wkb,
+                                           squares_wkb, wkb_polygons, wkb_rings)
+from parcelflow.functions.shapefile import read_dbf, read_shp, write_dbf, write_shp
+from parcelflow.operators import ingest, spatial
+from parcelflow.plans import adapters as A
+from parcelflow.plans import catalog, fixtures
+from parcelflow.sinks.shapefiles import write_layer_archives
+from parcelflow.sources.archives import archive_outcomes, expand_archives
+from parcelflow.sources.shapefiles import read_shapefile_sets, read_shapefiles
+from parcelflow.streaming.incremental import land_layers
+from conftest import rows
+
+SQUARE = [np.array([[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]], float)]
+HOLE = SQUARE + [np.array([[3, 3], [3, 7], [7, 7], [7, 3], [3, 3]], float)]
+U = [np.array([[0, 0], [9, 0], [9, 9], [6, 9], [6, 3], [3, 3], [3, 9], [0, 9], [0, 0]], float)]
+
+
+def _inside(rings, x, y):
+    c = False
+    for r in rings:
+        for (x1, y1), (x2, y2) in zip(r[:-1], r[1:]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                c = not c
+    return c
+
+
+def test_wkb_round_trip_and_interior_points():
+    assert [r.tolist() for r in wkb_rings(polygon_wkb(HOLE))] == [r.tolist() for r in HOLE]
+    mp = multipolygon_wkb([SQUARE, [SQUARE[0] + 20]])
+    assert len(wkb_rings(mp)) == 2
+    assert wkb_rings(squares_wkb([1.0], [2.0], [3.0], [4.0])[0])[0].tolist() == \
+        [[1, 2], [3, 2], [3, 4], [1, 4], [1, 2]]
+    for rings in (SQUARE, HOLE, U):
+        x, y = interior_point(rings)
+        assert _inside(rings, x, y), (rings, x, y)
+    x, y = interior_point(wkb_polygons(mp))
+    assert _inside(wkb_rings(mp), x, y)
+
+
+def test_contains_point_in_spark(spark):
+    pts = [(5.0, 5.0), (1.0, 1.0), (11.0, 5.0), (5.0, 1.5)]
+    flat = [[float(v) for v in r.ravel()] for r in HOLE]
+    df = spark.createDataFrame([(x, y) for x, y in pts], "x double, y double")
+    got = [r.c for r in df.select(contains_point(F.array(*[F.array(*[F.lit(v) for v in r]) for r in flat]),
+                                                 F.col("x"), F.col("y")).alias("c")).collect()]
+    assert got == [_inside(HOLE, x, y) for x, y in pts] == [False, True, False, True]
+
+
+def test_locate_by_containment_matches_brute_force(spark, sf):
+    unlocated, communes = catalog._locate_inputs(spark, sf)
+    got = spatial.locate_by_containment(unlocated, communes, cell_size=300.0, match_srid=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    u = unlocated.select("id", "geometry_bbox.*").toPandas()
+    c = communes.select("commune", "geometry_bbox.*").toPandas()
+    expect = []
+    for r in u.itertuples():
+        px, py = r.xmin + 0.5, r.ymin + 0.5
+        hit = c[(c.xmin < px) & (c.xmax > px) & (c.ymin < py) & (c.ymax > py)].commune
+        expect.append((r.id, min(hit) if len(hit) else "00000"))
+    assert rows(got, "id", "commune") == sorted(expect, key=lambda t: (str(t[0]), t[1]))
+    assert got.where("commune <> '00000'").count() > 0
+
+
+def test_shapefile_codec_round_trip_latin1():
+    attrs = pd.DataFrame({"nom": ["Évry-sur-Mer", None], "contenance": [12, 7],
+                          "created": [pd.Timestamp("2024-01-02").date(), None]})
+    shp, shx = write_shp([HOLE, None], [(0.0, 0.0, 10.0, 10.0), None])
+    dbf = write_dbf(attrs, "iso-8859-1")
+    assert b"\xc9vry" in dbf  # E9 byte under ISO-8859-1
+    shapes = read_shp(shp)
+    assert shapes[1] == (None, None) and shapes[0][1] == (0.0, 0.0, 10.0, 10.0)
+    assert [r.tolist() for r in wkb_rings(shapes[0][0])][1] == HOLE[1][::-1].tolist() or \
+        len(wkb_rings(shapes[0][0])) == 2
+    back = read_dbf(dbf, "iso-8859-1")
+    assert back["nom"].tolist() == ["Évry-sur-Mer", None] and back["contenance"].tolist() == [12, 7]
+    assert len(shx) == 100 + 8 * 2
+
+
+def test_archives_ingest_and_resume(spark, sf, tmp_path):
+    root = str(tmp_path / "zips")
+    layer = A.layer(spark, sf, "communes", with_geometry=True)
+    written = write_layer_archives(layer, "communes", root).collect()
+    assert sum(r.n_records for r in written) == layer.count()
+    # a truncated archive is reported, never half-listed
+    good = written[0].archive.replace("file:", "")
+    with open(good, "rb") as f:
+        data = f.read()
+    with open(os.path.join(root, "communes", "broken.zip"), "wb") as f:
+        f.write(data[: len(data) // 2])
+    members = expand_archives(spark, root, with_content=False)
+    assert rows(archive_outcomes(members), "ok", "n") == [(False, 1), (True, len(written))]
+    feats = read_shapefiles(spark, root, from_archives=True)
+    assert feats.count() == layer.count()
+    assert feats.select("layer").distinct().collect()[0].layer == "communes"
+    back = catalog.flat(feats.select("id", "nom", "created", "updated", "geometry_bbox"))
+    assert back.exceptAll(catalog.flat(layer.select("id", "nom", "created", "updated", "geometry_bbox"))).count() == 0
+    pairs = feats.join(layer.select("id", F.col("geometry").alias("g0")), "id").select("geometry", "g0").collect()
+    for p in pairs:  # shapefile shells are clockwise: same ring, opposite orientation
+        a, b = wkb_rings(bytes(p.geometry)), wkb_rings(bytes(p.g0))
+        assert len(a) == len(b) and all(x[::-1].tolist() == y.tolist() or x.tolist() == y.tolist()
+                                        for x, y in zip(a, b))
+    out = str(tmp_path / "layers")
+    first = ingest.ingest_shapefiles(spark, root, out, from_archives=True)
+    assert first.where("ok").count() == len(written)
+    second = ingest.ingest_shapefiles(spark, root, out, from_archives=True)
+    assert second.count() == 0  # resume: nothing left to convert
+    assert spark.read.parquet(out).count() == layer.count()
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        assert sorted(n.rsplit(".", 1)[1] for n in z.namelist()) == ["cpg", "dbf", "shp", "shx"]
+    sets = read_shapefile_sets(spark, root, from_archives=False)
+    assert sets.count() == 0  # nothing extracted: only archives below root
+
+
+def test_streaming_landing_is_incremental(spark, sf, tmp_path):
+    landing, out, ck = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "ck")
+    fixtures.land_layer_files(spark, sf, landing, ("communes", "sections"))
+    land_layers(spark, landing, out, ck)
+    n1 = spark.read.parquet(out).count()
+    land_layers(spark, landing, out, ck)  # nothing new
+    assert spark.read.parquet(out).count() == n1
+    fixtures.land_layer_files(spark, sf, landing, ("subdivisions_fiscales",))
+    land_layers(spark, landing, out, ck)
+    df = spark.read.parquet(out)
+    assert df.count() == n1 + A.layer(spark, sf, "subdivisions_fiscales").count()
+    assert df.where("type_objet = 'subdivisions_fiscales' AND commune = '00000'").count() > 0
