@@ -12,18 +12,25 @@ SKIPPED = "skipped"
 OVERWRITE = "overwrite"
 
 
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def file_name(path) -> Column:
-    return F.regexp_extract(F.col(path) if isinstance(path, str) else path, r"([^/\\]*)$", 1)
+    """Last path component ('/' or '\\' separated), without regex backtracking."""
+    return F.substring_index(F.substring_index(_c(path), "/", -1), "\\", -1)
 
 
 def extension_is(path, ext: str) -> Column:
     """Case-insensitive extension test (``.shp`` matches ``.SHP``)."""
-    return F.lower(F.col(path) if isinstance(path, str) else path).endswith(ext.lower())
+    return F.lower(_c(path)).endswith(ext.lower())
 
 
 def stem(path) -> Column:
-    """Path without its last extension."""
-    return F.regexp_replace(F.col(path) if isinstance(path, str) else path, r"\.[^./\\]*$", "")
+    """Path without the last extension of its file name."""
+    p, name = _c(path), file_name(path)
+    ext_len = F.length(F.substring_index(name, ".", -1)) + 1
+    return F.when(name.contains("."), p.substr(F.lit(1), F.length(p) - ext_len)).otherwise(p)
 
 
 def layer_of(path) -> Column:
@@ -40,11 +47,15 @@ def month_key(ts) -> Column:
     return F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyy_MM")
 
 
+def has_layer(path) -> Column:
+    """True when some layer name occurs in the file name (= layer_of not NULL)."""
+    return F.lower(file_name(path)).rlike("|".join(S.LAYERS))
+
+
 def classify_shapefiles(files: DataFrame) -> DataFrame:
     """``.shp`` files with their (month, layer); unclassified ones dropped."""
-    return (files.where(extension_is("path", ".shp"))
-            .select("path", "length", month_key("modificationTime").alias("ym"), layer_of("path").alias("layer"))
-            .where(F.col("layer").isNotNull()))
+    return (files.where(extension_is("path", ".shp") & has_layer("path"))
+            .select("path", "length", month_key("modificationTime").alias("ym"), layer_of("path").alias("layer")))
 
 
 def layer_inventory(files: DataFrame) -> DataFrame:

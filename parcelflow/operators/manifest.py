@@ -101,6 +101,6 @@ def rebuild_log(files: DataFrame, root: str) -> DataFrame:
     prefix = re.sub(r"^file:(//)?", "", root).rstrip("/") + "/"
     path = F.regexp_replace(F.col("path"), r"^file:(//)?", "")
     rel = F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30))
-    name = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
+    name = F.substring_index(F.col("path"), "/", -1)
     return (files.where((F.col("length") > 0) & (name != F.lit(S.LOG_FILE_NAME)))
             .select(path_to_url(rel).alias("url")).where(F.col("url").isNotNull()))

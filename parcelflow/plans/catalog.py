@@ -312,6 +312,11 @@ def _outcome_sql(with_log: bool) -> str:
 _LOG_CTE = f"WITH log_urls AS ({A.LOG_SQL}) "
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fixtures import file_listing
+    return file_listing(spark, sf_dir)
+
+
 @register("manifest_plan", f"SELECT *, {_outcome_sql(False)} AS outcome FROM ({MANIFEST_URL_SQL})")
 def q_manifest_plan(spark, sf_dir):
     return manifest.plan_manifest(A.manifest(spark, sf_dir), FORMAT_FILTER)
@@ -343,7 +348,7 @@ def q_manifest_formats(spark, sf_dir):
           f"FROM (SELECT substr(path, {len(A.MIRROR_ROOT) + 2}) AS rel, length FROM ({A.file_listing_sql()})) "
           f"WHERE length > 0 AND contains(rel, '/')")
 def q_log_rebuild(spark, sf_dir):
-    return manifest.rebuild_log(A.file_listing(spark, sf_dir), A.MIRROR_ROOT)
+    return manifest.rebuild_log(_listing(spark, sf_dir), A.MIRROR_ROOT)
 
 
 # ----------------------------------------------------------- inventory ----
@@ -366,14 +371,14 @@ def _stem_sql(path: str) -> str:
           f"SELECT strftime(\"modificationTime\", '%Y_%m') AS ym, {_layer_of_sql('path')} AS layer, length "
           f"FROM ({_SHP_SQL})) WHERE layer IS NOT NULL GROUP BY ym, layer")
 def q_file_inventory(spark, sf_dir):
-    return inventory.layer_inventory(A.file_listing(spark, sf_dir))
+    return inventory.layer_inventory(_listing(spark, sf_dir))
 
 
 @register("missing_sidecars",
           f"SELECT path FROM ({_SHP_SQL}) s WHERE NOT EXISTS (SELECT 1 FROM ({_LISTING_SQL}) c "
           f"WHERE ends_with(lower(c.path), '.cpg') AND {_stem_sql('c.path')} = {_stem_sql('s.path')})")
 def q_missing_sidecars(spark, sf_dir):
-    return inventory.missing_sidecars(A.file_listing(spark, sf_dir))
+    return inventory.missing_sidecars(_listing(spark, sf_dir))
 
 
 @register("sidecar_counts",
@@ -381,7 +386,7 @@ def q_missing_sidecars(spark, sf_dir):
           f"WHERE ends_with(lower(c.path), '.cpg') AND {_stem_sql('c.path')} = {_stem_sql('s.path')})) AS n_to_create "
           f"FROM ({_SHP_SQL}) s")
 def q_sidecar_counts(spark, sf_dir):
-    return inventory.sidecar_counts(A.file_listing(spark, sf_dir))
+    return inventory.sidecar_counts(_listing(spark, sf_dir))
 
 
 @register("conversion_plan",
@@ -389,7 +394,7 @@ def q_sidecar_counts(spark, sf_dir):
           f"AND {_stem_sql('p.path')} = {_stem_sql('s.path')}) THEN 'skipped' ELSE 'to_convert' END AS outcome "
           f"FROM ({_SHP_SQL}) s")
 def q_conversion_plan(spark, sf_dir):
-    return inventory.conversion_plan(A.file_listing(spark, sf_dir))
+    return inventory.conversion_plan(_listing(spark, sf_dir))
 
 
 # --------------------------------------------------------------- links ----

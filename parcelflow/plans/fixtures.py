@@ -51,3 +51,17 @@ def layer_files(spark: SparkSession, sf_dir: str) -> str:
         allc.write.option("compression", "zstd").partitionBy("layer").parquet(root)
         _LAYER_FILES[key] = root
     return _LAYER_FILES[key]
+
+
+_LISTINGS: dict[tuple[str, str], str] = {}
+
+
+def file_listing(spark: SparkSession, sf_dir: str):
+    """The mirror-tree listing (path, modificationTime, length) as a table,
+    shaped like the ``binaryFile`` source's metadata columns."""
+    key = (shared_dir(spark), sf_dir)
+    if key not in _LISTINGS:
+        path = scratch_path(spark, "listing")
+        A.file_listing(spark, sf_dir).write.option("compression", "zstd").parquet(path)
+        _LISTINGS[key] = path
+    return spark.read.parquet(_LISTINGS[key])
