@@ -23,6 +23,8 @@ SHAPE_NULL = 0
 SHAPE_POINT = 1
 SHAPE_POLYGON = 5
 
+_ONE_RING_HEADER = struct.pack("<BII", 1, 3, 1)  # little-endian WKB polygon with one ring
+
 
 # ------------------------------------------------------------------ shp ----
 
@@ -63,6 +65,11 @@ def read_shp(data: bytes) -> list[tuple]:
         (stype,) = struct.unpack_from("<i", content, 0)
         if stype == SHAPE_NULL:
             out.append((None, None))
+        elif stype == SHAPE_POLYGON and struct.unpack_from("<i", content, 36)[0] == 1:
+            # one ring: WKB is a header plus the record's own point bytes
+            (npoints,) = struct.unpack_from("<i", content, 40)
+            out.append((_ONE_RING_HEADER + struct.pack("<I", npoints) + bytes(content[48: 48 + 16 * npoints]),
+                        struct.unpack_from("<4d", content, 4)))
         elif stype % 10 == SHAPE_POLYGON:
             out.append(_polygon_record_to_wkb(content))
         elif stype % 10 == SHAPE_POINT:
@@ -109,10 +116,20 @@ def write_shp(rings_per_record: list, boxes: list) -> tuple[bytes, bytes]:
 
 # ------------------------------------------------------------------ dbf ----
 
+def _decode_column(cells: np.ndarray, charset: str) -> np.ndarray:
+    """Fixed-width byte cells -> stripped str objects, blanks as None."""
+    text = np.char.strip(np.char.decode(cells, charset))
+    out = text.astype(object)
+    out[text == ""] = None
+    return out
+
+
 def read_dbf(data: bytes, charset: str) -> pd.DataFrame:
     """dBase III table -> DataFrame (C: str, N/F: int or float, D: date, L: bool).
 
-    Blank fields are NULL; deleted records are skipped.
+    Column-at-a-time over the fixed-width record matrix (numpy), so cost
+    does not grow with a Python loop per cell.  Blank fields are NULL;
+    deleted records are skipped.
     """
     b = memoryview(data)
     nrec, hlen, rlen = struct.unpack_from("<IHH", b, 4)
@@ -124,28 +141,25 @@ def read_dbf(data: bytes, charset: str) -> pd.DataFrame:
         fields.append((name, ftype, flen, fdec))
         off += 32
     raw = np.frombuffer(b, dtype=np.uint8, count=nrec * rlen, offset=hlen).reshape(nrec, rlen)
-    keep = raw[:, 0] != ord("*")
+    raw = raw[raw[:, 0] != ord("*")]
     cols, pos = {}, 1
     for name, ftype, flen, fdec in fields:
-        cells = [bytes(r[pos: pos + flen]) for r in raw[keep]]
+        cells = np.ascontiguousarray(raw[:, pos: pos + flen]).view(f"S{flen}").ravel()
         pos += flen
-        vals = []
-        for c in cells:
-            s = c.decode(charset).strip()
-            if s == "" or (ftype in "NF" and set(s) <= {"*"}):
-                vals.append(None)
-            elif ftype == "C":
-                vals.append(s)
-            elif ftype in "NF":
-                vals.append(int(s) if fdec == 0 and ftype == "N" and s.lstrip("+-").isdigit() else float(s))
-            elif ftype == "D":
-                vals.append(dt.date(int(s[:4]), int(s[4:6]), int(s[6:8])))
-            elif ftype == "L":
-                vals.append(s.upper() in ("Y", "T"))
-            else:
-                vals.append(s)
-        cols[name] = vals
-    return pd.DataFrame(cols)
+        text = _decode_column(cells, charset if ftype == "C" else "ascii")
+        if ftype in "NF":
+            num = pd.to_numeric(pd.Series(text, dtype=object).where(
+                ~pd.Series(text, dtype=object).astype(str).str.fullmatch(r"\*+"), None), errors="coerce")
+            integral = ftype == "N" and fdec == 0 and bool((num.dropna() % 1 == 0).all())
+            cols[name] = num.astype("Int64") if integral else num
+        elif ftype == "D":
+            d = pd.to_datetime(pd.Series(text, dtype=object), format="%Y%m%d", errors="coerce")
+            cols[name] = d.dt.date.astype(object).where(d.notna(), None).to_numpy()
+        elif ftype == "L":
+            cols[name] = [None if v is None else v.upper() in ("Y", "T") for v in text]
+        else:
+            cols[name] = text
+    return pd.DataFrame(cols, index=range(len(raw)))
 
 
 def write_dbf(pdf: pd.DataFrame, charset: str) -> bytes:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,13 @@ def reachable(edges: DataFrame, seeds: DataFrame, num_partitions: int | None = N
     """Nodes reachable from ``seeds`` over ``edges(src, dst)``, with BFS depth.
 
     Breadth-first, one join per round: the frontier joins the edge list
-    (hash-partitioned by ``src`` once and checkpointed, so only the
-    frontier moves), then the already-visited nodes are removed with an
-    anti join.  Each round's frontier is checkpointed to the shared folder,
-    cutting lineage; the loop ends on an empty frontier, so cycles are safe.
+    (hash-partitioned by node once and checkpointed, so only the frontier
+    moves), then already-visited nodes are removed with an anti join.  Each
+    round's new frontier is checkpointed to the shared folder (cutting
+    lineage); the visited set is the union of those checkpoints, which keeps
+    their common hash partitioning, so it is never re-shuffled.  The loop
+    ends on an empty frontier, so cycles are safe; the number of rounds is
+    the depth of the link tree, not its size.
     """
     spark = edges.sparkSession
     from ..session import shared_dir
@@ -49,13 +54,15 @@ def reachable(edges: DataFrame, seeds: DataFrame, num_partitions: int | None = N
     e = edges.select(F.col("src").alias("node"), F.col("dst")).repartition(n, "node").checkpoint()
     frontier = (seeds.select(F.col("node")).distinct()
                 .withColumn("depth", F.lit(0)).repartition(n, "node").checkpoint())
-    visited = frontier
+    levels = [frontier]
     for depth in range(1, max_rounds + 1):
+        visited = reduce(lambda a, b: a.unionByName(b), levels)
+        # distinct() already hash-partitions the new nodes by node: no extra shuffle
         nxt = (frontier.join(e, "node").select(F.col("dst").alias("node")).distinct()
                .join(visited.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(depth)).repartition(n, "node").checkpoint())
+               .withColumn("depth", F.lit(depth)).checkpoint())
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt).repartition(n, "node").checkpoint()
+        levels.append(nxt)
         frontier = nxt
-    return visited
+    return reduce(lambda a, b: a.unionByName(b), levels)

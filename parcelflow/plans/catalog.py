@@ -462,8 +462,12 @@ LOCATE_CELL = 500.0
 
 
 def _locate_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    _, unlocated = enrich.split_subdivisions(A.layer(spark, sf_dir, "subdivisions_fiscales", with_geometry=True))
-    communes = enrich.enrich_layer(A.layer(spark, sf_dir, "communes", with_geometry=True), "communes")
+    """Unlocated subdivisions and communes, read from the layer files."""
+    from ..sources.layers import read_layer
+    from .fixtures import layer_files
+    root = layer_files(spark, sf_dir)
+    _, unlocated = enrich.split_subdivisions(read_layer(spark, root, "subdivisions_fiscales", "partitioned"))
+    communes = enrich.enrich_layer(read_layer(spark, root, "communes", "partitioned"), "communes")
     return unlocated, communes
 
 

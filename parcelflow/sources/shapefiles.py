@@ -51,9 +51,9 @@ def _decode_set(default_charset: str):
                     continue
                 v = attrs[col]
                 if name in _LONG_COLS:
-                    v = pd.array([None if x is None else int(x) for x in v], dtype="Int64")
-                elif name not in _DATE_COLS:
-                    v = v.map(lambda x: None if x is None else str(x))
+                    v = pd.to_numeric(v, errors="coerce").round().astype("Int64")
+                elif name not in _DATE_COLS and v.dtype != object:
+                    v = v.astype(object).where(v.notna(), None).map(lambda x: None if x is None else str(x))
                 out[name] = v
             out["geometry"] = [g for g, _ in shapes]
             out["geometry_bbox"] = [None if b is None else {"xmin": b[0], "ymin": b[1], "xmax": b[2], "ymax": b[3]}
