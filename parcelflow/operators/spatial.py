@@ -68,7 +68,11 @@ def locate_by_containment(features: DataFrame, communes: DataFrame, cell_size: f
     rows or a hot point need no row identity and no per-row shuffle beyond
     one join (AQE splits a skewed point, or broadcasts a small answer).
     """
-    pts = representative_points(features)
+    from ..session import shared_dir
+    shared_dir(features.sparkSession)
+    # the interior point (Python) feeds both the locate and the join back:
+    # materialise it once in the shared folder instead of computing it twice
+    pts = representative_points(features).checkpoint()
     located = locate_points(pts, communes, cell_size, match_srid, broadcast_rows)
     keys = ["_px", "_py"] + (["geom_srid"] if match_srid else [])
     out = pts.join(located, keys, "left")
