@@ -66,3 +66,28 @@ def reachable(edges: DataFrame, seeds: DataFrame, num_partitions: int | None = N
         levels.append(nxt)
         frontier = nxt
     return reduce(lambda a, b: a.unionByName(b), levels)
+
+
+def local_path(page_url, link, base: str):
+    """Where a linked file lands in the mirror: the page's folder plus the
+    link's file name."""
+    from ..functions.urls import destination_folder, url_basename
+    return F.concat(destination_folder(page_url, F.lit(base.rstrip("/"))), F.lit("/"), url_basename(link))
+
+
+def split_by_presence(links: DataFrame, files: DataFrame, base: str,
+                      url: str = "url", link: str = "link") -> tuple[DataFrame, DataFrame]:
+    """Resume for file links: (already present -> log them, still to fetch).
+
+    A file link counts as present when a non-empty file exists at its
+    mirror location; directory links (ending '/') are never files.  Both
+    sides are joins on the path (semi / anti), no per-row lookups.
+    """
+    import re
+    root = re.sub(r"^file:(//)?", "", base)
+    file_links = links.where(~F.col(link).endswith("/")).withColumn("_local", local_path(F.col(url), F.col(link), root))
+    present = (files.where(F.col("length") > 0)
+               .select(F.regexp_replace("path", r"^file:(//)?", "").alias("_local")).distinct())
+    done = file_links.join(present, "_local", "left_semi").drop("_local")
+    todo = file_links.join(present, "_local", "left_anti").drop("_local")
+    return done, todo

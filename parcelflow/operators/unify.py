@@ -63,3 +63,21 @@ def backfill_section_parcelle(features: DataFrame) -> DataFrame:
     ).withColumn(
         "parcelle", F.when(t == "parcelles", F.coalesce("parcelle", "id")).otherwise(F.col("parcelle"))
     )
+
+
+def create_views(spark, union_df: DataFrame, features: DataFrame,
+                 union_name: str = "source_union", unique_name: str = "source_unique") -> None:
+    """Expose the stacked layers and the canonical features to SQL users."""
+    union_df.createOrReplaceTempView(union_name)
+    features.createOrReplaceTempView(unique_name)
+
+
+def save_layer_tables(enriched: Mapping[str, DataFrame], database: str | None = None,
+                      mode: str = "overwrite") -> list[str]:
+    """Materialise each enriched layer as a managed table (only if asked)."""
+    names = []
+    for layer, df in enriched.items():
+        name = f"{database}.{layer}" if database else layer
+        df.write.mode(mode).saveAsTable(name)
+        names.append(name)
+    return names

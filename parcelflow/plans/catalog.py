@@ -531,3 +531,39 @@ def q_incremental_layers(spark, sf_dir):
     incremental.land_layers(spark, landing, out, ckpt)
     from ..sources.layers import PUBLISHED  # canonical schema (+ unused lot)
     return flat(spark.read.schema(PUBLISHED).parquet(out).drop("lot"))
+
+
+# ------------------------------------------------------ links resume ----
+
+MIRROR = "/mirror"
+
+
+def downloaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirror listing derived from the page links: links at even positions
+    were fetched; those at positions divisible by 4 are empty files."""
+    pl = links.page_links(A.table(spark, sf_dir, "pages"))
+    return pl.where(F.pmod("pos", F.lit(2)) == 0).select(
+        links.local_path(F.col("url"), F.col("link"), MIRROR).alias("path"),
+        F.pmod("pos", F.lit(4)).cast("bigint").alias("length"))
+
+
+def _local_path_sql(url: str, link: str) -> str:
+    path = f"regexp_replace(regexp_extract({url}, {lit_sql(U.PATH_RE)}, 1), '^/+|/+$', '', 'g')"
+    parts = f"string_split({path}, '/')"
+    dirs = f"CASE WHEN contains({parts}[-1], '.') THEN {parts}[1:len({parts}) - 1] ELSE {parts} END"
+    netloc = f"regexp_extract({url}, {lit_sql(U.NETLOC_RE)}, 1)"
+    return f"concat_ws('/', '{MIRROR}', {netloc}, array_to_string({dirs}, '/')) || '/' || {basename_sql(link)}"
+
+
+_PAGE_LINKS_SQL = _ORACLE["page_links"]
+
+
+@register("links_resume",
+          f"WITH pl AS ({_PAGE_LINKS_SQL}), files AS (SELECT {_local_path_sql('url', 'link')} AS path, "
+          f"CAST(pos % 4 AS BIGINT) AS length FROM pl WHERE pos % 2 = 0) "
+          f"SELECT * FROM pl WHERE NOT ends_with(link, '/') AND {_local_path_sql('url', 'link')} NOT IN "
+          f"(SELECT path FROM files WHERE length > 0)")
+def q_links_resume(spark, sf_dir):
+    pl = links.page_links(A.table(spark, sf_dir, "pages"))
+    _, todo = links.split_by_presence(pl, downloaded_files(spark, sf_dir), MIRROR)
+    return todo

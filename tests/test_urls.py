@@ -58,3 +58,16 @@ def test_page_links_keeps_only_relative_links(spark):
                                     "page_id long, url string, html string")
     # D19: a parent link alone makes a '/'-ending page a listing; page 2 has no trailing '/'
     assert [r.page_id for r in directory_pages(not_dir).collect()] == [3]
+
+
+def test_split_links_by_presence(spark):
+    from parcelflow.operators.links import split_by_presence
+    pl = spark.createDataFrame([("https://h.example/d/", "https://h.example/d/a.zip"),
+                                ("https://h.example/d/", "https://h.example/d/b.zip"),
+                                ("https://h.example/d/", "https://h.example/d/e.zip"),
+                                ("https://h.example/d/", "https://h.example/d/sub/")], "url string, link string")
+    files = spark.createDataFrame([("file:/m/h.example/d/a.zip", 10), ("/m/h.example/d/e.zip", 0)],
+                                  "path string, length long")
+    done, todo = split_by_presence(pl, files, "/m")
+    assert [r.link for r in done.collect()] == ["https://h.example/d/a.zip"]
+    assert sorted(r.link for r in todo.collect()) == ["https://h.example/d/b.zip", "https://h.example/d/e.zip"]
