@@ -19,6 +19,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     keep = [c for c in pages.columns if c != html]
     return (pages.select(*keep, F.posexplode(anchor_hrefs(F.col(html))).alias("pos", "href"))
             .where(is_kept_link(F.col("href")))
+            .withColumn("pos", F.col("pos").cast("bigint"))
             .withColumn("link", resolve_link(F.col(url), F.col("href"))))
 
 
