@@ -35,7 +35,7 @@ _TABLE_HANDLES: dict[tuple[int, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read handle of a driver table (schema discovered once per session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(spark), path)
     if key not in _TABLE_HANDLES:
         _TABLE_HANDLES[key] = spark.read.parquet(path)
     return _TABLE_HANDLES[key]

@@ -43,12 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
     executor.  Only when it is unset (local runs, tests) do we create a
     private folder and register it, so ``checkpoint()`` works too.
     """
-    d = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+    d = spark.conf.get(CHECKPOINT_KEY, None)
+    if not d:
+        try:
+            d = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+        except Exception:  # noqa: BLE001 - no SparkContext (remote session)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="parcelflow-")
         spark.conf.set(CHECKPOINT_KEY, d)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - remote sessions use the conf value
+        pass
     return d.rstrip("/")
 
 
