@@ -117,3 +117,18 @@ def test_backfill(spark):
     })
     got = rows(unify.backfill_section_parcelle(feats), "type_objet", "section", "parcelle")
     assert got == [("parcelles", None, "59350000AB0001"), ("sections", "AB", None)]
+
+
+def test_fusion_and_extract_sinks(spark, sf, tmp_path):
+    pub = catalog.published(spark, sf)
+    fused = export.export_fusion(pub, str(tmp_path / "fusion"), single_file=True)
+    files = [f for f in os.listdir(fused) if f.endswith(".parquet")]
+    assert len(files) == 1
+    back = spark.read.parquet(fused)
+    assert back.count() == pub.count()
+    lots = [x["lot"] for x in pq.read_table(os.path.join(fused, files[0]), columns=["lot"]).to_pylist()]
+    assert lots == sorted(lots)  # batch order kept inside the single file
+    out = export.export_extract(extract.extract_commune(pub, "59000"), str(tmp_path / "lille"), single_file=True)
+    assert spark.read.parquet(out).count() == extract.extract_commune(pub, "59000").count()
+    from parcelflow.sources.pages import read_pages
+    assert read_pages(spark, f"{sf}/pages.parquet").count() > 0
