@@ -162,35 +162,56 @@ def read_dbf(data: bytes, charset: str) -> pd.DataFrame:
     return pd.DataFrame(cols, index=range(len(raw)))
 
 
+def _cells(texts: list, width: int, right: bool) -> np.ndarray:
+    """Encoded field values (None = blank) -> (n, width) space-padded bytes."""
+    fixed = np.array([b"" if t is None else t[:width] for t in texts], dtype=f"S{width}")
+    out = np.full((len(texts), width), ord(" "), dtype=np.uint8)
+    lens = np.char.str_len(fixed)
+    mat = fixed.view(np.uint8).reshape(len(texts), width) if len(texts) else out
+    cols = np.arange(width)
+    if right:  # numbers: right-aligned
+        shift = (width - lens)[:, None]
+        src = cols[None, :] - shift
+        ok = src >= 0
+        out[ok] = mat[np.nonzero(ok)[0], src[ok]]
+    else:
+        ok = cols[None, :] < lens[:, None]
+        out[ok] = mat[ok]
+    return out
+
+
 def write_dbf(pdf: pd.DataFrame, charset: str) -> bytes:
-    """DataFrame -> dBase III: str -> C, int -> N, date -> D."""
-    specs = []
+    """DataFrame -> dBase III: str -> C, int -> N, date -> D.
+
+    Built column-at-a-time as a fixed-width byte matrix (numpy)."""
+    n = len(pdf)
+    specs, blocks = [], [np.full((n, 1), ord(" "), dtype=np.uint8)]
     for name in pdf.columns:
         s = pdf[name]
-        nonnull = s.dropna()
+        valid = s.notna().to_numpy()
+        nonnull = s[valid]
         sample = nonnull.iloc[0] if len(nonnull) else ""
         if isinstance(sample, (dt.date, pd.Timestamp)):
-            specs.append((name, "D", 8, 0, lambda v: v.strftime("%Y%m%d").encode("ascii")))
+            ftype, texts = "D", [v.strftime("%Y%m%d").encode("ascii") if ok else None for v, ok in zip(s, valid)]
+            width, right = 8, False
         elif (isinstance(sample, (int, np.integer)) and not isinstance(sample, bool)) or (
-                isinstance(sample, (float, np.floating)) and all(float(v).is_integer() for v in nonnull)):
-            w = max([len(str(int(v))) for v in nonnull] + [1])
-            specs.append((name, "N", w, 0, lambda v, w=w: str(int(v)).rjust(w).encode("ascii")))
+                isinstance(sample, (float, np.floating)) and bool((nonnull.astype(float) % 1 == 0).all())):
+            ftype = "N"
+            texts = [str(int(v)).encode("ascii") if ok else None for v, ok in zip(s, valid)]
+            width, right = max([len(t) for t in texts if t is not None] + [1]), True
         else:
-            enc = [str(v).encode(charset) for v in nonnull]
-            w = min(max([len(e) for e in enc] + [1]), 254)
-            specs.append((name, "C", w, 0, lambda v, w=w: str(v).encode(charset)[:w].ljust(w)))
-    rlen = 1 + sum(s[2] for s in specs)
+            ftype = "C"
+            texts = [str(v).encode(charset) if ok else None for v, ok in zip(s, valid)]
+            width, right = min(max([len(t) for t in texts if t is not None] + [1]), 254), False
+        specs.append((name, ftype, width))
+        blocks.append(_cells(texts, width, right))
+    rlen = sum(b.shape[1] for b in blocks)
     hlen = 32 + 32 * len(specs) + 1
     today = dt.date.today()
-    out = [struct.pack("<BBBBIHH20x", 3, today.year - 1900, today.month, today.day, len(pdf), hlen, rlen)]
-    for name, ftype, flen, fdec, _ in specs:
-        out.append(struct.pack("<11sc4xBB14x", name.encode("ascii")[:10], ftype.encode("ascii"), flen, fdec))
+    out = [struct.pack("<BBBBIHH20x", 3, today.year - 1900, today.month, today.day, n, hlen, rlen)]
+    for name, ftype, width in specs:
+        out.append(struct.pack("<11sc4xBB14x", name.encode("ascii")[:10], ftype.encode("ascii"), width, 0))
     out.append(b"\x0d")
-    for row in pdf.itertuples(index=False):
-        rec = [b" "]
-        for v, (_, _, flen, _, fmt) in zip(row, specs):
-            null = v is None or (isinstance(v, float) and np.isnan(v)) or v is pd.NaT
-            rec.append(b" " * flen if null else fmt(v))
-        out.append(b"".join(rec))
+    out.append(np.ascontiguousarray(np.hstack(blocks)).tobytes())
     out.append(b"\x1a")
     return b"".join(out)
