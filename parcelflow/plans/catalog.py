@@ -14,10 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators import enrich, export, extract, unify
-from ..session import scratch_path
-from ..sources.layers import read_published
+from ..functions import urls as U
+from ..operators import enrich, export, extract, ingest, inventory, links, manifest, spatial, unify
+from ..session import scratch_path, shared_dir
+from ..sources import archives as AR
+from ..sources import shapefiles as SH
+from ..sources.layers import PUBLISHED, read_layer, read_layers, read_published
+from ..streaming import incremental
 from . import adapters as A
+from . import fixtures as FX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -117,9 +122,7 @@ UNIFIED_FLAT_SQL = flat_sql(unified_sql())
 
 def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal") -> DataFrame:
     """Canonical features from the layer files derived from ``sf_dir``."""
-    from ..sources.layers import read_layers
-    from .fixtures import layer_files
-    return unify.unified_features(read_layers(spark, layer_files(spark, sf_dir), layout="partitioned"),
+    return unify.unified_features(read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned"),
                                   srid_mode=srid_mode)
 
 
@@ -206,7 +209,6 @@ _PUBLISHED: dict[tuple[str, str], str] = {}
 
 def publish(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Export the unified features of ``sf_dir`` once; return the dataset path."""
-    from ..session import shared_dir
     key = (shared_dir(spark), sf_dir)
     if force or key not in _PUBLISHED:
         _PUBLISHED[key] = export.export_sorted(unified(spark, sf_dir), scratch_path(spark, "published"))
@@ -278,9 +280,6 @@ def q_extract_many_extents(spark, sf_dir):
 
 # ------------------------------------------------------------ manifest ----
 
-from ..functions import urls as U  # noqa: E402
-from ..operators import inventory, links, manifest  # noqa: E402
-
 
 def lit_sql(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -313,8 +312,7 @@ _LOG_CTE = f"WITH log_urls AS ({A.LOG_SQL}) "
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .fixtures import file_listing
-    return file_listing(spark, sf_dir)
+    return FX.file_listing(spark, sf_dir)
 
 
 @register("manifest_plan", f"SELECT *, {_outcome_sql(False)} AS outcome FROM ({MANIFEST_URL_SQL})")
@@ -456,16 +454,13 @@ def q_reachable_files(spark, sf_dir):
 
 # ------------------------------------------------------------- spatial ----
 
-from ..operators import spatial  # noqa: E402
 
 LOCATE_CELL = 500.0
 
 
 def _locate_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Unlocated subdivisions and communes, read from the layer files."""
-    from ..sources.layers import read_layer
-    from .fixtures import layer_files
-    root = layer_files(spark, sf_dir)
+    root = FX.layer_files(spark, sf_dir)
     _, unlocated = enrich.split_subdivisions(read_layer(spark, root, "subdivisions_fiscales", "partitioned"))
     communes = enrich.enrich_layer(read_layer(spark, root, "communes", "partitioned"), "communes")
     return unlocated, communes
@@ -487,12 +482,6 @@ def q_locate_by_containment(spark, sf_dir):
 
 # ------------------------------------------------------ ingest, stream ----
 
-from ..operators import ingest  # noqa: E402
-from ..sources import archives as AR  # noqa: E402
-from ..sources import shapefiles as SH  # noqa: E402
-from ..streaming import incremental  # noqa: E402
-from . import fixtures as FX  # noqa: E402
-
 
 @register("expand_archives")
 def q_expand_archives(spark, sf_dir):
@@ -529,7 +518,6 @@ def q_incremental_layers(spark, sf_dir):
     incremental.land_layers(spark, landing, out, ckpt)
     FX.land_layer_files(spark, sf_dir, landing, S.LAYERS[half:])
     incremental.land_layers(spark, landing, out, ckpt)
-    from ..sources.layers import PUBLISHED  # canonical schema (+ unused lot)
     return flat(spark.read.schema(PUBLISHED).parquet(out).drop("lot"))
 
 
