@@ -23,14 +23,13 @@ def ingest_shapefiles(spark: SparkSession, src_root: str, out_root: str, overwri
     """Decode every shapefile set below ``src_root`` into ``out_root``.
 
     Without ``overwrite`` only sets whose ``source`` is not yet in the
-    output are written (resume: a second run adds nothing).  Returns the
+    output are decoded and written (resume: a second run adds nothing and
+    decodes nothing).  Returns the
     per-set status rows of this run (source, ok, error) for outcome counts.
     """
-    sets = read_shapefile_sets(spark, src_root, charset, from_archives)
-    if not overwrite:
-        done = _existing_sources(spark, out_root)
-        if done is not None:
-            sets = sets.join(done, "source", "left_anti")
+    done = None if overwrite else _existing_sources(spark, out_root)
+    # sets already landed are removed before the (Python) decode, by set key
+    sets = read_shapefile_sets(spark, src_root, charset, from_archives, skip_sources=done)
     sets = sets.checkpoint()  # decode once: feeds both the write and the report
     good = sets.where("ok").drop("ok", "error")
     write_layers(good, out_root, mode="overwrite" if overwrite else "append")

@@ -86,16 +86,29 @@ def _members(spark: SparkSession, root: str, from_archives: bool) -> DataFrame:
         inside(F.lower(F.regexp_replace("_name", r"\.[^./\\]*$", ""))).alias("_set"))
 
 
+def set_key(source) -> "F.Column":
+    """Set key of a decoded ``source`` (the .shp path): same rule as members."""
+    src = F.col(source) if isinstance(source, str) else source
+    container = F.regexp_extract(src, r"^(.*)!", 1)
+    member = F.regexp_replace(src, r"^.*!", "")
+    stem = F.lower(F.regexp_replace(member, r"\.[^./\\]*$", ""))
+    return F.when(container == "", stem).otherwise(F.concat(container, F.lit("!"), stem))
+
+
 def read_shapefile_sets(spark: SparkSession, root: str, charset: str = S.DEFAULT_CHARSET,
-                        from_archives: bool = False) -> DataFrame:
+                        from_archives: bool = False, skip_sources: DataFrame | None = None) -> DataFrame:
     """Decoded records of every shapefile set below ``root`` with ok/error.
 
     Files are grouped by their path stem (case-insensitive), so one group is
     one shapefile set: a group is bounded by the size of one file set, and
     sets are spread over tasks by the shuffle.  ``from_archives`` reads the
     sets straight out of ``.zip`` archives instead of extracted files.
+    ``skip_sources`` (a ``source`` column) removes sets before decoding.
     """
     m = _members(spark, root, from_archives).where(F.col("_ext").isin(".shp", ".dbf", ".cpg"))
+    if skip_sources is not None:
+        done = skip_sources.select(set_key("source").alias("_set")).distinct()
+        m = m.join(done, "_set", "left_anti")
     return (m.groupBy("_set").applyInPandas(_decode_set(charset), DECODED)
             .withColumn("layer", layer_of(F.regexp_replace("source", r"^.*!", ""))))
 
