@@ -104,3 +104,26 @@ def rebuild_log(files: DataFrame, root: str) -> DataFrame:
     name = F.substring_index(F.col("path"), "/", -1)
     return (files.where((F.col("length") > 0) & (name != F.lit(S.LOG_FILE_NAME)))
             .select(path_to_url(rel).alias("url")).where(F.col("url").isNotNull()))
+
+
+# --- fixed values: per-file fetch results -----------------------------------
+FETCH_SUCCESS = "success"
+FETCH_FAILURE = "failure"
+FETCH_DIRECTORY = "directory"  # the URL answered with a listing, not a file
+# ---------------------------------------------------------------------------
+
+
+def seed_outcomes(results: DataFrame, seed: str = "seed", outcome: str = "outcome") -> DataFrame:
+    """Per seed: successes, failures and directory answers, and whether the
+    seed may be logged as done (only when none of its files failed).
+
+    A directory answer counts as neither success nor failure.  One grouped
+    aggregation with map-side partial counts, so a seed holding most of the
+    files is no hot spot.
+    """
+    o = F.col(outcome)
+    return results.groupBy(seed).agg(
+        F.count_if(o == FETCH_SUCCESS).alias("n_success"),
+        F.count_if(o == FETCH_FAILURE).alias("n_failure"),
+        F.count_if(o == FETCH_DIRECTORY).alias("n_directory"),
+    ).withColumn("done", F.col("n_failure") == 0)

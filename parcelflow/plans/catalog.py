@@ -555,3 +555,26 @@ def q_links_resume(spark, sf_dir):
     pl = links.page_links(A.table(spark, sf_dir, "pages"))
     _, todo = links.split_by_presence(pl, downloaded_files(spark, sf_dir), MIRROR)
     return todo
+
+
+# ------------------------------------------------------ seed outcomes ----
+
+def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-link fetch results derived from the page links: directory links
+    answer with a listing; every 5th file link failed."""
+    pl = links.page_links(A.table(spark, sf_dir, "pages"))
+    outcome = (F.when(F.col("link").endswith("/"), F.lit(manifest.FETCH_DIRECTORY))
+               .when(F.pmod("pos", F.lit(5)) == 0, F.lit(manifest.FETCH_FAILURE))
+               .otherwise(F.lit(manifest.FETCH_SUCCESS)))
+    return pl.select(F.col("url").alias("seed"), "link", outcome.alias("outcome"))
+
+
+@register("seed_outcomes",
+          f"SELECT seed, count(*) FILTER (WHERE outcome = 'success') AS n_success, "
+          f"count(*) FILTER (WHERE outcome = 'failure') AS n_failure, "
+          f"count(*) FILTER (WHERE outcome = 'directory') AS n_directory, "
+          f"count(*) FILTER (WHERE outcome = 'failure') = 0 AS done FROM ("
+          f"SELECT url AS seed, CASE WHEN ends_with(link, '/') THEN 'directory' WHEN pos % 5 = 0 THEN 'failure' "
+          f"ELSE 'success' END AS outcome FROM ({_PAGE_LINKS_SQL})) GROUP BY seed")
+def q_seed_outcomes(spark, sf_dir):
+    return manifest.seed_outcomes(fetch_results(spark, sf_dir))

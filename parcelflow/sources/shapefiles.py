@@ -23,7 +23,6 @@ DECODED = T.StructType(
 
 _DATE_COLS = {f.name for f in S.ATTRIBUTES.fields if isinstance(f.dataType, T.DateType)}
 _LONG_COLS = {f.name for f in S.ATTRIBUTES.fields if isinstance(f.dataType, T.LongType)}
-_STRING_COLS = [f.name for f in S.ATTRIBUTES.fields if isinstance(f.dataType, T.StringType)]
 _BY_LOWER = {f.name.lower(): f.name for f in S.ATTRIBUTES.fields}
 
 

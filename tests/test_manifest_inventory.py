@@ -108,3 +108,10 @@ def test_reachable_matches_bfs_with_cycles(spark):
                 seen[d] = seen[n] + 1
                 q.append(d)
     assert got == seen
+
+
+def test_seed_outcomes_directory_is_neither_and_failures_block_done(spark):
+    res = spark.createDataFrame([("s1", "success"), ("s1", "directory"), ("s2", "success"), ("s2", "failure"),
+                                 ("s3", "directory")], "seed string, outcome string")
+    got = rows(manifest.seed_outcomes(res), "seed", "n_success", "n_failure", "n_directory", "done")
+    assert got == [("s1", 1, 0, 1, True), ("s2", 1, 1, 0, False), ("s3", 0, 0, 1, True)]
