@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import urls as U
 from ..operators import enrich, export, extract, ingest, inventory, links, manifest, spatial, unify
-from ..session import scratch_path, shared_dir
+from ..session import scratch_path, shared_dir, ship_package
 from ..sources import archives as AR
 from ..sources import shapefiles as SH
 from ..sources.layers import PUBLISHED, read_layer, read_layers, read_published
@@ -31,7 +31,11 @@ _ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        _QUERIES[name] = fn
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)  # executors need the package for UDFs
+            return fn(spark, sf_dir)
+        shipped.__name__ = fn.__name__
+        _QUERIES[name] = shipped
         if sql is not None:
             _ORACLE[name] = sql
         return fn

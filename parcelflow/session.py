@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -63,3 +64,39 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parcelflow`` importable in executor Python workers.
+
+    Python UDFs, ``mapInPandas`` and ``applyInPandas`` functions are pickled
+    by reference to this package, so executors need it on their path.  Like
+    ``--py-files``, the package is zipped on the driver and distributed with
+    ``addPyFile`` (once per SparkContext).
+    """
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+        key = id(sc)
+    except Exception:  # noqa: BLE001 - remote session: no SparkContext
+        sc, key = None, id(spark)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="parcelflow-pkg-"), "parcelflow.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(key)
