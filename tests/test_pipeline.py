@@ -132,3 +132,23 @@ def test_fusion_and_extract_sinks(spark, sf, tmp_path):
     assert spark.read.parquet(out).count() == extract.extract_commune(pub, "59000").count()
     from parcelflow.sources.pages import read_pages
     assert read_pages(spark, f"{sf}/pages.parquet").count() > 0
+
+
+def test_export_splits_a_hot_commune_over_tasks(spark, tmp_path):
+    """One commune holding every row still spreads over several sorted files."""
+    hot = spark.range(20000).select(F.lit("59350").alias("commune"),
+                                    F.concat(F.lit("59350000AB"), F.col("id").cast("string")).alias("id"),
+                                    F.lit("AB").alias("section"))
+    feats = unify.unified_features({"parcelles": hot})
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = export.export_sorted(feats, str(tmp_path / "hot"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    d = tmp_path / "hot" / "lot=56_70"
+    files = sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+    assert len(files) > 1, "a hot key must not land in a single task"
+    sizes = [pq.read_metadata(d / f).num_rows for f in files]
+    assert sum(sizes) == 20000 and max(sizes) < 20000 * 0.5
+    assert read_published(spark, path).count() == 20000
