@@ -499,7 +499,7 @@ _RAW_UNION_SQL = " UNION ALL BY NAME ".join(
 
 
 @register("read_shapefiles",
-          flat_sql(f"SELECT layer, {', '.join(repr(c).replace(chr(39), chr(34)) for c in _ATTR_COLS)}, "
+          flat_sql(f"SELECT layer, {', '.join(f'"{c}"' for c in _ATTR_COLS)}, "
                    f"geometry_bbox FROM ({_RAW_UNION_SQL})"))
 def q_read_shapefiles(spark, sf_dir):
     root = FX.layer_archives(spark, sf_dir)
