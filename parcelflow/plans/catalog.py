@@ -124,10 +124,19 @@ def unified_sql(srid_mode: str = "literal") -> str:
 UNIFIED_FLAT_SQL = flat_sql(unified_sql())
 
 
+_UNIFIED: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal") -> DataFrame:
-    """Canonical features from the layer files derived from ``sf_dir``."""
-    return unify.unified_features(read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned"),
-                                  srid_mode=srid_mode)
+    """Canonical features from the layer files derived from ``sf_dir``.
+
+    The (immutable) plan is built once per session and reused; building it
+    costs hundreds of driver-JVM calls, running it is unaffected."""
+    key = (id(spark), sf_dir, srid_mode)
+    if key not in _UNIFIED:
+        _UNIFIED[key] = unify.unified_features(
+            read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned"), srid_mode=srid_mode)
+    return _UNIFIED[key]
 
 
 # ---------------------------------------------------------- layer jobs ----
