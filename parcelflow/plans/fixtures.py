@@ -36,6 +36,7 @@ def land_layer_files(spark: SparkSession, sf_dir: str, landing: str, layers: tup
 
 
 _LAYER_FILES: dict[tuple[str, str], str] = {}
+LAYER_ROW_GROUP_BYTES = 4 * 1024 * 1024
 
 
 def layer_files(spark: SparkSession, sf_dir: str) -> str:
@@ -48,7 +49,10 @@ def layer_files(spark: SparkSession, sf_dir: str) -> str:
         root = scratch_path(spark, "layer-files")
         frames = [A.layer(spark, sf_dir, n, with_geometry=True).withColumn("layer", F.lit(n)) for n in S.LAYERS]
         allc = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-        allc.write.option("compression", "zstd").partitionBy("layer").parquet(root)
+        # row groups of a few MB: like per-département layer files, every layer
+        # splits into several input partitions instead of one big row group
+        (allc.write.option("compression", "zstd").option("parquet.block.size", LAYER_ROW_GROUP_BYTES)
+            .partitionBy("layer").parquet(root))
         _LAYER_FILES[key] = root
     return _LAYER_FILES[key]
 
