@@ -83,6 +83,8 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUE = _VALUE[_LOWER]
+#: the same with all ASCII but letters and digits between words
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: multipliers of the words of a shingle
 _PLACE = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -105,9 +107,9 @@ def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(21, int(n).bit_length()))
 
 
-def _segment_words(raw: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_words(raw: np.ndarray, first: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start bytes and hashes of the words of ``raw``; ``first`` marks bytes where a text begins."""
-    word = ~_SPACE[raw]
+    word = ~space[raw]
     before = np.empty(len(raw), bool)
     before[:1], before[1:] = False, word[:-1]
     begin = np.flatnonzero(word & (~before | first))
@@ -121,10 +123,10 @@ def _segment_words(raw: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return begin, mix((total[end] - head) * down[begin] + length * _ODD)
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words_of(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lowered) of several texts, and each text's word offsets.
 
-    A run of texts is cut at spaces into segments of about a megabyte, so the
+    ``space`` marks the bytes between words.  A run of texts is cut at spaces into segments of about a megabyte, so the
     temporary arrays stay small for texts of any length.
     """
     n, hashes, starts, at = int(offsets[-1]), [], [], 0
@@ -132,10 +134,10 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     is_first[offsets[:-1]] = True
     while at < n:
         to = min(n, at + PIECE_BYTES)
-        while to < n and not _SPACE[raw[to]] and not is_first[to]:
-            nxt = np.flatnonzero(_SPACE[raw[to : to + 65536]] | is_first[to : min(n, to + 65536)])
+        while to < n and not space[raw[to]] and not is_first[to]:
+            nxt = np.flatnonzero(space[raw[to : min(n, to + 65536)]] | is_first[to : min(n, to + 65536)])
             to = to + int(nxt[0]) if len(nxt) else min(n, to + 65536)
-        b, h = _segment_words(raw[at:to], is_first[at:to])
+        b, h = _segment_words(raw[at:to], is_first[at:to], space)
         starts.append(b + at)
         hashes.append(h)
         at = to
@@ -156,4 +158,5 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
 
 def sequence_hash(words: np.ndarray) -> np.uint64:
     """Hash of a whole short word sequence; differs from every n-gram's."""
-    return mix(np.array([(words * _PLACE[: len(words)]).sum(dtype=np.uint64) + _PLACE[60 + min(len(words), 3)]], np.uint64))[0]
+    parts = np.append(words * _PLACE[: len(words)], _PLACE[60 + min(len(words), 3)])
+    return mix(parts.sum(dtype=np.uint64, keepdims=True))[0]

@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ship_package
 
-from . import sharding, sp_codec, token_files
+from . import decontaminate, near_dup, sharding, sp_codec, token_files
 from .common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
@@ -30,7 +34,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokens(table(spark, sf_dir, "documents"), BYTE_MODEL, end_id=2)
 
 
-_QUERIES = (op5_sharding, op6_sentencepiece, op9_token_files)
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_decontamination, op5_sharding, op6_sentencepiece, op9_token_files, op10_near_dup)
 
 
 def _shipped(query: Callable) -> Callable:
