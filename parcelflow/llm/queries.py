@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ship_package
 
-from . import decontaminate, near_dup, sharding, sp_codec, token_files
-from .common import table
+from . import decontaminate, lang_id, near_dup, sharding, sp_codec, token_files, toxicity
+from .common import crc_mod4, held_out, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,20 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = lang_id.fit(docs.where(F.coalesce(crc_mod4() != 2, F.lit(True))))
+    out = docs.select("doc_id", held_out().alias("held_out"), lang_id.predicted(net, docs).alias("p"))
+    return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = docs.select("doc_id", held_out().alias("held_out"), toxicity.scored(model, docs).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
@@ -38,7 +52,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op5_sharding, op6_sentencepiece, op9_token_files, op10_near_dup)
+_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op5_sharding, op6_sentencepiece, op9_token_files, op10_near_dup)
 
 
 def _shipped(query: Callable) -> Callable:
