@@ -1,9 +1,11 @@
 """Toxicity by weak supervision.
 
+0. Copies would make every word of a toxic text look toxic: of sampled rows that
+   share one of ``SIGNS`` min-hashes of their word triples one stays.
 1. Lexicons: over a sample of labelled rows, Spark counts in how many toxic and
    other documents each word, and each word beginning of 4 to 6 letters,
-   occurs.  Terms that stand out on the toxic side (log odds ratio at least
-   ``SURE`` standard errors above 0) are dealt into ``LEXICONS`` lists; terms
+   occurs.  Terms that stand out on the toxic side (log odds ratio ``SURE``
+   standard errors above 0, and 1.64 above ``ODDS``) are dealt into ``LEXICONS`` lists; terms
    with the same first four letters share a list.
 2. Voters: each list fires on a document that has one of its terms; each of a
    few patterns (address, threat, censored word, shouting) fires on a match; the
@@ -33,10 +35,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod4, written
+from .common import crc_mod4, mix, ngrams, words_of, written
 
 SAMPLE, TERMS, LEXICONS, SURE, THRESHOLD = 12_000, 2000, 32, 2.8, 0.3
+#: the least log odds ratio of a lexicon's term, at the lower end of its 90 % interval
+ODDS = 1.5
 STEMS = (4, 5, 6)
+SIGNS = 4
+_SIGN = mix(np.arange(1, SIGNS + 1, dtype=np.uint64))
 _WORD = re.compile(r"[^\W\d_]+")
 #: a part that must occur (as it is, or lowered) before the pattern is tried
 _PATTERNS = (
@@ -62,11 +68,19 @@ def patterns(text: str, low: str) -> list[int]:
     return [int(part in (low if lowered else text) and p.search(low if lowered else text) is not None) for part, lowered, p in _PATTERNS]
 
 
+def signs(text: str) -> list[int]:
+    """Min-hashes of a text's word triples; texts of a word or two have their own, empty ones none."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    words, _ = words_of(raw, np.array([0, len(raw)]))
+    grams = ngrams(words, 3) if len(words) >= 3 else words
+    return [int(mix(grams ^ k).min().view(np.int64)) for k in _SIGN] if len(grams) else []
+
+
 class LabelModel:
     """Votes (n x v, 0 or 1) generated by a latent class; ``posterior`` after ``fit``."""
 
-    def fit(self, votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
-        self.weight = np.ones(votes.shape[1])
+    def fit(self, votes: np.ndarray, start: np.ndarray, rounds: int = 10) -> LabelModel:
+        self.weight, self.prior = np.ones(votes.shape[1]), float(np.clip(start.mean(), 1e-3, 1 - 1e-3))
         q = start.astype(float)
         for _ in range(2):
             for _ in range(rounds):
@@ -78,7 +92,6 @@ class LabelModel:
 
     def _estimate(self, votes: np.ndarray, q: np.ndarray) -> None:
         n1, n0 = q.sum(), (1 - q).sum()
-        self.prior = (n1 + 1) / (n1 + n0 + 2)
         self.fires = np.stack([((1 - q) @ votes + 0.05) / (n0 + 1), (q @ votes + 0.05) / (n1 + 1)])
 
     def _weigh(self, votes: np.ndarray, q: np.ndarray) -> None:
@@ -133,10 +146,18 @@ def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str)
                 out = []
                 for h, y, t in zip(p["h"], p["toxic"], p["text"], strict=True):
                     words, low = terms(t)
-                    out.append((h, y, sorted(words | stems(words)), patterns(t, low)))
-                yield pd.DataFrame(out, columns=["h", "toxic", "terms", "patterns"])
+                    out.append((h, y, sorted(words | stems(words)), patterns(t, low), signs(t)))
+                yield pd.DataFrame(out, columns=["h", "toxic", "terms", "patterns", "signs"])
+
+    return rows.mapInPandas(run, "h bigint, toxic int, terms array<string>, patterns array<int>, signs array<bigint>")
+
 
-    return rows.mapInPandas(run, "h bigint, toxic int, terms array<string>, patterns array<int>")
+def without_copies(sample: DataFrame) -> DataFrame:
+    """Of rows that share a sign the one with the smallest hash; equal rows once."""
+    seen = sample.select("h", F.posexplode("signs").alias("nth", "sign"))
+    first = seen.groupBy("nth", "sign").agg(F.min("h").alias("first"))
+    later = seen.join(first, ["nth", "sign"]).where("h > first").select("h").distinct()
+    return sample.join(later, "h", "left_anti").dropDuplicates(["h", "toxic"])
 
 
 def lexicon(sample: DataFrame, n1: int, n0: int) -> list[str]:
@@ -144,12 +165,14 @@ def lexicon(sample: DataFrame, n1: int, n0: int) -> list[str]:
     d = sample.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
     a, b = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
     odds = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1))
-    d = d.where("a >= 3").withColumn("z", F.round(odds / F.sqrt(1 / a + 1 / b), 9)).where(F.col("z") >= SURE)
-    return [r["term"] for r in d.orderBy(F.desc("z"), "term").limit(TERMS).collect()]
+    se = F.sqrt(1 / a + 1 / b)
+    d = d.where((F.col("a") >= 3) & (odds >= SURE * se)).withColumn("low", F.round(odds - 1.64 * se, 9)).where(F.col("low") >= ODDS)
+    return [r["term"] for r in d.orderBy(F.desc("low"), "term").limit(TERMS).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Classifier:
     sample = written(sampled(docs, labels, key, text, label), "toxicity")
+    sample = written(without_copies(sample).drop("signs"), "toxicity")
     counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = counts.get(1, 0), counts.get(0, 0)
     if not n1 or not n0:
