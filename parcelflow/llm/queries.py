@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ship_package
 
-from . import decontaminate, lang_id, near_dup, sharding, sp_codec, token_files, toxicity
+from . import decontaminate, lang_id, near_dup, sharding, sp_codec, token_files, toxicity, vector_search
 from .common import crc_mod4, held_out, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -44,6 +44,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode_decode(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokens(table(spark, sf_dir, "documents"), BYTE_MODEL, end_id=2)
 
@@ -52,7 +56,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op5_sharding, op6_sentencepiece, op9_token_files, op10_near_dup)
+_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op5_sharding, op6_sentencepiece, op8_vector_search, op9_token_files, op10_near_dup)
 
 
 def _shipped(query: Callable) -> Callable:
