@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ship_package
 
-from . import decontaminate, lang_id, near_dup, sharding, sp_codec, token_files, toxicity, vector_search
+from . import decontaminate, html_text, lang_id, license_scan, near_dup, sharding, sp_codec, token_files, toxicity, vector_search
 from .common import crc_mod4, held_out, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -35,6 +35,23 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def file_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: <source>/<ten thousands>/<hundreds>/<doc_id>.txt.
+
+    Ids divisible by 100 are licence files of their hundred, by 1,000 of their ten thousand.
+    """
+    k = F.col("doc_id")
+    tens, hundreds = F.expr("cast(doc_id div 10000 as string)"), F.expr("cast(doc_id div 100 as string)")
+    notice = F.concat(F.lit("LICENSE-"), k.cast("string"))
+    path = F.when(k % 1000 == 0, F.concat_ws("/", "source", tens, notice)).when(k % 100 == 0, F.concat_ws("/", "source", tens, hundreds, notice))
+    path = path.otherwise(F.concat_ws("/", "source", tens, hundreds, F.concat(k.cast("string"), F.lit(".txt"))))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(file_paths(table(spark, sf_dir, "documents")), keep=("doc_id",))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
@@ -44,6 +61,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode_decode(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -56,7 +77,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op5_sharding, op6_sentencepiece, op8_vector_search, op9_token_files, op10_near_dup)
+_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op4_licenses, op5_sharding, op6_sentencepiece, op7_html_text, op8_vector_search, op9_token_files, op10_near_dup)
 
 
 def _shipped(query: Callable) -> Callable:
