@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_bytes, mix, ngrams, pieces, sequence_hash, words_of, written
@@ -85,7 +85,7 @@ def sketches(h: np.ndarray, d: np.ndarray, n: int, t: int = T) -> np.ndarray:
     return out.reshape(n, t)
 
 
-_SKETCH = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("cls", pa.int64()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_SKETCH = pa.schema([("row_key", pa.int64()), ("text_key", pa.int64()), ("doc_id", pa.int64()), ("cls", pa.int64()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +102,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = mix((s * _BAND).reshape(n, BANDS, ROWS).sum(2, dtype=np.uint64) + _BAND[:BANDS]).view(np.int64)
             some = size > 0
             yield pa.RecordBatch.from_arrays([
-                b.column("row_key").slice(lo, n), b.column("doc_id").slice(lo, n),
+                *(b.column(c).slice(lo, n) for c in ("row_key", "text_key", "doc_id")),
                 pa.array(cls, mask=~some), pa.array(size),
                 pa.array([k if x else [] for k, x in zip(keys, some, strict=True)], pa.list_(pa.int64())),
                 pa.array([r.tobytes() if x else None for r, x in zip(s.astype(np.uint8), some, strict=True)], pa.binary()),
@@ -197,14 +197,24 @@ def _blocked(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row_key"), "doc_id", "text")
-    drawn = rows.mapInArrow(_sketch, "row_key bigint, doc_id bigint, cls bigint, n_shingles bigint, bands array<bigint>, sketch binary")
+def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with row_key (the id, or a hash of the text without one) and text_key; equal pairs: equal rows."""
+    of_text = F.xxhash64(F.col(text).cast("string"))
+    return docs.withColumn("row_key", F.coalesce(F.col(key).cast("bigint"), of_text)).withColumn("text_key", of_text)
+
+
+def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every row (doc_id, row_key, text_key, cls, n_shingles), and every class (cls, component_id, keeper).
+
+    The keeper is the row that stands for its component: the smallest id, rows
+    without one last.
+    """
+    rows = keyed(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    drawn = rows.mapInArrow(_sketch, "row_key bigint, text_key bigint, doc_id bigint, cls bigint, n_shingles bigint, bands array<bigint>, sketch binary")
     drawn = written(drawn, "sketches")
 
-    classes = drawn.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "row_key", "text_key"))
+    classes = drawn.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), first.alias("keeper"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     classes = written(classes, "classes")
     banded = classes.select(F.explode("bands").alias("bucket"), "cls")
     buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.expr("bit_xor(xxhash64(cls))").alias("who"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high")
@@ -213,8 +223,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = written(members, "members")
 
     close = members.select("cls").distinct()
-    drawings = written(classes.join(close, "cls", "left_semi").select("cls", "row_key", "sketch"), "close")
-    texts = rows.join(drawings.select("row_key", "cls"), "row_key").mapInArrow(_own_text, "cls bigint, text string")
+    drawings = written(classes.join(close, "cls", "left_semi").select("cls", "keeper", "sketch"), "close")
+    own = drawings.select("cls", "keeper.row_key", "keeper.text_key")
+    texts = rows.join(own, ["row_key", "text_key"]).select("cls", "text").mapInArrow(_once, "cls bigint, text string")
     texts = written(texts, "texts")
 
     n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -240,28 +251,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     more = written(confirmed(pairs, texts), "links")
     label = components(links.union(more))
 
-    own = classes.select("cls", "first_doc").join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    name = own.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    of_class = own.join(name, "label").select("cls", "component_id")
-    out = drawn.select("doc_id", "cls", "n_shingles").join(of_class, "cls", "left")
+    own = classes.select("cls", "first_doc", "keeper").join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    name = own.groupBy("label").agg(F.min("first_doc").alias("component_id"), F.min("keeper").alias("keeper"))
+    return drawn.drop("bands", "sketch"), own.select("cls", "label").join(name, "label").drop("label")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    rows, classes = grouped(docs, key, text)
+    out = rows.select("doc_id", "cls", "n_shingles").join(classes.drop("keeper"), "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows whose text is that of the class (a repeated doc_id may bring others), once a task."""
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every component of ``docs``, all columns; rows without any word stay."""
+    _, classes = grouped(docs, key, text)
+    keepers = classes.select("keeper.row_key", "keeper.text_key").distinct()
+    some = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = keyed(docs.where(some), key, text).join(keepers, ["row_key", "text_key"])
+    nth = F.row_number().over(Window.partitionBy("row_key", "text_key").orderBy("row_key"))
+    kept = kept.withColumn("nth", nth).where("nth = 1").select(*docs.columns)
+    return kept.unionByName(docs.where(~some))
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A class's text once a task, where its row is repeated."""
     seen: set[int] = set()
     for b in batches:
-        raw, offsets = arrow_bytes(b.column("text"))
-        keep, want = [], b.column("cls").to_pylist()
-        for lo, hi in pieces(offsets):
-            h, d = shingle_sets(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            total = np.zeros(hi - lo, np.uint64)
-            np.add.at(total, d, mix(h ^ _SEEDS[0]))
-            cls = mix(total ^ np.bincount(d, minlength=hi - lo).astype(np.uint64)).view(np.int64)
-            for k in range(lo, hi):
-                ok = cls[k - lo] == want[k] and want[k] not in seen
-                seen.add(want[k])
-                keep.append(bool(ok))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([b.column("cls").filter(mask), b.column("text").filter(mask)], names=["cls", "text"])
+        new = []
+        for c in b.column("cls").to_pylist():
+            new.append(c not in seen)
+            seen.add(c)
+        yield b.filter(pa.array(new, pa.bool_()))

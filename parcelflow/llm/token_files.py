@@ -49,25 +49,20 @@ MEMORY = 400_000
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _TAIL = struct.Struct("<QQQQ")
 
-#: the split of byte-level BPE, for any text and (faster) for Latin letters
-_ANY = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_LATIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
-_NOT_LATIN = re.compile("[^\t-\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
-
-
-class _Memory(dict):
-    """Ids of words met lately, as bytes."""
-
-    older: dict = {}
-
-    def age(self) -> None:
-        if len(self) > MEMORY:
-            self.older = dict(self)
-            self.clear()
+#: a space between white space, where texts may not be cut; then they are split like this
+_LONG_SPACE = re.compile(r"\s \s")
+_SPLIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: white space to Python, but not to the tokenizer; and the mark of a word without a space before it
+_ODD = re.compile("[\x00\x1c-\x1f]")
+_BARE = "\x00"
 
 
 class Encoder:
-    """A byte-level BPE of the tokenizers library; words are encoded by it once and remembered."""
+    """A byte-level BPE of the tokenizers library; words are encoded by it once and remembered.
+
+    No token spans the place before a space that has another character than
+    white space on either side, so texts are cut there.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,30 +72,41 @@ class Encoder:
         self.by_word = self.lib.normalizer is None and split == "ByteLevel" and not self.lib.pre_tokenizer.add_prefix_space
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.memory = _Memory()
+        #: ids of words met lately, and of those met before
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in got]
 
+    def _lookup(self, words: list[str]) -> bytes:
+        """The ids of words with a space before each (of those with the mark, without)."""
+        got = list(map(self.memory.get, words))
+        if None in got:
+            if len(self.memory) > MEMORY:
+                self.older, self.memory = self.memory, {}
+                got = [None] * len(words)
+            new = list({w for w, g in zip(words, got, strict=True) if g is None})
+            old = list(map(self.older.get, new))
+            self.memory.update((w, g) for w, g in zip(new, old, strict=True) if g is not None)
+            new = [w for w, g in zip(new, old, strict=True) if g is None]
+            self.memory.update(zip(new, self._raw([w[1:] if w[:1] == _BARE else " " + w for w in new]), strict=True))
+            got = list(map(self.memory.get, words))
+        return b"".join(got)
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as packed integers of ``width``."""
         if not text:
             return b""
-        if not self.by_word or any(s in text for s in self.special):
+        if not self.by_word or _ODD.search(text) or any(s in text for s in self.special):
             return self._raw([text])[0]
-        words = (_ANY if _NOT_LATIN.search(text) else _LATIN).findall(text)
-        out, memory = [], self.memory
-        for lo in range(0, len(words), 65536):
-            run = words[lo : lo + 65536]
-            memory.age()
-            new = [w for w in dict.fromkeys(run) if w not in memory]
-            older = memory.older
-            memory.update((w, older[w]) for w in new if w in older)
-            new = [w for w in new if w not in older]
-            memory.update(zip(new, self._raw(new), strict=True))
-            out.append(b"".join([memory[w] for w in run]))
-        return b"".join(out)
+        if _LONG_SPACE.search(text):
+            words = [w[1:] if w[0] == " " and not w.isspace() else _BARE + w for w in _SPLIT.findall(text)]
+        else:
+            words = text.split(" ")
+            words[0] = _BARE + words[0]
+        return b"".join([self._lookup(words[lo : lo + 65536]) for lo in range(0, len(words), 65536)])
 
 
 @lru_cache(maxsize=2)
