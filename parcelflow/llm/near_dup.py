@@ -14,10 +14,12 @@ draws.  Long sets fill up in one or two rounds.
 3. In every bucket (cut into blocks of about ``BLOCK`` classes, each with the
    bucket's first and last class) a spanning forest over the most similar
    sketches is proposed; its links are confirmed on the full sets.
-4. Components are formed.  Where a bucket still holds several components, all
-   pairs across them whose sketches leave a similarity of 0.75 possible are
-   confirmed too: members outside the bucket's largest component against all
-   its members.  So no pair is skipped but those already connected.
+4. Components are formed.  Where a bucket still holds several, those are put
+   into one cluster that have members there whose sketches leave a similarity
+   of 0.75 possible.  In every cluster the members outside its largest
+   component meet all members of other components, block by block, on their
+   full sets.  So no pair is skipped but those already connected; only links
+   leave the tasks, and a text is sent once per pair of blocks.
 5. Components again; the smallest doc_id of each is its name.
 
 A pair at a similarity of 0.75 shares no band with probability (1 - 0.75^5)^32
@@ -43,6 +45,8 @@ from .components import components
 
 WORDS, T, ROWS, BANDS = 5, 160, 5, 32
 BLOCK = 1024
+#: classes and bytes of text in a block of full sets
+SET_BLOCK, SET_BYTES = 256, 8 << 20
 #: agreeing coordinates of 160 below which a similarity of 0.75 is off by four standard deviations
 PLAUSIBLE = int(T * (0.75 - 4 * (0.75 * 0.25 / T) ** 0.5))
 _SEEDS = mix(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -153,13 +157,38 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Plausible pairs between the rest (rows with ``rest``) and all others of another component."""
+    """Pairs of components with plausible pairs between the rest (rows with ``rest``) and all others."""
     for g in _groups(batches, ["bucket", "i", "j"]):
-        s, label, cls, rest = _matrix(g["sketch"]), g["label"].to_numpy(), g["cls"].to_numpy(), g["rest"].to_numpy()
+        s, label, rest = _matrix(g["sketch"]), g["label"].to_numpy(), g["rest"].to_numpy()
         every = np.flatnonzero(~rest)
+        pairs: set[tuple[int, int]] = set()
         for k in np.flatnonzero(rest):
             like = (s[every] == s[k]).sum(1)
-            hit = every[(like >= PLAUSIBLE) & (label[every] != label[k])]
+            for other in np.unique(label[every[(like >= PLAUSIBLE) & (label[every] != label[k])]]):
+                pairs.add((int(min(other, label[k])), int(max(other, label[k]))))
+        if pairs:
+            yield pd.DataFrame(sorted(pairs), columns=["a", "b"])
+
+
+def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between the rest and all others of another component, on full sets."""
+    for g in _groups(batches, ["cluster", "i", "j"]):
+        label, cls, rest = g["label"].to_numpy(), g["cls"].to_numpy(), g["rest"].to_numpy()
+        raw, offsets = arrow_bytes(pa.array(g["text"], pa.string()))
+        sets = [shingle_sets(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in pieces(offsets)]
+        first = [lo for lo, _ in pieces(offsets)]
+        h = np.concatenate([x for x, _ in sets])
+        d = np.concatenate([x + lo for (_, x), lo in zip(sets, first, strict=True)])
+        size = np.bincount(d, minlength=len(g))
+        _, code = np.unique(h, return_inverse=True)
+        begin = np.concatenate([[0], np.cumsum(size)])
+        mask = np.zeros(len(code) + 1, bool)
+        for k in np.flatnonzero(rest):
+            own = code[begin[k] : begin[k + 1]]
+            mask[own] = True
+            both = np.bincount(d[mask[code]], minlength=len(g))
+            mask[own] = False
+            hit = np.flatnonzero(~rest & (label != label[k]) & (100 * both >= 75 * (size + size[k] - both)))
             if len(hit):
                 yield pd.DataFrame({"a": np.minimum(cls[hit], cls[k]), "b": np.maximum(cls[hit], cls[k])})
 
@@ -197,6 +226,23 @@ def _blocked(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
+def _between(hints: DataFrame, named: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that ``hints`` puts into one cluster."""
+    cluster = components(hints).select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    of = named.select("cls", "label").distinct().join(cluster, "label").join(texts, "cls")
+    of = written(of.select("cluster", "label", "cls", "text"), "clusters")
+    per_label = of.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    per = per_label.groupBy("cluster").agg(F.sum("n").alias("m"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "label", "bytes")).alias("top"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / SET_BLOCK), F.ceil(size / SET_BYTES)).cast("int")
+    n_j = blocks(F.col("m"), F.col("bytes"))
+    n_i = blocks(F.col("m") - F.col("top.n"), F.col("bytes") - F.col("top.bytes"))
+    of = of.join(per.select("cluster", F.col("top.label").alias("top"), n_i.alias("n_i"), n_j.alias("n_j")), "cluster")
+    mine = F.xxhash64("cls", F.lit(2))
+    rest = of.where("label <> top").select("cluster", F.pmod(mine, "n_i").cast("int").alias("i"), F.explode(F.expr("sequence(0, n_j - 1)")).alias("j"), F.lit(True).alias("rest"), "cls", "label", "text")
+    every = of.select("cluster", F.explode(F.expr("sequence(0, n_i - 1)")).alias("i"), F.pmod(mine, "n_j").cast("int").alias("j"), F.lit(False).alias("rest"), "cls", "label", "text")
+    return _blocked(rest.union(every), ["cluster", "i", "j"]).mapInPandas(_exact, "a bigint, b bigint").distinct()
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with row_key (the id, or a hash of the text without one) and text_key; equal pairs: equal rows."""
     of_text = F.xxhash64(F.col(text).cast("string"))
@@ -246,10 +292,10 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     mine = F.xxhash64("cls", F.lit(1))
     rest = open_.where("label <> top").select("bucket", F.pmod(mine, n_i).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), n_j - 1)).alias("j"), F.lit(True).alias("rest"), "cls", "label", "sketch")
     every = open_.select("bucket", F.explode(F.sequence(F.lit(0), n_i - 1)).alias("i"), F.pmod(mine, n_j).cast("int").alias("j"), F.lit(False).alias("rest"), "cls", "label", "sketch")
-    pairs = _blocked(rest.union(every), ["bucket", "i", "j"]).mapInPandas(_across, "a bigint, b bigint").distinct()
-    pairs = written(pairs.join(proposed, ["a", "b"], "left_anti"), "pairs")
-    more = written(confirmed(pairs, texts), "links")
-    label = components(links.union(more))
+    hints = _blocked(rest.union(every), ["bucket", "i", "j"]).mapInPandas(_across, "a bigint, b bigint").distinct()
+    hints = written(hints, "hints")
+    links = links.union(written(_between(hints, named, texts), "links"))
+    label = components(links)
 
     own = classes.select("cls", "first_doc", "keeper").join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     name = own.groupBy("label").agg(F.min("first_doc").alias("component_id"), F.min("keeper").alias("keeper"))
