@@ -3,7 +3,7 @@
 0. Copies would make every word of a toxic text look toxic: of sampled rows that
    share one of ``SIGNS`` min-hashes of their word triples one stays.
 1. Lexicons: over a sample of labelled rows, Spark counts in how many toxic and
-   other documents each word, and each word beginning of 4 to 6 letters,
+   other documents each word, and each word beginning of 4 or 5 letters,
    occurs.  Terms that stand out on the toxic side (log odds ratio ``SURE``
    standard errors above 0, and 1.64 above ``ODDS``) are dealt into ``LEXICONS`` lists; terms
    with the same first four letters share a list.
@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod4, mix, ngrams, words_of, written
 
-SAMPLE, TERMS, LEXICONS, SURE, THRESHOLD = 12_000, 2000, 32, 2.8, 0.3
+SAMPLE, TERMS, LEXICONS, SURE, THRESHOLD = 8000, 2000, 32, 2.8, 0.3
 #: the least log odds ratio of a lexicon's term, at the lower end of its 90 % interval
 ODDS = 1.5
-STEMS = (4, 5, 6)
+STEMS = (4, 5)
 SIGNS = 4
 _SIGN = mix(np.arange(1, SIGNS + 1, dtype=np.uint64))
 _WORD = re.compile(r"[^\W\d_]+")
