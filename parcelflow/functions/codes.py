@@ -48,9 +48,6 @@ def srid_of(departement, mode: str = "literal") -> Column:
             else F.when(first, F.lit(S.SRID_DEFAULT)))
     for codes, srid in S.SRID_BY_DEPARTEMENT:
         expr = expr.when(d.isin(*codes), F.lit(srid))
-    if mode == "literal":
-        # unreachable branch kept for fidelity: '000' already took 2154
-        expr = expr.when(d == F.lit(S.UNLOCATED_DEPARTEMENT), F.lit(S.SRID_UNLOCATED))
     return expr.cast("int")
 
 

@@ -58,6 +58,13 @@ def bbox_polygon_wkb(bbox: pd.DataFrame) -> pd.Series:
     return pd.Series(squares_wkb(bbox["xmin"], bbox["ymin"], bbox["xmax"], bbox["ymax"]), dtype=object)
 
 
+@F.pandas_udf(T.BinaryType())
+def rings_wkb(rings: pd.Series) -> pd.Series:
+    """WKB polygon from rings given as flat coordinate arrays (shell first)."""
+    out = [None if g is None else polygon_wkb([np.asarray(r, dtype="<f8").reshape(-1, 2) for r in g]) for g in rings]
+    return pd.Series(out, dtype=object)
+
+
 # ------------------------------------------------------------- decoding ----
 
 def _read_polygon(b: memoryview, off: int, rings: list) -> int:
@@ -174,8 +181,9 @@ def ring_crossings(ring: Column, px: Column, py: Column) -> Column:
     def edge(acc, i):
         x1, y1 = F.get(ring, i * 2), F.get(ring, i * 2 + 1)
         x2, y2 = F.get(ring, i * 2 + 2), F.get(ring, i * 2 + 3)
-        hit = ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
-        return acc != hit
+        # NULL on a horizontal edge, which the ray never crosses
+        at = F.try_divide((x2 - x1) * (py - y1), y2 - y1) + x1
+        return acc != (((y1 > py) != (y2 > py)) & F.coalesce(px < at, F.lit(False)))
 
     return F.when(F.size(ring) >= 8, F.aggregate(F.sequence(F.lit(0), (n - 2).cast("int")), F.lit(False), edge)) \
         .otherwise(F.lit(False))

@@ -14,8 +14,12 @@ SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 QUERY_RE = r"^[^?#]*\?([^#]*)"
-# anchors: quoted or bare href value of an <a> start tag
-ANCHOR_HREF_RE = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]*)"""
+# attribute text of an <a> start tag; a quoted value may hold '>'
+ANCHOR_RE = r"""(?is)<a(?=[\s/])((?:[^>"']|"[^"]*"|'[^']*')*)>"""
+# value of the first attribute named exactly href, after whole other attributes
+HREF_RE = r"""(?is)^(?:[\s/]*(?!href[\s=/>])[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+[\s/]*href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']*)"""
+# character references decoded in attribute values
+NAMED_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"))
 COMMENT_RE = r"(?s)<!--.*?-->"
 SCRIPT_RE = r"(?is)<script\b.*?</script\s*>"
 # hrefs never followed: absolute http(s) links, fragments, javascript
@@ -58,7 +62,8 @@ def destination_folder(url, base) -> Column:
     parts = F.split(F.regexp_replace(url_path(u), r"^/+|/+$", ""), "/")
     last = F.element_at(parts, -1)
     dirs = F.when(last.contains("."), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return F.concat_ws("/", _c(base), url_netloc(u), F.array_join(dirs, "/"))
+    # a page at the host's root has no directories: empty parts are not folders
+    return F.array_join(F.filter(F.concat(F.array(_c(base), url_netloc(u)), dirs), lambda p: p != ""), "/")
 
 
 def path_to_url(rel_path) -> Column:
@@ -86,8 +91,8 @@ def _remove_dot_segments(segs: Column) -> Column:
 
 
 def resolve_link(base, href) -> Column:
-    """``urljoin(base, href)`` for hierarchical URLs, as an expression."""
-    b, h = _c(base), _c(href)
+    """``urljoin(base, href)`` for hierarchical URLs, as an expression (leading blanks dropped, as there)."""
+    b, h = _c(base), F.regexp_replace(F.regexp_replace(_c(href), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     b_scheme, b_netloc, b_path = url_scheme(b), url_netloc(b), url_path(b)
     b_query = F.regexp_extract(b, QUERY_RE, 1)
     h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
@@ -121,10 +126,36 @@ def strip_markup_noise(html) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(html), COMMENT_RE, ""), SCRIPT_RE, "")
 
 
+def decode_references(text: Column) -> Column:
+    """Numeric and the common named character references, ``&amp;`` last."""
+    def code_point(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"&#[xX]?([0-9a-fA-F]+);", 1)
+        utf32 = F.when(ref.rlike("^&#[xX]"), F.lpad(digits, 8, "0")).otherwise(F.lpad(F.conv(digits, 10, 16), 8, "0"))
+        return F.decode(F.unhex(utf32), "UTF-32")
+
+    numeric = F.array_distinct(F.regexp_extract_all(text, F.lit("(&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});)"), F.lit(1)))
+    out = F.aggregate(numeric, text, lambda acc, ref: F.replace(acc, ref, code_point(ref)))
+    for ref, char in NAMED_REFERENCES:
+        out = F.replace(out, F.lit(ref), F.lit(char))
+    return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+
+
 def anchor_hrefs(html) -> Column:
-    """Array of href values of all ``<a>`` tags, entities ``&amp;`` decoded."""
-    raw = F.regexp_extract_all(strip_markup_noise(html), F.lit(ANCHOR_HREF_RE), 1)
-    return F.transform(raw, lambda h: F.replace(h, F.lit("&amp;"), F.lit("&")))
+    """Array of href values of all ``<a>`` tags, character references decoded.
+
+    Quoted values are taken whole (with spaces and the other quote), bare ones
+    up to white space; only an attribute named exactly ``href`` counts, and an
+    anchor without one gives no entry.
+    """
+    tags = F.regexp_extract_all(strip_markup_noise(html), F.lit(ANCHOR_RE), F.lit(1))
+    tags = F.filter(tags, lambda t: t.rlike(HREF_RE))
+
+    def value(t: Column) -> Column:
+        raw = F.regexp_extract(t, HREF_RE, 1)
+        quoted = raw.startswith('"') | raw.startswith("'")
+        return decode_references(F.when(quoted, raw.substr(F.lit(2), F.length(raw) - 2)).otherwise(raw))
+
+    return F.transform(tags, value)
 
 
 def is_followable(href) -> Column:

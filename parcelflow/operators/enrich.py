@@ -54,7 +54,7 @@ def sort_layer(df: DataFrame) -> DataFrame:
     """Two-key order (departement, commune) of the per-layer tables.
 
     Only meaningful when a layer table is materialised on its own; the
-    export re-sorts anyway, so the unified path never calls it.
+    export sorts by its own keys.
     """
     return df.orderBy(F.col("departement").asc_nulls_last(), F.col("commune").asc_nulls_last())
 

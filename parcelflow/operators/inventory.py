@@ -65,9 +65,13 @@ def layer_inventory(files: DataFrame) -> DataFrame:
 
 
 def write_lists(files: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """One text list of paths per (month, layer), as partition directories."""
+    """Text lists of paths per (month, layer), as partition directories.
+
+    Rows are rebalanced on the two keys: AQE joins small lists in a task and
+    splits a long one over several files.
+    """
     (classify_shapefiles(files).select("ym", "layer", "path")
-        .repartition("ym", "layer").write.mode(mode).partitionBy("ym", "layer").text(path))
+        .hint("rebalance", "ym", "layer").write.mode(mode).partitionBy("ym", "layer").text(path))
     return path
 
 
@@ -100,3 +104,30 @@ def conversion_plan(files: DataFrame, overwrite: bool = False) -> DataFrame:
     else:
         outcome = F.when(F.col("_done").isNotNull(), F.lit(SKIPPED)).otherwise(F.lit(TO_CONVERT))
     return j.select("path", outcome.alias("outcome"))
+
+
+# --- fixed values: outcomes of a conversion ---------------------------------
+SUCCESS = "success"
+FAILED = "failed"
+# ---------------------------------------------------------------------------
+
+
+def conversion_results(plan: DataFrame, results: DataFrame) -> DataFrame:
+    """Every planned file with its outcome and, if it failed, its message.
+
+    ``results`` has (path, ok, message) of the files tried; a file that was to
+    be converted and has no result yet stays ``to_convert``.
+    """
+    tried = results.select("path", F.col("ok").alias("_ok"), F.col("message").alias("_message"))
+    j = plan.join(tried, "path", "left")
+    outcome = F.when(F.col("outcome") == SKIPPED, F.lit(SKIPPED)).when(F.col("_ok"), F.lit(SUCCESS)).when(~F.col("_ok"), F.lit(FAILED)).otherwise(F.col("outcome"))
+    return j.select("path", outcome.alias("outcome"), F.when(outcome == FAILED, F.col("_message")).alias("message"))
+
+
+def conversion_counts(results: DataFrame) -> DataFrame:
+    return results.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def conversion_failures(results: DataFrame) -> DataFrame:
+    """Each failed file with its message."""
+    return results.where(F.col("outcome") == FAILED).select("path", "message")

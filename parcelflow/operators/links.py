@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import anchor_hrefs, is_directory_page, is_kept_link, resolve_link
+from ..session import materialised
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -30,43 +31,55 @@ def directory_pages(pages: DataFrame, url: str = "url", html: str = "html") -> D
             .where(is_directory_page(F.col(url), F.col("_hrefs"))).drop("_hrefs"))
 
 
-def classify_links(links: DataFrame, link: str = "link") -> DataFrame:
-    """Directory links end with '/', everything else is a file."""
-    return links.withColumn("is_directory", F.col(link).endswith("/"))
-
-
-def reachable(edges: DataFrame, seeds: DataFrame, num_partitions: int | None = None,
-              max_rounds: int = 10_000) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, merge_every: int = 4) -> DataFrame:
     """Nodes reachable from ``seeds`` over ``edges(src, dst)``, with BFS depth.
 
-    Breadth-first, one join per round: the frontier joins the edge list
-    (hash-partitioned by node once and checkpointed, so only the frontier
-    moves), then already-visited nodes are removed with an anti join.  Each
-    round's new frontier is checkpointed to the shared folder (cutting
-    lineage); the visited set is the union of those checkpoints, which keeps
-    their common hash partitioning, so it is never re-shuffled.  The loop
-    ends on an empty frontier, so cycles are safe; the number of rounds is
-    the depth of the link tree, not its size.
+    One join per round: the frontier meets the edges, and nodes seen before are
+    removed by an anti join.  New nodes are written to the shared folder as a
+    level of their own; every ``merge_every`` rounds the visited set is written
+    anew as one table, so a round reads a bounded number of tables whatever the
+    depth.  Joins choose their own partitioning, so a node with very many links
+    can be split.  The loop ends when a round finds nothing new, and only then.
+    """
+    e = materialised(edges.select(F.col("src").alias("node"), F.col("dst")).distinct(), "edges")
+    visited = materialised(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "visited")
+    frontier, recent, depth = visited, [], 0
+    while True:
+        depth += 1
+        seen = reduce(DataFrame.unionByName, recent, visited)
+        found = frontier.join(e, "node").select(F.col("dst").alias("node")).where("node is not null").distinct()
+        frontier = materialised(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "level")
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionByName, recent, visited)
+        recent.append(frontier)
+        if len(recent) == merge_every:
+            visited, recent = materialised(reduce(DataFrame.unionByName, recent, visited), "visited"), []
+
+
+def crawl(pages: DataFrame, seeds: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Files found from ``seeds(url)`` over stored ``pages``: file, folder (page or parent URL) and depth.
+
+    A listing page's directory links (ending '/') are followed, its other links
+    are files.  A page that is reached but is no listing is itself a file, in
+    the folder above it; so is a seed that no page is stored for.  Directory
+    links without a stored page lead nowhere.  A file named by several listings
+    counts for each folder; ``depth`` is the smallest.
     """
-    spark = edges.sparkSession
-    from ..session import shared_dir
-    shared_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edges.select(F.col("src").alias("node"), F.col("dst")).repartition(n, "node").checkpoint()
-    frontier = (seeds.select(F.col("node")).distinct()
-                .withColumn("depth", F.lit(0)).repartition(n, "node").checkpoint())
-    levels = [frontier]
-    for depth in range(1, max_rounds + 1):
-        visited = reduce(lambda a, b: a.unionByName(b), levels)
-        # distinct() already hash-partitions the new nodes by node: no extra shuffle
-        nxt = (frontier.join(e, "node").select(F.col("dst").alias("node")).distinct()
-               .join(visited.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(depth)).checkpoint())
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        frontier = nxt
-    return reduce(lambda a, b: a.unionByName(b), levels)
+    distinct = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).dropDuplicates(["url"])
+    p = distinct.select("url", anchor_hrefs(F.col("html")).alias("hrefs"))
+    p = p.select("url", is_directory_page(F.col("url"), F.col("hrefs")).alias("listing"), "hrefs")
+    p = materialised(p, "pages")
+    links = p.where("listing").select("url", F.explode("hrefs").alias("href")).where(is_kept_link(F.col("href")))
+    links = materialised(links.select("url", resolve_link(F.col("url"), F.col("href")).alias("link")).distinct(), "links")
+    steps = links.where(F.col("link").endswith("/")).select(F.col("url").alias("src"), F.col("link").alias("dst"))
+    start = seeds.select(F.col("url").alias("node")).distinct()
+    reached = materialised(reachable(steps, start), "reached").withColumnRenamed("node", "url")
+    listed = reached.join(links.where(~F.col("link").endswith("/")), "url").select(F.col("link").alias("file"), F.col("url").alias("folder"), (F.col("depth") + 1).alias("depth"))
+    known = reached.join(p.select("url", "listing"), "url", "left")
+    alone = known.where((F.col("listing") == F.lit(False)) | (F.col("listing").isNull() & (F.col("depth") == 0)))
+    above = F.concat(F.regexp_replace("url", r"/[^/]*$", ""), F.lit("/"))
+    single = alone.select(F.col("url").alias("file"), above.alias("folder"), "depth")
+    return listed.unionByName(single).groupBy("file", "folder").agg(F.min("depth").alias("depth"))
 
 
 def local_path(page_url, link, base: str):

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.urls import normalize_seed, path_to_url
+from ..sources.manifest import log_state, read_log, write_log
 
 # --- fixed values: outcomes, in precedence order ---------------------------
 MISSING_URL = "missing_url"
@@ -25,11 +26,11 @@ UNKNOWN_VINTAGE = "inconnu"
 
 
 def clean_manifest(manifest: DataFrame) -> DataFrame:
-    """Trim the three fields; absent vintage -> 'inconnu', absent format -> ''."""
+    """Trim the three fields; without a vintage column 'inconnu', blank values stay blank."""
     if "source" not in manifest.columns:
         raise ValueError("manifest has no 'source' column")
     fmt = F.trim(F.col("format")) if "format" in manifest.columns else F.lit("")
-    vintage = (F.trim(F.coalesce(F.col("millesime"), F.lit(UNKNOWN_VINTAGE)))
+    vintage = (F.trim(F.coalesce(F.col("millesime"), F.lit("")))
                if "millesime" in manifest.columns else F.lit(UNKNOWN_VINTAGE))
     return manifest.withColumn("source", F.trim(F.coalesce(F.col("source"), F.lit("")))) \
         .withColumn("format", F.coalesce(fmt, F.lit(""))).withColumn("millesime", vintage)
@@ -106,6 +107,18 @@ def rebuild_log(files: DataFrame, root: str) -> DataFrame:
             .select(path_to_url(rel).alias("url")).where(F.col("url").isNotNull()))
 
 
+def resume_log(spark: SparkSession, path: str, files: DataFrame, root: str, save_to: str | None = None) -> DataFrame:
+    """The log to resume from: the stored one or, if it is absent or corrupt, one rebuilt from the mirror.
+
+    ``files`` lists the mirror below ``root``.  A rebuilt log is written to
+    ``save_to`` (JSON lines) when that is given, and read from there.
+    """
+    if log_state(spark, path) == "valid":
+        return read_log(spark, path)
+    rebuilt = rebuild_log(files, root).distinct()
+    return read_log(spark, write_log(rebuilt, save_to), layout="lines") if save_to else rebuilt
+
+
 # --- fixed values: per-file fetch results -----------------------------------
 FETCH_SUCCESS = "success"
 FETCH_FAILURE = "failure"

@@ -2,84 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.geometry import contains_point, point_on_surface, rings_of
+from ..functions.grid import cell, level_of, levels_used, with_cells
+from ..session import materialised
 
-BROADCAST_ROWS = 2_000_000
 
+def is_unlocated(commune: str = "commune") -> Column:
+    return F.col(commune) == F.lit(S.UNLOCATED_COMMUNE)
 
-def representative_points(features: DataFrame) -> DataFrame:
-    """Add ``_px, _py``: an interior point of each feature's geometry."""
-    return features.withColumn("_pt", point_on_surface(F.col("geometry"))) \
-        .withColumn("_px", F.col("_pt.x")).withColumn("_py", F.col("_pt.y")).drop("_pt")
 
+def locate_points(points: DataFrame, communes: DataFrame, base: float = 100.0, match_srid: bool = True) -> DataFrame:
+    """For points (``_g, _px, _py[, _srid]``): the commune that contains each.
 
-def commune_cells(communes: DataFrame, cell_size: float, match_srid: bool) -> DataFrame:
-    """Commune polygons decoded once and replicated over the grid cells
-    their bounding box touches."""
+    Points meet communes in grid cells sized by the commune's box (at most four
+    a commune, one a level for a point); those inside the box then fetch the
+    commune's rings by its key, for the exact even-odd test.  A point inside
+    several communes (shared borders) takes the smallest code.
+    """
     b = lambda f: F.col(f"geometry_bbox.{f}").cast("double")
-    cell = lambda v: F.floor(v / F.lit(cell_size)).cast("long")
-    cols = [F.col("commune").alias("_commune"), F.col("departement").alias("_departement"),
-            rings_of(F.col("geometry")).alias("_rings"),
-            b("xmin").alias("_xmin"), b("ymin").alias("_ymin"), b("xmax").alias("_xmax"), b("ymax").alias("_ymax")]
-    if match_srid:
-        cols.append(F.col("geom_srid").alias("_srid"))
-    c = communes.where(F.col("geometry").isNotNull()).select(*cols)
-    return (c.withColumn("_cx", F.explode(F.sequence(cell(F.col("_xmin")), cell(F.col("_xmax")))))
-             .withColumn("_cy", F.explode(F.sequence(cell(F.col("_ymin")), cell(F.col("_ymax"))))))
-
-
-def locate_points(points: DataFrame, communes: DataFrame, cell_size: float = 1000.0,
-                  match_srid: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """For distinct points ``(_px, _py[, geom_srid])``: the containing commune.
-
-    Grid-cell equi-join (no nested-loop join), then a bounding-box test and
-    the exact even-odd ring test on the few candidates.  A point inside
-    several communes (shared borders) takes the smallest commune code.
+    c = communes.where(F.col("geometry").isNotNull())
+    srid = [F.col("geom_srid").alias("_srid")] if match_srid else []
+    keys = ["_srid"] if match_srid else []
+    shape = F.xxhash64("commune", "geometry")
+    boxes = c.select(shape.alias("_shape"), *srid, *(b(k).alias(f"_{k}") for k in ("xmin", "ymin", "xmax", "ymax"))).distinct()
+    box = tuple(F.col(f"_{k}") for k in ("xmin", "ymin", "xmax", "ymax"))
+    level = level_of(*box, base)
+    cells = with_cells(boxes, F.array(level), box, base)
+    levels = levels_used(boxes, level)
+    p = points.withColumn("_l", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    p = p.withColumn("_cx", cell(F.col("_px"), F.col("_l"), base)).withColumn("_cy", cell(F.col("_py"), F.col("_l"), base))
+    near = p.join(cells, ["_l", "_cx", "_cy", *keys])
+    near = near.where((F.col("_px") >= F.col("_xmin")) & (F.col("_px") <= F.col("_xmax")) & (F.col("_py") >= F.col("_ymin")) & (F.col("_py") <= F.col("_ymax")))
+    rings = c.select(shape.alias("_shape"), F.col("commune").alias("_commune"), F.col("departement").alias("_departement"), rings_of(F.col("geometry")).alias("_rings")).dropDuplicates(["_shape"])
+    hit = near.select("_g", *keys, "_px", "_py", "_shape").join(rings, "_shape").where(contains_point(F.col("_rings"), F.col("_px"), F.col("_py")))
+    return hit.groupBy("_g", *keys).agg(F.min(F.struct("_commune", "_departement")).alias("_m")).select("_g", *keys, "_m._commune", "_m._departement")
+
+
+def locate_by_containment(features: DataFrame, communes: DataFrame, base: float = 100.0, match_srid: bool = True) -> DataFrame:
+    """Rows with the placeholder commune get the commune containing an interior
+    point of their geometry; unmatched ones keep the placeholder.  Rows that
+    have a commune pass through unchanged.
+
+    The work is keyed by the geometry, not the row: a distinct geometry's point
+    is computed and located once, only (digest, point) is kept, and the answer
+    is joined back on the digest, where AQE can split a frequent geometry.
     """
-    cells = commune_cells(communes, cell_size, match_srid)
-    if cells.count() <= broadcast_rows:
-        cells = F.broadcast(cells)
-    cell = lambda v: F.floor(F.col(v) / F.lit(cell_size)).cast("long")
-    keys = ["_px", "_py"] + (["geom_srid"] if match_srid else [])
-    p = points.select(*keys).distinct().withColumn("_cx", cell("_px")).withColumn("_cy", cell("_py"))
-    on = [p["_cx"] == cells["_cx"], p["_cy"] == cells["_cy"]]
+    digest = F.sha1("geometry")
+    open_ = features.where(is_unlocated())
+    keys = ["_srid"] if match_srid else []
+    srid = [F.col("geom_srid").alias("_srid")] if match_srid else []
+    shapes = open_.where(F.col("geometry").isNotNull()).select(digest.alias("_g"), *srid, "geometry").dropDuplicates(["_g", *keys])
+    points = shapes.withColumn("_pt", point_on_surface(F.col("geometry"))).select("_g", *keys, F.col("_pt.x").alias("_px"), F.col("_pt.y").alias("_py"))
+    located = locate_points(materialised(points, "points"), communes, base, match_srid)
+    joined = open_.withColumn("_g", digest)
     if match_srid:
-        on.append(p["geom_srid"] == cells["_srid"])
-    px, py = p["_px"], p["_py"]
-    inside = ((px >= cells["_xmin"]) & (px <= cells["_xmax"]) & (py >= cells["_ymin"]) & (py <= cells["_ymax"])
-              & contains_point(cells["_rings"], px, py))
-    cand = p.join(cells, on, "inner").where(inside)
-    best = cand.groupBy(*[p[k] for k in keys]).agg(
-        F.min(F.struct(cells["_commune"], cells["_departement"])).alias("_m"))
-    return best.select(*keys, F.col("_m._commune").alias("_commune"), F.col("_m._departement").alias("_departement"))
-
-
-def locate_by_containment(features: DataFrame, communes: DataFrame, cell_size: float = 1000.0,
-                          match_srid: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Give rows carrying the placeholder commune the commune containing
-    an interior point of their geometry; unmatched rows keep placeholders.
-
-    Work is keyed by the point, not by the row: every distinct point is
-    located once and the answer is joined back on the point, so duplicate
-    rows or a hot point need no row identity and no per-row shuffle beyond
-    one join (AQE splits a skewed point, or broadcasts a small answer).
-    """
-    from ..session import shared_dir
-    shared_dir(features.sparkSession)
-    # the interior point (Python) feeds both the locate and the join back:
-    # materialise it once in the shared folder instead of computing it twice
-    pts = representative_points(features).checkpoint()
-    located = locate_points(pts, communes, cell_size, match_srid, broadcast_rows)
-    keys = ["_px", "_py"] + (["geom_srid"] if match_srid else [])
-    out = pts.join(located, keys, "left")
-    return (out.withColumn("commune", F.coalesce(F.col("_commune"), F.col("commune")))
-               .withColumn("departement", F.coalesce(F.col("_departement"), F.col("departement")))
-               .select(*features.columns))
-
-
-def is_unlocated(commune: str = "commune") -> "F.Column":
-    return F.col(commune) == F.lit(S.UNLOCATED_COMMUNE)
+        joined = joined.withColumn("_srid", F.col("geom_srid"))
+    out = joined.join(located, ["_g", *keys], "left")
+    out = out.withColumn("commune", F.coalesce("_commune", "commune")).withColumn("departement", F.coalesce("_departement", "departement"))
+    return features.where(~F.coalesce(is_unlocated(), F.lit(False))).unionByName(out.select(*features.columns))

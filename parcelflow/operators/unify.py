@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.codes import srid_of
-from .enrich import enrich_layer
+from .enrich import enrich_layer, sort_layer, split_subdivisions
 
 
 def union_layers(enriched: Mapping[str, DataFrame] | list[DataFrame]) -> DataFrame:
@@ -72,12 +72,23 @@ def create_views(spark, union_df: DataFrame, features: DataFrame,
     features.createOrReplaceTempView(unique_name)
 
 
-def save_layer_tables(enriched: Mapping[str, DataFrame], database: str | None = None,
-                      mode: str = "overwrite") -> list[str]:
-    """Materialise each enriched layer as a managed table (only if asked)."""
+def layer_tables(layers: Mapping[str, DataFrame], millesime: str = S.DEFAULT_MILLESIME) -> dict[str, DataFrame]:
+    """The nine enriched tables: subdivisions without a parcel have their own."""
+    out = {}
+    for name, df in layers.items():
+        if name == "subdivisions_fiscales":
+            out[name], out[S.UNLOCATED_TABLE] = split_subdivisions(df, millesime)
+        else:
+            out[name] = enrich_layer(df, name, millesime)
+    return out
+
+
+def save_layer_tables(layers: Mapping[str, DataFrame], path: str, mode: str = "overwrite",
+                      millesime: str = S.DEFAULT_MILLESIME, compression: str = "zstd") -> list[str]:
+    """Write each of the nine tables to ``path/<table>``; six of them sorted."""
     names = []
-    for layer, df in enriched.items():
-        name = f"{database}.{layer}" if database else layer
-        df.write.mode(mode).saveAsTable(name)
+    for name, df in layer_tables(layers, millesime).items():
+        df = sort_layer(df) if name in S.SORTED_TABLES else df
+        df.write.mode(mode).option("compression", compression).parquet(f"{path}/{name}")
         names.append(name)
     return names

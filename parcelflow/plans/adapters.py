@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import app_id
 
 BASE_DATE = "2024-01-01"
 N_COMMUNE_KEYS = 10100
@@ -29,13 +30,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_TABLE_HANDLES: dict[tuple[int, str], DataFrame] = {}
+_TABLE_HANDLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read handle of a driver table (schema discovered once per session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (app_id(spark), path)
     if key not in _TABLE_HANDLES:
         _TABLE_HANDLES[key] = spark.read.parquet(path)
     return _TABLE_HANDLES[key]
@@ -59,8 +60,7 @@ DEP_BY_INDEX = tuple(dep_of_index(m) for m in range(101))
 
 
 def dep_code(k: Column) -> Column:
-    # one constant-folded literal array instead of 101 literal columns
-    return F.element_at(F.split(F.lit(",".join(DEP_BY_INDEX)), ","), (F.pmod(k, F.lit(101)) + 1).cast("int"))
+    return F.element_at(F.lit(list(DEP_BY_INDEX)), (F.pmod(k, F.lit(101)) + 1).cast("int"))
 
 
 def commune_code(k: Column) -> Column:
@@ -127,6 +127,33 @@ def commune_bbox_sql(k: str) -> str:
                      f"(({k}) // {ROW_WIDTH}) * {COMMUNE_SIDE}", COMMUNE_SIDE)
 
 
+#: rings of the three commune shapes as offsets in the 100 x 100 square: whole, L, square with a hole
+SHAPES = (
+    (((0, 0), (100, 0), (100, 100), (0, 100), (0, 0)),),
+    (((0, 0), (100, 0), (100, 50), (50, 50), (50, 100), (0, 100), (0, 0)),),
+    (((0, 0), (100, 0), (100, 100), (0, 100), (0, 0)), ((20, 20), (20, 60), (60, 60), (60, 20), (20, 20))),
+)
+
+
+def commune_rings(k: Column) -> Column:
+    """Rings of commune k (shape k mod 3) as flat coordinate arrays."""
+    x0 = (F.pmod(k, F.lit(ROW_WIDTH)) * COMMUNE_SIDE).cast("double")
+    y0 = (F.floor(k / ROW_WIDTH) * COMMUNE_SIDE).cast("double")
+
+    def rings(shape: tuple) -> Column:
+        return F.array(*[F.array(*[c for dx, dy in ring for c in (x0 + dx, y0 + dy)]) for ring in shape])
+
+    m = F.pmod(k, F.lit(len(SHAPES)))
+    return F.when(m == 0, rings(SHAPES[0])).when(m == 1, rings(SHAPES[1])).otherwise(rings(SHAPES[2]))
+
+
+def commune_rings_sql(k: str) -> str:
+    x0, y0 = f"(({k}) % {ROW_WIDTH}) * {COMMUNE_SIDE}", f"(({k}) // {ROW_WIDTH}) * {COMMUNE_SIDE}"
+    each = ["[" + ", ".join("[" + ", ".join(f"CAST({x0} + {dx} AS DOUBLE), CAST({y0} + {dy} AS DOUBLE)" for dx, dy in ring) + "]"
+                            for ring in shape) + "]" for shape in SHAPES]
+    return f"CASE ({k}) % 3 WHEN 0 THEN {each[0]} WHEN 1 THEN {each[1]} ELSE {each[2]} END"
+
+
 def child_bbox(k: Column, key: Column) -> Column:
     """Unit square strictly inside commune k, placed by the row's own key."""
     x0 = F.pmod(k, F.lit(ROW_WIDTH)) * COMMUNE_SIDE + 1 + F.pmod(key, F.lit(97))
@@ -173,8 +200,8 @@ def layer(spark: SparkSession, sf_dir: str, name: str, with_geometry: bool = Fal
     kk = F.col("_k")
     if name == "communes":
         k = F.col("c_custkey")
-        df = _with_codes(t("customer").where(k < N_COMMUNE_KEYS), k).select(
-            com.alias("id"), F.col("c_name").alias("nom"), *_dates(k), commune_bbox(k))
+        df = _with_codes(t("customer"), ck(k)).select(
+            com.alias("id"), F.col("c_name").alias("nom"), *_dates(k), commune_bbox(kk), kk.alias("_shape"))
     elif name == "feuilles":
         k = F.col("o_orderkey")
         df = _with_codes(t("orders"), ck(F.col("o_custkey"))).select(
@@ -189,16 +216,13 @@ def layer(spark: SparkSession, sf_dir: str, name: str, with_geometry: bool = Fal
             F.col("s_name").alias("nom"), com.alias("commune"), *_dates(k), child_bbox(kk, k))
     elif name in ("prefixes_sections", "sections"):
         k = F.col("p_partkey")
-        src = t("part")
-        if name == "prefixes_sections":
-            src = src.where(F.col("p_size") <= 10)
         cols = [F.concat(com, F.lit("000"), k.cast("string")).alias("id"), com.alias("commune"),
                 s("000").alias("prefixe")]
         if name == "prefixes_sections":
             cols += [F.col("p_brand").alias("ancienne")]
         else:
             cols += [F.col("p_type").alias("code"), *_dates(k)]
-        df = _with_codes(src, ck(k)).select(*cols, child_bbox(kk, k))
+        df = _with_codes(t("part"), ck(k)).select(*cols, child_bbox(kk, k))
     elif name == "parcelles":
         k = F.col("l_orderkey")
         df = _with_codes(t("lineitem"), ck(F.col("l_partkey"))).select(
@@ -214,16 +238,19 @@ def layer(spark: SparkSession, sf_dir: str, name: str, with_geometry: bool = Fal
             com.alias("commune"), *_dates(k), child_bbox(kk, k))
     elif name == "subdivisions_fiscales":
         k = F.col("l_orderkey")
-        df = _with_codes(t("lineitem").where(F.col("l_linenumber") <= 2), ck(F.col("l_partkey"))).select(
+        df = _with_codes(t("lineitem"), ck(F.col("l_partkey"))).select(
             F.concat(F.lit("SF"), k.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("id"),
             F.when(F.pmod(k, F.lit(7)) == 0, s(None)).otherwise(_parcel_id()).alias("parcelle"),
             F.col("l_returnflag").alias("lettre"), *_dates(k), child_bbox(kk, k))
     else:
         raise ValueError(f"unknown layer {name!r}")
     if with_geometry:
-        from ..functions.geometry import bbox_polygon_wkb
-        df = df.withColumn("geometry", bbox_polygon_wkb(F.col("geometry_bbox")))
-    return df
+        from ..functions.geometry import bbox_polygon_wkb, rings_wkb
+        if name == "communes":
+            df = df.withColumn("geometry", rings_wkb(commune_rings(F.col("_shape"))))
+        else:
+            df = df.withColumn("geometry", bbox_polygon_wkb(F.col("geometry_bbox")))
+    return df.drop("_shape")
 
 
 def layers(spark: SparkSession, sf_dir: str, with_geometry: bool = False) -> dict[str, DataFrame]:
@@ -233,9 +260,9 @@ def layers(spark: SparkSession, sf_dir: str, with_geometry: bool = False) -> dic
 def layer_sql(name: str) -> str:
     """DuckDB SELECT producing the same layer (geometry bytes omitted)."""
     if name == "communes":
-        k = "c_custkey"
-        return (f"SELECT {commune_sql(k)} AS id, c_name AS nom, {_dates_sql(k)}, {commune_bbox_sql(k)} "
-                f"FROM customer WHERE c_custkey < {N_COMMUNE_KEYS}")
+        k = ck_sql("c_custkey")
+        return (f"SELECT {commune_sql(k)} AS id, c_name AS nom, {_dates_sql('c_custkey')}, {commune_bbox_sql(k)} "
+                f"FROM customer")
     if name == "feuilles":
         k = "o_orderkey"
         com = commune_sql(ck_sql("o_custkey"))
@@ -252,7 +279,7 @@ def layer_sql(name: str) -> str:
         com = commune_sql(ck_sql(k))
         head = f"SELECT {com} || '000' || CAST({k} AS VARCHAR) AS id, {com} AS commune, '000' AS prefixe, "
         if name == "prefixes_sections":
-            return head + f"p_brand AS ancienne, {child_bbox_sql(ck_sql(k), k)} FROM part WHERE p_size <= 10"
+            return head + f"p_brand AS ancienne, {child_bbox_sql(ck_sql(k), k)} FROM part"
         return head + f"p_type AS code, {_dates_sql(k)}, {child_bbox_sql(ck_sql(k), k)} FROM part"
     if name == "parcelles":
         return (f"SELECT {_parcel_id_sql()} AS id, {commune_sql(ck_sql('l_partkey'))} AS commune, "
@@ -267,26 +294,26 @@ def layer_sql(name: str) -> str:
         return (f"SELECT 'SF' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, "
                 f"CASE WHEN l_orderkey % 7 = 0 THEN CAST(NULL AS VARCHAR) ELSE {_parcel_id_sql()} END AS parcelle, "
                 f"l_returnflag AS lettre, {_dates_sql('l_orderkey')}, "
-                f"{child_bbox_sql(ck_sql('l_partkey'), 'l_orderkey')} FROM lineitem WHERE l_linenumber <= 2")
+                f"{child_bbox_sql(ck_sql('l_partkey'), 'l_orderkey')} FROM lineitem")
     raise ValueError(f"unknown layer {name!r}")
 
 
 # ------------------------------------------------ manifest, log, files ----
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_id, format, millesime, source): every 10th format and every
-    13th source blank; even pages 'shp', odd pages 'edigeo'."""
+    """(page_id, format, millesime, source): every 10th format, 7th vintage
+    and 13th source blank; even pages 'shp', odd pages 'edigeo'."""
     pid = F.col("page_id")
     return table(spark, sf_dir, "pages").select(
         pid,
         F.when(F.pmod(pid, F.lit(10)) == 0, F.lit("")).when(F.pmod(pid, F.lit(2)) == 0, F.lit("shp"))
         .otherwise(F.lit("edigeo")).alias("format"),
-        F.lit(S.DEFAULT_MILLESIME).alias("millesime"),
+        F.when(F.pmod(pid, F.lit(7)) == 0, F.lit("")).otherwise(F.lit(S.DEFAULT_MILLESIME)).alias("millesime"),
         F.when(F.pmod(pid, F.lit(13)) == 0, F.lit("")).otherwise(F.col("url")).alias("source"))
 
 
 MANIFEST_SQL = (f"SELECT page_id, CASE WHEN page_id % 10 = 0 THEN '' WHEN page_id % 2 = 0 THEN 'shp' "
-                f"ELSE 'edigeo' END AS format, '{S.DEFAULT_MILLESIME}' AS millesime, "
+                f"ELSE 'edigeo' END AS format, CASE WHEN page_id % 7 = 0 THEN '' ELSE '{S.DEFAULT_MILLESIME}' END AS millesime, "
                 f"CASE WHEN page_id % 13 = 0 THEN '' ELSE url END AS source FROM pages")
 
 
@@ -303,7 +330,7 @@ FILE_KINDS = S.LAYERS + ("other",)
 
 def _file_stem(k: Column, cust: Column) -> Column:
     d = dep_code(cust)
-    name = F.element_at(F.split(F.lit(",".join(FILE_KINDS)), ","), (F.pmod(k, F.lit(9)) + 1).cast("int"))
+    name = F.element_at(F.lit(list(FILE_KINDS)), (F.pmod(k, F.lit(9)) + 1).cast("int"))
     return F.concat(F.lit(MIRROR_DIR), d, F.lit("/cadastre-"), d, F.lit("-"), name, F.lit("-"), k.cast("string"))
 
 
@@ -343,14 +370,50 @@ def file_listing_sql() -> str:
 
 
 def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(src, dst) over part keys: k div 3 -> k unless k mod 5 = 0, plus
-    back edges k -> k div 3 when k mod 4 = 0.  Has cycles."""
-    k = F.col("p_partkey")
+    """(src, dst) over part keys, two edges a row; has cycles.
+
+    k div 3 -> k, but from the unlinked node -1 - (k div 3) when k mod 5 = 0;
+    k -> k div 3 when k mod 4 = 0, else to a leaf of its own, 10^12 + k.
+    """
+    k = F.col("p_partkey").cast("bigint")
+    up = F.floor(k / 3).cast("bigint")
     part = table(spark, sf_dir, "part")
-    fwd = part.where(F.pmod(k, F.lit(5)) != 0).select(F.floor(k / 3).cast("bigint").alias("src"), k.alias("dst"))
-    back = part.where(F.pmod(k, F.lit(4)) == 0).select(k.alias("src"), F.floor(k / 3).cast("bigint").alias("dst"))
+    fwd = part.select(F.when(F.pmod(k, F.lit(5)) != 0, up).otherwise(-1 - up).alias("src"), k.alias("dst"))
+    back = part.select(k.alias("src"), F.when(F.pmod(k, F.lit(4)) == 0, up).otherwise(k + 10**12).alias("dst"))
     return fwd.unionByName(back)
 
 
-LINK_EDGES_SQL = ("SELECT p_partkey // 3 AS src, p_partkey AS dst FROM part WHERE p_partkey % 5 <> 0 "
-                  "UNION ALL SELECT p_partkey AS src, p_partkey // 3 AS dst FROM part WHERE p_partkey % 4 = 0")
+LINK_EDGES_SQL = ("SELECT CASE WHEN p_partkey % 5 <> 0 THEN p_partkey // 3 ELSE -1 - p_partkey // 3 END AS src, p_partkey AS dst FROM part "
+                  "UNION ALL SELECT p_partkey AS src, CASE WHEN p_partkey % 4 = 0 THEN p_partkey // 3 ELSE p_partkey + 1000000000000 END AS dst FROM part")
+
+#: one more page, of links that are hard to read, added to the pages (page_id -1)
+EDGE_URL = "https://root.example/"
+EDGE_HTML = """<html><body><a href='../'>up</a><a href="my file.zip">1</a><a href="it's.zip">2</a>\
+<a data-href="bad.zip" href="good.zip">3</a><a title="a > b" href=x.zip>4</a><a href=" sp.zip">5</a>\
+<a href="q&#38;a.zip">6</a><a href='say &quot;hi&quot;.zip'>7</a><a name="n">8</a><A HREF = "sub/">9</A></body></html>"""
+
+
+def pages_with_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages and the page of hard links."""
+    own = spark.range(1).select(F.lit(-1).cast("bigint").alias("page_id"), F.lit(EDGE_URL).alias("url"), F.lit(EDGE_HTML).alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html").unionByName(own)
+
+
+def sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+PAGES_SQL = f"SELECT page_id, url, html FROM pages UNION ALL SELECT CAST(-1 AS BIGINT), {sql_text(EDGE_URL)}, {sql_text(EDGE_HTML)}"
+
+SITE = "https://site.example/"
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as one site that can be crawled: page n has the URL
+    ``SITE``n/ (n mod 5 = 0 and n > 0: ``SITE``n, no listing) and links, besides
+    its own, to the folders 2n + 1 and 2n + 2, back to n div 2, and to a file."""
+    n = F.col("page_id")
+    to = lambda k: F.concat(F.lit('<a href="/'), k.cast("string"), F.lit('/">d</a>'))
+    extra = F.concat(to(n * 2 + 1), to(n * 2 + 2), to(F.floor(n / 2)), F.lit('<a href="f'), n.cast("string"), F.lit('.zip">f</a>'))
+    slash = F.when((F.pmod(n, F.lit(5)) == 0) & (n > 0), F.lit("")).otherwise(F.lit("/"))
+    return table(spark, sf_dir, "pages").select(F.concat(F.lit(SITE), n.cast("string"), slash).alias("url"), F.concat(extra, F.col("html")).alias("html"))

@@ -1,25 +1,31 @@
 """Query catalogue: each entry is a Spark job over the driver tables plus,
 where SQL can express it, the DuckDB oracle computing the same rows.
 
-Oracle outputs omit geometry bytes and flatten ``geometry_bbox`` into four
-DOUBLE columns (``bbox_xmin`` ...); the Spark side applies :func:`flat`
-to the operator's output for the same shape.
+Oracle outputs omit geometry bytes (but for ``layer_geometry``) and flatten
+``geometry_bbox`` into four DOUBLE columns (``bbox_xmin`` ...); the Spark side
+applies :func:`flat` to the operator's output for the same shape.  The SQL of
+links, paths and manifests is written in its own terms, not with the
+operators' patterns.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions import urls as U
-from ..operators import enrich, export, extract, ingest, inventory, links, manifest, spatial, unify
-from ..session import scratch_path, shared_dir, ship_package
-from ..sources import archives as AR
-from ..sources import shapefiles as SH
-from ..sources.layers import PUBLISHED, read_layer, read_layers, read_published
+from ..functions.codes import departement_of, type_prefix
+from ..functions.geometry import rings_of
+from ..operators import enrich, export, extract, inventory, links, manifest, spatial, unify
+from ..session import app_id, discard, scratch_path, ship_package
+from ..sinks.layers import write_layer_file
+from ..sources.files import list_files
+from ..sources.layers import PUBLISHED, read_batches, read_layer, read_layers, read_published
+from ..sources.manifest import read_log, read_manifest, write_log
+from ..sources.pages import read_pages
 from ..streaming import incremental
 from . import adapters as A
 from . import fixtures as FX
@@ -77,11 +83,10 @@ def dep_of_sql(c: str) -> str:
 
 def srid_sql(mode: str = "literal") -> str:
     head = "WHEN departement = '000' THEN 0 " if mode == "documented" else ""
-    tail = "" if mode == "documented" else "WHEN departement = '000' THEN 0 "
     return ("CASE " + head +
             "WHEN departement NOT IN ('971', '972', '973', '974', '976', '00') THEN 2154 "
             "WHEN departement IN ('971', '972') THEN 5490 WHEN departement = '973' THEN 2972 "
-            "WHEN departement = '974' THEN 2975 WHEN departement = '976' THEN 4471 " + tail + "END")
+            "WHEN departement = '974' THEN 2975 WHEN departement = '976' THEN 4471 END")
 
 
 def lot_sql(c: str = "departement") -> str:
@@ -124,7 +129,7 @@ def unified_sql(srid_mode: str = "literal") -> str:
 UNIFIED_FLAT_SQL = flat_sql(unified_sql())
 
 
-_UNIFIED: dict[tuple[int, str, str], DataFrame] = {}
+_UNIFIED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal") -> DataFrame:
@@ -132,7 +137,7 @@ def unified(spark: SparkSession, sf_dir: str, srid_mode: str = "literal") -> Dat
 
     The (immutable) plan is built once per session and reused; building it
     costs hundreds of driver-JVM calls, running it is unaffected."""
-    key = (id(spark), sf_dir, srid_mode)
+    key = (app_id(spark), sf_dir, srid_mode)
     if key not in _UNIFIED:
         _UNIFIED[key] = unify.unified_features(
             read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned"), srid_mode=srid_mode)
@@ -218,16 +223,27 @@ def q_backfill(spark, sf_dir):
 # ------------------------------------------------------ export/extract ----
 
 _PUBLISHED: dict[tuple[str, str], str] = {}
+_COPIES: dict[tuple[str, str, str], str] = {}
 
 
-def publish(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """Export the unified features of ``sf_dir`` once; return the dataset path."""
-    key = (shared_dir(spark), sf_dir)
-    if force or key not in _PUBLISHED:
+def publish(spark: SparkSession, sf_dir: str) -> str:
+    """Export the unified features of ``sf_dir`` once; the dataset's path."""
+    key = (app_id(spark), sf_dir)
+    if key not in _PUBLISHED:
         _PUBLISHED[key] = export.export_sorted(unified(spark, sf_dir), scratch_path(spark, "published"))
     return _PUBLISHED[key]
 
 
+def fresh_copy(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
+    """What ``write`` makes at a new place; the copy an earlier call made is deleted."""
+    path, key = scratch_path(spark, name), (app_id(spark), sf_dir, name)
+    write(path)
+    if key in _COPIES:
+        discard(spark, _COPIES[key])
+    _COPIES[key] = path
+    return path
+
+
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, publish(spark, sf_dir))
 
@@ -237,7 +253,86 @@ _ROUTED_SQL = f"SELECT *, {lot_sql()} AS lot FROM ({UNIFIED_FLAT_SQL})"
 
 @register("export_sorted", f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL")
 def q_export_sorted(spark, sf_dir):
-    return flat(read_published(spark, publish(spark, sf_dir, force=True)))
+    path = fresh_copy(spark, sf_dir, "export", lambda p: export.export_sorted(unified(spark, sf_dir), p))
+    return flat(read_published(spark, path))
+
+
+@register("export_fusion", f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL")
+def q_export_fusion(spark, sf_dir):
+    path = fresh_copy(spark, sf_dir, "fusion", lambda p: export.export_fusion(published(spark, sf_dir), p))
+    return flat(spark.read.schema(PUBLISHED).parquet(path))
+
+
+def out_of_order(df: DataFrame, keys: list) -> DataFrame:
+    """Rows of a written dataset, and neighbours in its files that are out of order, by ``part``."""
+    key = F.struct(*[x for k in keys for x in (k.isNull(), k)])
+    d = df.select("part", key.alias("k"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    d = d.withColumn("bad", F.coalesce(before > F.col("k"), F.lit(False)))
+    return d.groupBy("part").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_out_of_order"))
+
+
+@register("export_order", f"SELECT lot AS part, count(*) AS n, 0 AS n_out_of_order FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL GROUP BY lot")
+def q_export_order(spark, sf_dir):
+    keys = [F.col("departement"), F.col("commune"), type_prefix("type_objet"), F.col("section")]
+    return out_of_order(published(spark, sf_dir).withColumn("part", F.col("lot")), keys)
+
+
+_TABLES_SQL = [f"SELECT '{n}' AS part, count(*) AS n, 0 AS n_out_of_order FROM ({A.layer_sql(n)}) "
+               + ("WHERE parcelle IS NOT NULL" if n == "subdivisions_fiscales" else "") for n in S.LAYERS]
+_TABLES_SQL.append(f"SELECT '{S.UNLOCATED_TABLE}', count(*), 0 FROM ({A.layer_sql('subdivisions_fiscales')}) WHERE parcelle IS NULL")
+
+
+@register("layer_tables", " UNION ALL ".join(_TABLES_SQL))
+def q_layer_tables(spark, sf_dir):
+    """Nine tables written and read back; the six sorted ones are in order."""
+    layers = read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned")
+    path = fresh_copy(spark, sf_dir, "tables", lambda p: unify.save_layer_tables(layers, p))
+
+    def check(name: str) -> DataFrame:
+        keys = [F.col("departement"), F.col("commune")] if name in S.SORTED_TABLES else [F.lit(0)]
+        return out_of_order(spark.read.parquet(f"{path}/{name}").withColumn("part", F.lit(name)), keys)
+
+    return reduce(DataFrame.unionByName, [check(n) for n in (*S.LAYERS, S.UNLOCATED_TABLE)])
+
+
+@register("unified_view", f"SELECT type_objet, departement, count(*) AS n FROM ({unified_sql()}) GROUP BY type_objet, departement")
+def q_unified_view(spark, sf_dir):
+    layers = read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned")
+    union = unify.union_layers({n: enrich.enrich_layer(d, n) for n, d in layers.items()})
+    unify.create_views(spark, union, unified(spark, sf_dir))
+    return spark.sql("SELECT type_objet, departement, count(*) AS n FROM source_unique GROUP BY type_objet, departement")
+
+
+@register("layer_glob", flat_sql(f"SELECT * FROM ({A.layer_sql('sections')})"))
+def q_layer_glob(spark, sf_dir):
+    """A layer written as datasets named after it in several folders, read by the glob form."""
+    layer = A.layer(spark, sf_dir, "sections")
+
+    def write(root: str) -> None:
+        for k in range(3):
+            part = layer.where(F.pmod(F.xxhash64("commune"), F.lit(3)) == k)
+            write_layer_file(part, f"{root}/group{k}/sections.parquet", overwrite=True)
+
+    root = fresh_copy(spark, sf_dir, "glob", write)
+    folders = [read_layer(spark, f"{root}/group{k}", "sections", layout="dataset") for k in range(3)]
+    return flat(reduce(DataFrame.unionByName, folders).select(*layer.columns))
+
+
+@register("export_extract", f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL AND departement = '59'")
+def q_export_extract(spark, sf_dir):
+    rows = extract.extract_departement(read_batches(spark, publish(spark, sf_dir), ["56_70"]), "59")
+    path = fresh_copy(spark, sf_dir, "extract", lambda p: export.export_extract(rows, p))
+    return flat(spark.read.schema(PUBLISHED).parquet(path))
+
+
+@register("layer_geometry", f"SELECT {A.commune_sql(A.ck_sql('c_custkey'))} AS id, CAST({A.commune_rings_sql(A.ck_sql('c_custkey'))} AS VARCHAR) AS rings FROM customer")
+def q_layer_geometry(spark, sf_dir):
+    """Corners decoded from the WKB of the communes, as text."""
+    communes = read_layer(spark, FX.layer_files(spark, sf_dir), "communes", "partitioned")
+    listed = lambda xs: F.concat(F.lit("["), F.array_join(xs, ", "), F.lit("]"))
+    rings = F.transform(rings_of(F.col("geometry")), lambda r: listed(F.transform(r, lambda v: v.cast("string"))))
+    return communes.select("id", listed(rings).alias("rings"))
 
 
 EXTRACT_COMMUNE = "59000"
@@ -268,19 +363,22 @@ def q_extract_extent(spark, sf_dir):
 
 
 def extents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5x5 grid of overlapping windows, one per nation."""
+    """5x5 grid of overlapping windows, one per nation; some span the country."""
     n = F.col("n_nationkey")
-    x0 = F.pmod(n, F.lit(5)) * 2000
-    y0 = F.floor(n / 5) * 2000
+    wide = F.pmod(n, F.lit(9)) == 4
+    x0 = F.when(wide, F.lit(-1000000)).otherwise(F.pmod(n, F.lit(5)) * 2000)
+    y0 = F.when(wide, F.lit(-1000000)).otherwise(F.floor(n / 5) * 2000)
+    side = F.when(wide, F.lit(2000000)).otherwise(F.lit(2500))
     return A.table(spark, sf_dir, "nation").select(
         n.cast("bigint").alias("extent_id"), x0.cast("double").alias("xmin"), y0.cast("double").alias("ymin"),
-        (x0 + 2500).cast("double").alias("xmax"), (y0 + 2500).cast("double").alias("ymax"),
+        (x0 + side).cast("double").alias("xmax"), (y0 + side).cast("double").alias("ymax"),
         F.lit(S.SRID_DEFAULT).alias("srid"))
 
 
-EXTENTS_SQL = ("SELECT CAST(n_nationkey AS BIGINT) AS extent_id, CAST((n_nationkey % 5) * 2000 AS DOUBLE) AS xmin, "
-               "CAST((n_nationkey // 5) * 2000 AS DOUBLE) AS ymin, CAST((n_nationkey % 5) * 2000 + 2500 AS DOUBLE) AS xmax, "
-               "CAST((n_nationkey // 5) * 2000 + 2500 AS DOUBLE) AS ymax, 2154 AS srid FROM nation")
+EXTENTS_SQL = ("SELECT extent_id, x0 AS xmin, y0 AS ymin, x0 + side AS xmax, y0 + side AS ymax, 2154 AS srid FROM ("
+               "SELECT CAST(n_nationkey AS BIGINT) AS extent_id, CAST(CASE WHEN n_nationkey % 9 = 4 THEN -1000000 ELSE (n_nationkey % 5) * 2000 END AS DOUBLE) AS x0, "
+               "CAST(CASE WHEN n_nationkey % 9 = 4 THEN -1000000 ELSE (n_nationkey // 5) * 2000 END AS DOUBLE) AS y0, "
+               "CASE WHEN n_nationkey % 9 = 4 THEN 2000000 ELSE 2500 END AS side FROM nation)")
 
 
 @register("extract_many_extents",
@@ -294,12 +392,19 @@ def q_extract_many_extents(spark, sf_dir):
 # ------------------------------------------------------------ manifest ----
 
 
-def lit_sql(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def after_host_sql(url: str) -> str:
+    """What follows scheme and host, without query and fragment ('' at a bare host)."""
+    rest = f"substr({url}, strpos({url}, '://') + 3)"
+    tail = f"(CASE WHEN contains({rest}, '/') THEN substr({rest}, strpos({rest}, '/')) ELSE '' END)"
+    return f"split_part(split_part({tail}, '#', 1), '?', 1)"
+
+
+def host_sql(url: str) -> str:
+    return f"split_part(split_part(split_part(split_part({url}, '://', 2), '/', 1), '?', 1), '#', 1)"
 
 
 def basename_sql(url: str) -> str:
-    return f"regexp_extract(regexp_extract({url}, {lit_sql(U.PATH_RE)}, 1), '([^/]*)$', 1)"
+    return f"string_split({after_host_sql(url)}, '/')[-1]"
 
 
 def normalize_sql(u: str) -> str:
@@ -308,7 +413,7 @@ def normalize_sql(u: str) -> str:
 
 
 MANIFEST_CLEAN_SQL = (f"SELECT page_id, trim(coalesce(format, '')) AS format, "
-                      f"trim(coalesce(millesime, 'inconnu')) AS millesime, trim(coalesce(source, '')) AS source "
+                      f"trim(coalesce(millesime, '')) AS millesime, trim(coalesce(source, '')) AS source "
                       f"FROM ({A.MANIFEST_SQL})")
 MANIFEST_URL_SQL = (f"SELECT *, CASE WHEN length(source) > 0 THEN {normalize_sql('source')} END AS url "
                     f"FROM ({MANIFEST_CLEAN_SQL})")
@@ -333,6 +438,14 @@ def q_manifest_plan(spark, sf_dir):
     return manifest.plan_manifest(A.manifest(spark, sf_dir), FORMAT_FILTER)
 
 
+@register("manifest_file", f"SELECT page_id, format, millesime, source, url FROM ({MANIFEST_URL_SQL})")
+def q_manifest_file(spark, sf_dir):
+    """The manifest written as a tab-separated file and read back; blank vintages stay blank."""
+    path = fresh_copy(spark, sf_dir, "manifest", lambda p: A.manifest(spark, sf_dir).write.csv(p, sep="\t", header=True))
+    read = read_manifest(spark, path).withColumn("page_id", F.col("page_id").cast("bigint"))
+    return manifest.plan_manifest(read).drop("outcome")
+
+
 @register("manifest_resume",
           f"{_LOG_CTE}SELECT * FROM ({MANIFEST_URL_SQL}) m WHERE length(source) > 0 "
           f"AND format = '{FORMAT_FILTER}' AND NOT EXISTS (SELECT 1 FROM log_urls l WHERE l.url = m.url)")
@@ -410,9 +523,24 @@ def q_conversion_plan(spark, sf_dir):
 
 # --------------------------------------------------------------- links ----
 
-_HREFS_SQL = (f"SELECT page_id, url, list_transform(regexp_extract_all(regexp_replace(regexp_replace(html, "
-              f"{lit_sql(U.COMMENT_RE)}, '', 'g'), {lit_sql(U.SCRIPT_RE)}, '', 'g'), {lit_sql(U.ANCHOR_HREF_RE)}, 1), "
-              f"lambda h: replace(h, '&amp;', '&')) AS hrefs FROM pages")
+# the <a> tags, their 'name = value' pieces, the first one named href, unquoted and decoded
+_TAG_RE = A.sql_text(r"""(?is)<a[ \n\t/](?:[^>"']|"[^"]*"|'[^']*')*>""")
+_PIECE_RE = A.sql_text(r"""[^ \n\t=/<>"']+ *= *(?:"[^"]*"|'[^']*'|[^ \n\t>"']+)""")
+_TAGS_SQL = (f"SELECT page_id, url, regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+             f"'(?is)<script[ >].*?</script *>', '', 'g'), {_TAG_RE}) AS tags FROM ({A.PAGES_SQL})")
+_VALUES_SQL = (f"SELECT page_id, url, list_filter(list_transform(tags, lambda t: list_filter(regexp_extract_all(t, {_PIECE_RE}), "
+               f"lambda p: lower(trim(split_part(p, '=', 1))) = 'href')[1]), lambda p: p IS NOT NULL) AS named FROM ({_TAGS_SQL})")
+
+
+def _decoded_sql(v: str) -> str:
+    for ref, char in (("&#38;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        v = f"replace({v}, {A.sql_text(ref)}, {A.sql_text(char)})"
+    return v
+
+
+_UNQUOTED = f"CASE WHEN v[1] IN ({A.sql_text(chr(34))}, {A.sql_text(chr(39))}) THEN substr(v, 2, length(v) - 2) ELSE v END"
+_HREFS_SQL = (f"SELECT page_id, url, list_transform(list_transform(list_transform(named, lambda p: ltrim(substr(p, strpos(p, '=') + 1), ' ')), "
+              f"lambda v: {_UNQUOTED}), lambda h: {_decoded_sql('h')}) AS hrefs FROM ({_VALUES_SQL})")
 
 
 def _followable_sql(h: str) -> str:
@@ -427,19 +555,18 @@ def _dots_sql(p: str, rounds: int = 4) -> str:
     return out
 
 
-def _resolve_sql(base: str, h: str) -> str:
-    scheme = f"regexp_extract({base}, {lit_sql(U.SCHEME_RE)}, 1)"
-    netloc = f"regexp_extract({base}, {lit_sql(U.NETLOC_RE)}, 1)"
-    bpath = f"regexp_extract({base}, {lit_sql(U.PATH_RE)}, 1)"
-    hpath = f"regexp_extract({h}, '^([^?#]*)', 1)"
-    rest = f"regexp_extract({h}, '^[^?#]*(.*)$', 1)"
-    origin = f"{scheme} || '://' || {netloc}"
-    bdir = f"regexp_extract({bpath}, '^(.*/)', 1)"
-    base_dir = f"(CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END)"
-    return (f"CASE WHEN regexp_matches({h}, {lit_sql(U.SCHEME_RE)}) THEN {h} "
-            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+def _resolve_sql(base: str, raw: str) -> str:
+    h = f"ltrim({raw}, ' ')"
+    origin = f"split_part({base}, '://', 1) || '://' || {host_sql(base)}"
+    at = lambda c: f"CASE WHEN contains({h}, '{c}') THEN strpos({h}, '{c}') ELSE 1000000 END"
+    end = f"least({at('?')}, {at('#')})"
+    hpath, rest = f"substr({h}, 1, {end} - 1)", f"substr({h}, {end})"
+    bpath = after_host_sql(base)
+    folder = f"(CASE WHEN contains({bpath}, '/') THEN substr({bpath}, 1, length({bpath}) - length({basename_sql(base)})) ELSE '/' END)"
+    return (f"CASE WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN split_part({base}, '://', 1) || ':' || {h} "
             f"WHEN starts_with({hpath}, '/') THEN {origin} || {_dots_sql(hpath)} || {rest} "
-            f"ELSE {origin} || {_dots_sql(base_dir + ' || ' + hpath)} || {rest} END")
+            f"ELSE {origin} || {_dots_sql(folder + ' || ' + hpath)} || {rest} END")
 
 
 @register("page_links",
@@ -447,14 +574,32 @@ def _resolve_sql(base: str, h: str) -> str:
           f"SELECT page_id, url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM ({_HREFS_SQL})) "
           f"WHERE {_followable_sql('href')} AND href NOT IN ('../', './', '/')")
 def q_page_links(spark, sf_dir):
-    return links.page_links(A.table(spark, sf_dir, "pages"))
+    return links.page_links(A.pages_with_edges(spark, sf_dir))
 
 
 @register("directory_pages",
           f"SELECT page_id, url FROM ({_HREFS_SQL}) WHERE ends_with(url, '/') AND "
           f"len(list_filter(hrefs, lambda h: {_followable_sql('h')} AND (ends_with(h, '/') OR contains(h, '.')))) > 0")
 def q_directory_pages(spark, sf_dir):
-    return links.directory_pages(A.table(spark, sf_dir, "pages"))
+    return links.directory_pages(A.pages_with_edges(spark, sf_dir))
+
+
+_SITE_SQL = f"SELECT '{A.SITE}' || page_id || CASE WHEN page_id % 5 = 0 AND page_id > 0 THEN '' ELSE '/' END AS url, page_id AS n FROM pages"
+
+
+@register("crawl_files",
+          f"WITH RECURSIVE site AS ({_SITE_SQL}), own AS (SELECT n, h FROM (SELECT page_id AS n, unnest(hrefs) AS h FROM ({_HREFS_SQL})) "
+          f"WHERE n >= 0 AND {_followable_sql('h')} AND h NOT IN ('../', './', '/')), "
+          f"link AS (SELECT url, {_resolve_sql('url', 'h')} AS link FROM (SELECT url, unnest(['/' || (2 * n + 1) || '/', '/' || (2 * n + 2) || '/', "
+          f"'/' || (n // 2) || '/', 'f' || n || '.zip']) AS h FROM site UNION ALL SELECT s.url, own.h FROM site s JOIN own USING (n)) WHERE ends_with(url, '/')), "
+          f"r(url, depth) AS (SELECT '{A.SITE}0/', 0 UNION SELECT '{A.SITE}10', 0 UNION "
+          f"SELECT l.link, r.depth + 1 FROM r JOIN link l ON l.url = r.url WHERE ends_with(l.link, '/') AND r.depth < 40), "
+          f"seen AS (SELECT url, min(depth) AS depth FROM r GROUP BY url) "
+          f"SELECT file, folder, min(depth) AS depth FROM (SELECT l.link AS file, s.url AS folder, s.depth + 1 AS depth FROM seen s JOIN link l ON l.url = s.url "
+          f"WHERE NOT ends_with(l.link, '/') UNION ALL SELECT url, '{A.SITE}', depth FROM seen WHERE url = '{A.SITE}10') GROUP BY file, folder")
+def q_crawl_files(spark, sf_dir):
+    seeds = spark.createDataFrame([(f"{A.SITE}0/",), (f"{A.SITE}10",)], "url string")
+    return links.crawl(A.site_pages(spark, sf_dir), seeds)
 
 
 @register("reachable_files",
@@ -468,58 +613,45 @@ def q_reachable_files(spark, sf_dir):
 # ------------------------------------------------------------- spatial ----
 
 
-LOCATE_CELL = 500.0
-
-
 def _locate_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Unlocated subdivisions and communes, read from the layer files."""
+    """Subdivisions, with and without a parcel, and communes, read from the layer files."""
     root = FX.layer_files(spark, sf_dir)
-    _, unlocated = enrich.split_subdivisions(read_layer(spark, root, "subdivisions_fiscales", "partitioned"))
+    subdivisions = enrich.enrich_layer(read_layer(spark, root, "subdivisions_fiscales", "partitioned"), "subdivisions_fiscales")
     communes = enrich.enrich_layer(read_layer(spark, root, "communes", "partitioned"), "communes")
-    return unlocated, communes
-
+    return subdivisions, communes
 
-@register("locate_by_containment",
-          f"WITH u AS (SELECT id, lettre, geometry_bbox.xmin + 0.5 AS px, geometry_bbox.ymin + 0.5 AS py "
-          f"FROM ({A.layer_sql('subdivisions_fiscales')}) WHERE parcelle IS NULL), "
-          f"c AS (SELECT id AS commune, geometry_bbox AS b FROM ({A.layer_sql('communes')})), "
-          f"m AS (SELECT px, py, min(commune) AS commune FROM (SELECT DISTINCT px, py FROM u) p JOIN c "
-          f"ON p.px > c.b.xmin AND p.px < c.b.xmax AND p.py > c.b.ymin AND p.py < c.b.ymax GROUP BY px, py) "
-          f"SELECT u.id, u.lettre, coalesce(m.commune, '00000') AS commune, "
-          f"coalesce({dep_of_sql('m.commune')}, '000') AS departement FROM u LEFT JOIN m USING (px, py)")
-def q_locate_by_containment(spark, sf_dir):
-    unlocated, communes = _locate_inputs(spark, sf_dir)
-    out = spatial.locate_by_containment(unlocated, communes, cell_size=LOCATE_CELL, match_srid=False)
-    return out.select("id", "lettre", "commune", "departement")
 
+# crossings of a ray with the rings' sides; the point's square gives the commune's number
+_RINGS_SQL = (f"SELECT {A.commune_sql('k')} AS commune, k, unnest({A.commune_rings_sql('k')}) AS ring "
+              f"FROM (SELECT DISTINCT {A.ck_sql('c_custkey')} AS k FROM customer)")
+_SIDES_SQL = (f"SELECT commune, k, ring[2 * i + 1] AS ax, ring[2 * i + 2] AS ay, ring[2 * i + 3] AS bx, ring[2 * i + 4] AS b_y "
+              f"FROM (SELECT commune, k, ring, unnest(range(len(ring) // 2 - 1)) AS i FROM ({_RINGS_SQL}))")
+_LOCATED_SQL = (
+    f"WITH u AS (SELECT id, lettre, parcelle, geometry_bbox.xmin + 0.5 AS px, geometry_bbox.ymin + 0.5 AS py FROM ({A.layer_sql('subdivisions_fiscales')})), "
+    f"p AS (SELECT DISTINCT px, py FROM u WHERE parcelle IS NULL), sides AS ({_SIDES_SQL}), "
+    f"m AS (SELECT px, py, min(commune) AS commune FROM (SELECT px, py, commune FROM p JOIN sides ON k = CAST(floor(px / 100) + 100 * floor(py / 100) AS BIGINT) "
+    f"WHERE (ay > py) <> (b_y > py) AND px < ax + (py - ay) / (b_y - ay) * (bx - ax) GROUP BY px, py, commune HAVING count(*) % 2 = 1) GROUP BY px, py) "
+    f"SELECT u.id, u.lettre, u.parcelle, CASE WHEN parcelle IS NOT NULL THEN left(parcelle, 5) ELSE coalesce(m.commune, '00000') END AS commune, "
+    f"CASE WHEN parcelle IS NOT NULL THEN {dep_of_sql('parcelle')} ELSE coalesce({dep_of_sql('m.commune')}, '000') END AS departement "
+    f"FROM u LEFT JOIN m USING (px, py)")
 
-# ------------------------------------------------------ ingest, stream ----
 
-
-@register("expand_archives")
-def q_expand_archives(spark, sf_dir):
-    root = FX.layer_archives(spark, sf_dir)
-    return AR.expand_archives(spark, root, with_content=False).select("member", "size", "ok", "error")
-
-
-_ATTR_COLS = [f.name for f in S.ATTRIBUTES.fields if f.name not in ("geometry", "geometry_bbox")]
-_RAW_UNION_SQL = " UNION ALL BY NAME ".join(
-    f"SELECT '{n}' AS layer, * FROM ({A.layer_sql(n)})" for n in S.LAYERS)
+@register("locate_by_containment", f"SELECT id, lettre, commune, departement FROM ({_LOCATED_SQL}) WHERE parcelle IS NULL")
+def q_locate_by_containment(spark, sf_dir):
+    subdivisions, communes = _locate_inputs(spark, sf_dir)
+    out = spatial.locate_by_containment(subdivisions.where(F.col("parcelle").isNull()), communes, match_srid=False)
+    return out.select("id", "lettre", "commune", "departement")
 
 
-@register("read_shapefiles",
-          flat_sql(f"SELECT layer, {', '.join(f'"{c}"' for c in _ATTR_COLS)}, "
-                   f"geometry_bbox FROM ({_RAW_UNION_SQL})"))
-def q_read_shapefiles(spark, sf_dir):
-    root = FX.layer_archives(spark, sf_dir)
-    return flat(SH.read_shapefiles(spark, root, from_archives=True).drop("source"))
+@register("locate_mixed", _LOCATED_SQL)
+def q_locate_mixed(spark, sf_dir):
+    """All subdivisions: those with a parcel keep their commune, whatever polygon they lie in."""
+    subdivisions, communes = _locate_inputs(spark, sf_dir)
+    out = spatial.locate_by_containment(subdivisions, communes, match_srid=False)
+    return out.select("id", "lettre", "parcelle", "commune", "departement")
 
 
-@register("shapefile_ingest_outcomes")
-def q_shapefile_ingest_outcomes(spark, sf_dir):
-    root = FX.layer_archives(spark, sf_dir)
-    status = ingest.ingest_shapefiles(spark, root, scratch_path(spark, "layers"), from_archives=True)
-    return SH.conversion_outcomes(status)
+# -------------------------------------------------------------- stream ----
 
 
 @register("incremental_layers", UNIFIED_FLAT_SQL)
@@ -539,21 +671,24 @@ def q_incremental_layers(spark, sf_dir):
 MIRROR = "/mirror"
 
 
-def downloaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mirror listing derived from the page links: links at even positions
-    were fetched; those at positions divisible by 4 are empty files."""
-    pl = links.page_links(A.table(spark, sf_dir, "pages"))
-    return pl.where(F.pmod("pos", F.lit(2)) == 0).select(
-        links.local_path(F.col("url"), F.col("link"), MIRROR).alias("path"),
-        F.pmod("pos", F.lit(4)).cast("bigint").alias("length"))
+def _local_path_sql(url: str, link: str) -> str:
+    parts = f"string_split({after_host_sql(url)}, '/')"
+    dirs = f"(CASE WHEN contains({parts}[-1], '.') THEN {parts}[1:len({parts}) - 1] ELSE {parts} END)"
+    dirs = f"list_filter({dirs}, lambda d: d <> '')"
+    return f"'{MIRROR}/' || {host_sql(url)} || '/' || array_to_string(list_append({dirs}, {basename_sql(link)}), '/')"
 
 
-def _local_path_sql(url: str, link: str) -> str:
-    path = f"regexp_replace(regexp_extract({url}, {lit_sql(U.PATH_RE)}, 1), '^/+|/+$', '', 'g')"
-    parts = f"string_split({path}, '/')"
-    dirs = f"CASE WHEN contains({parts}[-1], '.') THEN {parts}[1:len({parts}) - 1] ELSE {parts} END"
-    netloc = f"regexp_extract({url}, {lit_sql(U.NETLOC_RE)}, 1)"
-    return f"concat_ws('/', '{MIRROR}', {netloc}, array_to_string({dirs}, '/')) || '/' || {basename_sql(link)}"
+def downloaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirror listing of the page links, its paths built from the URLs' parts
+    (not by the operator): links at even positions were fetched; those at
+    positions divisible by 4 are empty files."""
+    pl = links.page_links(A.pages_with_edges(spark, sf_dir)).where(F.pmod("pos", F.lit(2)) == 0)
+    bare = lambda u: F.split(F.regexp_replace(F.regexp_replace(u, "^[^:]*://", ""), "[?#].*$", ""), "/")
+    path, name = bare(F.col("url")), F.element_at(bare(F.col("link")), -1)
+    named = (F.size(path) > 1) & F.element_at(path, -1).contains(".")
+    kept = F.when(named, F.slice(path, 1, F.size(path) - 1)).otherwise(path)
+    full = F.concat(F.array(F.lit(MIRROR)), F.filter(kept, lambda d: d != ""), F.array(name))
+    return pl.select(F.array_join(full, "/").alias("path"), F.pmod("pos", F.lit(4)).cast("bigint").alias("length"))
 
 
 _PAGE_LINKS_SQL = _ORACLE["page_links"]
@@ -565,17 +700,30 @@ _PAGE_LINKS_SQL = _ORACLE["page_links"]
           f"SELECT * FROM pl WHERE NOT ends_with(link, '/') AND {_local_path_sql('url', 'link')} NOT IN "
           f"(SELECT path FROM files WHERE length > 0)")
 def q_links_resume(spark, sf_dir):
-    pl = links.page_links(A.table(spark, sf_dir, "pages"))
+    pl = links.page_links(A.pages_with_edges(spark, sf_dir))
     _, todo = links.split_by_presence(pl, downloaded_files(spark, sf_dir), MIRROR)
     return todo
 
 
+@register("links_done",
+          f"WITH pl AS ({_PAGE_LINKS_SQL}), files AS (SELECT {_local_path_sql('url', 'link')} AS path, "
+          f"CAST(pos % 4 AS BIGINT) AS length FROM pl WHERE pos % 2 = 0) "
+          f"SELECT DISTINCT url FROM ({A.LOG_SQL} UNION ALL SELECT link FROM pl WHERE NOT ends_with(link, '/') "
+          f"AND {_local_path_sql('url', 'link')} IN (SELECT path FROM files WHERE length > 0))")
+def q_links_done(spark, sf_dir):
+    """The log with the links whose files are there, written and read back."""
+    pl = links.page_links(A.pages_with_edges(spark, sf_dir))
+    done, _ = links.split_by_presence(pl, downloaded_files(spark, sf_dir), MIRROR)
+    log = manifest.append_log(A.download_log(spark, sf_dir), done.select(F.col("link").alias("url")))
+    return read_log(spark, fresh_copy(spark, sf_dir, "log", lambda p: write_log(log, p)), layout="lines")
+
+
 # ------------------------------------------------------ seed outcomes ----
 
 def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-link fetch results derived from the page links: directory links
     answer with a listing; every 5th file link failed."""
-    pl = links.page_links(A.table(spark, sf_dir, "pages"))
+    pl = links.page_links(A.pages_with_edges(spark, sf_dir))
     outcome = (F.when(F.col("link").endswith("/"), F.lit(manifest.FETCH_DIRECTORY))
                .when(F.pmod("pos", F.lit(5)) == 0, F.lit(manifest.FETCH_FAILURE))
                .otherwise(F.lit(manifest.FETCH_SUCCESS)))
@@ -591,3 +739,66 @@ def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
           f"ELSE 'success' END AS outcome FROM ({_PAGE_LINKS_SQL})) GROUP BY seed")
 def q_seed_outcomes(spark, sf_dir):
     return manifest.seed_outcomes(fetch_results(spark, sf_dir))
+
+
+# ------------------------------------------------- files, logs, outcomes ----
+
+@register("resume_logs",
+          f"SELECT 'valid' AS state, url FROM ({A.LOG_SQL}) UNION ALL SELECT state, url FROM (SELECT DISTINCT url FROM ({_ORACLE['log_rebuild']})), "
+          f"(SELECT unnest(['absent', 'corrupt']) AS state)")
+def q_resume_logs(spark, sf_dir):
+    """The log to resume from when it is valid (a folder of documents), absent, or corrupt."""
+    urls = A.download_log(spark, sf_dir).groupBy(F.pmod(F.xxhash64("url"), F.lit(64)).alias("k")).agg(F.collect_list("url").alias(S.LOG_KEY))
+    valid = fresh_copy(spark, sf_dir, "log-valid", lambda p: urls.select(S.LOG_KEY).write.option("maxRecordsPerFile", 1).json(p))
+    broken = spark.range(1).select(F.lit('{"downloaded_urls": ["https://').alias("value"))
+    corrupt = fresh_copy(spark, sf_dir, "log-corrupt", lambda p: broken.write.text(p))
+    listing = _listing(spark, sf_dir)
+    cases = (("valid", valid), ("absent", f"{valid}-none"), ("corrupt", corrupt))
+    out = [manifest.resume_log(spark, p, listing, A.MIRROR_ROOT).select(F.lit(c).alias("state"), "url") for c, p in cases]
+    return reduce(DataFrame.unionByName, out)
+
+
+def _tried(plan: DataFrame) -> DataFrame:
+    """Results of a conversion run over the files to convert: by the last digit of the name, 7 failed and 3 was not tried."""
+    last = F.regexp_extract("path", r"(\d)\.[^.]*$", 1)
+    tried = plan.where((F.col("outcome") == inventory.TO_CONVERT) & (last != "3"))
+    return tried.select("path", (last != "7").alias("ok"), F.when(last == "7", F.concat(F.lit("cannot read "), "path")).alias("message"))
+
+
+_TRIED_SQL = (f"SELECT path, CASE WHEN outcome = 'skipped' THEN 'skipped' WHEN d = '3' THEN 'to_convert' WHEN d = '7' THEN 'failed' ELSE 'success' END AS outcome "
+              f"FROM (SELECT path, outcome, string_split(path, '.')[-2][-1] AS d FROM ({_ORACLE['conversion_plan']}))")
+
+
+@register("conversion_outcomes", f"SELECT outcome, count(*) AS n FROM ({_TRIED_SQL}) GROUP BY outcome")
+def q_conversion_outcomes(spark, sf_dir):
+    plan = inventory.conversion_plan(_listing(spark, sf_dir))
+    return inventory.conversion_counts(inventory.conversion_results(plan, _tried(plan)))
+
+
+@register("conversion_failures", f"SELECT path, 'cannot read ' || path AS message FROM ({_TRIED_SQL}) WHERE outcome = 'failed'")
+def q_conversion_failures(spark, sf_dir):
+    plan = inventory.conversion_plan(_listing(spark, sf_dir))
+    return inventory.conversion_failures(inventory.conversion_results(plan, _tried(plan)))
+
+
+@register("file_lists",
+          f"SELECT strftime(\"modificationTime\", '%Y_%m') AS ym, {_layer_of_sql('path')} AS layer, path FROM ({_SHP_SQL}) WHERE {_layer_of_sql('path')} IS NOT NULL")
+def q_file_lists(spark, sf_dir):
+    """The text lists written and read back."""
+    path = fresh_copy(spark, sf_dir, "lists", lambda p: inventory.write_lists(_listing(spark, sf_dir), p))
+    return spark.read.schema("value string, ym string, layer string").text(path).select("ym", "layer", F.col("value").alias("path"))
+
+
+@register("list_files", f"SELECT DISTINCT 'communes' AS layer, {dep_of_sql('id')} AS departement FROM ({A.layer_sql('communes')})")
+def q_list_files(spark, sf_dir):
+    """A real tree: communes written by département, listed by an extension in another case."""
+    layer = A.layer(spark, sf_dir, "communes").withColumn("layer", F.lit("communes")).withColumn("departement", departement_of("id"))
+    layer = layer.select("layer", "departement", "id").hint("rebalance", "departement")
+    path = fresh_copy(spark, sf_dir, "tree", lambda p: layer.write.partitionBy("layer", "departement").parquet(p))
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+    return list_files(spark, path, ".PARQUET").select(part("layer").alias("layer"), part("departement").alias("departement")).distinct()
+
+
+@register("stored_pages", "SELECT url, count(*) AS n FROM pages GROUP BY url")
+def q_stored_pages(spark, sf_dir):
+    return read_pages(spark, f"{sf_dir}/pages.parquet").groupBy("url").agg(F.count("*").alias("n"))

@@ -1,9 +1,8 @@
 """File fixtures derived from the driver tables by Spark jobs.
 
-Written once per (shared folder, table directory) and reused, like any
-materialised upstream dataset: zipped shapefile sets per layer (the
-distribution format the pipeline ingests) and a landing area of layer
-Parquet files for the streaming job.
+Written once per (application, table directory) and reused, like any
+materialised upstream dataset: the layer files, the listing of a mirror tree,
+and a landing area of layer Parquet files for the streaming job.
 """
 
 from __future__ import annotations
@@ -12,22 +11,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import scratch_path, shared_dir
-from ..sinks.shapefiles import write_layer_archives
+from ..session import app_id, scratch_path
 from . import adapters as A
 
-_ARCHIVES: dict[tuple[str, str], str] = {}
-
-
-def layer_archives(spark: SparkSession, sf_dir: str) -> str:
-    key = (shared_dir(spark), sf_dir)
-    if key not in _ARCHIVES:
-        root = scratch_path(spark, "archives")
-        for name in S.LAYERS:
-            write_layer_archives(A.layer(spark, sf_dir, name), name, root).agg(F.sum("n_records")).collect()
-        _ARCHIVES[key] = root
-    return _ARCHIVES[key]
-
 
 def land_layer_files(spark: SparkSession, sf_dir: str, landing: str, layers: tuple[str, ...]) -> None:
     """Drop raw layer files into ``landing/layer=<name>/`` (append)."""
@@ -44,7 +30,7 @@ def layer_files(spark: SparkSession, sf_dir: str) -> str:
     dataset partitioned by ``layer``: the converted layer files the import
     step reads.  One Spark job; written once per session and folder."""
     from functools import reduce
-    key = (shared_dir(spark), sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _LAYER_FILES:
         root = scratch_path(spark, "layer-files")
         frames = [A.layer(spark, sf_dir, n, with_geometry=True).withColumn("layer", F.lit(n)) for n in S.LAYERS]
@@ -63,7 +49,7 @@ _LISTINGS: dict[tuple[str, str], str] = {}
 def file_listing(spark: SparkSession, sf_dir: str):
     """The mirror-tree listing (path, modificationTime, length) as a table,
     shaped like the ``binaryFile`` source's metadata columns."""
-    key = (shared_dir(spark), sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _LISTINGS:
         path = scratch_path(spark, "listing")
         A.file_listing(spark, sf_dir).write.option("compression", "zstd").parquet(path)

@@ -34,6 +34,10 @@ UNION_ORDER = (
     "parcelles",
 )
 
+# Table of the subdivisions without a parcel, and the tables kept sorted.
+UNLOCATED_TABLE = "subdivisions_fiscales_sanscommune"
+SORTED_TABLES = ("communes", "feuilles", "lieux_dits", "prefixes_sections", "sections", "subdivisions_fiscales")
+
 DEFAULT_MILLESIME = "2025-04-01"
 
 # Placeholder codes of features that carry no location attribute.

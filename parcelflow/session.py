@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -37,12 +38,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """Key for what is kept per application (object ids recur after a session stops)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session)
+        return spark.client._session_id
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system Spark resolves it on."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and is visible to every
-    executor.  Only when it is unset (local runs, tests) do we create a
-    private folder and register it, so ``checkpoint()`` works too.
+    executor; without it this raises.  Only a local master, whose executors
+    are the driver's own process, gets a private folder.
     """
     d = spark.conf.get(CHECKPOINT_KEY, None)
     if not d:
@@ -51,14 +66,12 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext (remote session)
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors of {master!r} share")
         d = tempfile.mkdtemp(prefix="parcelflow-")
         spark.conf.set(CHECKPOINT_KEY, d)
-    try:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - remote sessions use the conf value
-        pass
-    return d.rstrip("/")
+    return _qualified(spark, d).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -66,7 +79,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SHIPPED: set[int] = set()
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a superseded copy that this application wrote below the shared folder."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -79,11 +107,11 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
+    key = app_id(spark)
     try:
         sc = spark.sparkContext
-        key = id(sc)
     except Exception:  # noqa: BLE001 - remote session: no SparkContext
-        sc, key = None, id(spark)
+        sc = None
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))

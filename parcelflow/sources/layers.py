@@ -14,8 +14,9 @@ def read_layer(spark: SparkSession, root: str, layer: str, layout: str = "glob")
     ``glob``: every file named ``<layer>.parquet`` at any depth (one file per
     département, as a converter writes them).  ``partitioned``: a dataset
     written with ``partitionBy('layer')`` (what :func:`write_layers` makes),
-    read with partition pruning.  The declared schema makes a column absent
-    from some file read as NULL, and an absent layer read as empty.
+    read with partition pruning.  ``dataset``: ``root/<layer>.parquet`` as a
+    folder of files (what :func:`write_layer_file` makes).  The declared schema
+    makes a column absent from some file read as NULL.
     """
     sch = S.layer_schema(layer)
     if layout == "glob":
@@ -25,7 +26,9 @@ def read_layer(spark: SparkSession, root: str, layer: str, layout: str = "glob")
         full = T.StructType(sch.fields + [T.StructField("layer", T.StringType())])
         return (spark.read.schema(full).option("basePath", root).parquet(root)
                 .where(f"layer = '{layer}'").drop("layer"))
-    raise ValueError("layout must be 'glob' or 'partitioned'")
+    if layout == "dataset":
+        return spark.read.schema(sch).parquet(f"{root}/{layer}.parquet")
+    raise ValueError("layout must be 'glob', 'partitioned' or 'dataset'")
 
 
 def read_layers(spark: SparkSession, root: str, layout: str = "glob") -> dict[str, DataFrame]:

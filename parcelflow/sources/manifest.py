@@ -25,22 +25,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def log_state(spark: SparkSession, path: str) -> str:
+    """'absent', 'corrupt' (not the JSON document it should be) or 'valid'."""
+    if not _exists(spark, path):
+        return "absent"
+    return "corrupt" if _document(spark, path).where(F.col("_corrupt_record").isNotNull() | F.col(S.LOG_KEY).isNull()).limit(1).count() else "valid"
+
+
+def _document(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.schema(LOG_DOC).option("multiLine", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+
+
 def read_log(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """Done URLs, one row each (column ``url``).
 
     ``document``: the single JSON document ``{"downloaded_urls": [...]}``;
     ``lines``: a JSON-lines dataset of ``{"url": ...}`` records (what
     :func:`write_log` writes; it scales, a single document does not).
-    An absent log reads empty; a corrupt document reads empty too (the
-    caller may rebuild it from the files, see ``rebuild_log``).
+    An absent log reads empty; a corrupt document reads empty too (to
+    resume, take ``operators.manifest.resume_log``, which rebuilds it).
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], EMPTY_LOG)
     if layout == "lines":
         return spark.read.schema(LOG_LINES).json(path).where(F.col("url").isNotNull())
-    doc = (spark.read.schema(LOG_DOC).option("multiLine", "true").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return (doc.where(F.col("_corrupt_record").isNull())
+    return (_document(spark, path).where(F.col("_corrupt_record").isNull())
             .select(F.explode(F.col(S.LOG_KEY)).alias("url")).where(F.col("url").isNotNull()))
 
 

@@ -7,6 +7,7 @@ from collections import deque
 from pyspark.sql import functions as F
 
 from parcelflow.operators import inventory, links, manifest
+from parcelflow.sources.files import list_files
 from parcelflow.sources.manifest import read_log, read_manifest, write_log
 from conftest import rows
 
@@ -57,6 +58,12 @@ def test_read_log_variants(spark, tmp_path):
     bad = tmp_path / "bad.json"
     bad.write_text('{"downloaded_urls": ["https://a/1", ')
     assert read_log(spark, str(bad)).count() == 0
+    files = spark.createDataFrame([("/m/h.example/a.zip", 5), ("/m/h.example/empty.zip", 0)], "path string, length long")
+    for log in (bad, tmp_path / "absent.json"):
+        assert rows(manifest.resume_log(spark, str(log), files, "/m")) == [("https://h.example/a.zip",)]
+    assert rows(manifest.resume_log(spark, str(bad), files, "/m", str(tmp_path / "saved"))) == [("https://h.example/a.zip",)]
+    assert rows(read_log(spark, str(tmp_path / "saved"), layout="lines")) == [("https://h.example/a.zip",)]
+    assert manifest.resume_log(spark, str(good), files, "/m").count() == 2
     out = write_log(manifest.append_log(read_log(spark, str(good)),
                                         spark.createDataFrame([("https://a/2",), ("https://a/3",)], "url string")),
                     str(tmp_path / "v2"))
@@ -70,8 +77,9 @@ def test_file_inventory_on_real_listing(spark, tmp_path):
     for rel, data in files.items():
         os.makedirs(tmp_path / os.path.dirname(rel), exist_ok=True)
         (tmp_path / rel).write_bytes(data)
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
-               .select("path", "length", "modificationTime"))
+    listing = list_files(spark, str(tmp_path))
+    assert sorted(os.path.basename(r.path) for r in list_files(spark, str(tmp_path), ".shp").collect()) == [
+        "cadastre-01-prefixes_sections.shp", "cadastre-01-sections.SHP", "other.shp"]
     inv = inventory.classify_shapefiles(listing)
     # Spark file scans skip zero-length files: the empty parcelles.shp is not listed
     assert sorted(r.layer for r in inv.collect()) == ["prefixes_sections", "sections"]
@@ -108,6 +116,37 @@ def test_reachable_matches_bfs_with_cycles(spark):
                 seen[d] = seen[n] + 1
                 q.append(d)
     assert got == seen
+    chain = spark.range(30).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    far = links.reachable(chain, spark.createDataFrame([(0,)], "node long"), merge_every=3)
+    assert rows(far, "node", "depth") == sorted([(k, k) for k in range(31)], key=lambda t: tuple((True, str(x)) for x in t))
+
+
+def test_crawl_follows_listings_only(spark):
+    site = "https://h.example/"
+    pages = spark.createDataFrame([
+        (site, '<a href="../">up</a><a href="d/">d</a><a href="a.zip">a</a><a href="plain">p</a>'),
+        (site + "d/", f'<a href="/">top</a><a href="../">up</a><a href="b.zip">b</a><a href="missing/">m</a><a href="{site}">x</a><a href="/d/">self</a>'),
+        (site + "note", "no listing"),
+        (site + "empty/", "<p>nothing</p>"),
+    ], "url string, html string")
+    seeds = spark.createDataFrame([(site,), (site + "note",), (site + "empty/",), (site + "lost.zip",)], "url string")
+    got = rows(links.crawl(pages, seeds), "file", "folder", "depth")
+    assert got == sorted([(site + "a.zip", site, 1), (site + "plain", site, 1), (site + "d/b.zip", site + "d/", 2), (site + "note", site, 0),
+                          (site + "empty/", site + "empty/", 0), (site + "lost.zip", site, 0)], key=lambda t: tuple((True, str(x)) for x in t))
+
+
+def test_conversion_outcomes_keep_every_failure(spark):
+    plan = spark.createDataFrame([("a", "skipped"), ("b", "to_convert"), ("c", "to_convert"), ("d", "to_convert"), ("e", "to_convert")], "path string, outcome string")
+    tried = spark.createDataFrame([("b", True, None), ("c", False, "bad"), ("d", False, "worse")], "path string, ok boolean, message string")
+    got = inventory.conversion_results(plan, tried)
+    assert rows(inventory.conversion_counts(got)) == [("failed", 2), ("skipped", 1), ("success", 1), ("to_convert", 1)]
+    assert rows(inventory.conversion_failures(got)) == [("c", "bad"), ("d", "worse")]
+
+
+def test_blank_vintage_stays_blank(spark, tmp_path):
+    p = tmp_path / "m.tsv"
+    p.write_text("format\tmillesime\tsource\nshp\t\thttps://x.example/a/\n", encoding="utf-8")
+    assert rows(manifest.clean_manifest(read_manifest(spark, str(p))), "millesime") == [("",)]
 
 
 def test_seed_outcomes_directory_is_neither_and_failures_block_done(spark):

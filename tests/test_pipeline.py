@@ -97,8 +97,12 @@ def test_extract_plans_prune_and_push(spark, sf):
 def test_many_extents_match_brute_force(spark, sf):
     pub = catalog.published(spark, sf)
     ext = catalog.extents(spark, sf)
-    got = extract.extract_many_extents(pub, ext, cell_size=700.0)
+    got = extract.extract_many_extents(pub, ext, base=70.0)
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    few = extract.extract_many_extents(pub, ext.where("extent_id = 0"))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(geometry_bbox.xmin,2500.0)" in plan and "GreaterThanOrEqual(geometry_bbox.ymax,0.0)" in plan
     f = pub.select("type_objet", "id", "geom_srid", "geometry_bbox.*").toPandas()
     e = ext.toPandas()
     brute = []
@@ -121,13 +125,9 @@ def test_backfill(spark):
 
 def test_fusion_and_extract_sinks(spark, sf, tmp_path):
     pub = catalog.published(spark, sf)
-    fused = export.export_fusion(pub, str(tmp_path / "fusion"), single_file=True)
-    files = [f for f in os.listdir(fused) if f.endswith(".parquet")]
-    assert len(files) == 1
+    fused = export.export_fusion(pub, str(tmp_path / "fusion"))
     back = spark.read.parquet(fused)
-    assert back.count() == pub.count()
-    lots = [x["lot"] for x in pq.read_table(os.path.join(fused, files[0]), columns=["lot"]).to_pylist()]
-    assert lots == sorted(lots)  # batch order kept inside the single file
+    assert back.exceptAll(pub).count() == 0 and back.count() == pub.count()
     out = export.export_extract(extract.extract_commune(pub, "59000"), str(tmp_path / "lille"), single_file=True)
     assert spark.read.parquet(out).count() == extract.extract_commune(pub, "59000").count()
     from parcelflow.sources.pages import read_pages
@@ -152,3 +152,26 @@ def test_export_splits_a_hot_commune_over_tasks(spark, tmp_path):
     sizes = [pq.read_metadata(d / f).num_rows for f in files]
     assert sum(sizes) == 20000 and max(sizes) < 20000 * 0.5
     assert read_published(spark, path).count() == 20000
+    prev_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(os.path.getsize(d / f) for f in files) + 1))
+    try:
+        fused = export.export_fusion(read_published(spark, path), str(tmp_path / "fused"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev_bytes)
+    parts = [f for f in os.listdir(fused) if f.endswith(".parquet")]
+    assert len(parts) > 1, "the fusion must not put a hot key into one task"
+
+
+def test_adapters_use_every_row(spark, sf):
+    for layer, table in (("communes", "customer"), ("prefixes_sections", "part"), ("sections", "part"), ("subdivisions_fiscales", "lineitem"),
+                         ("parcelles", "lineitem"), ("feuilles", "orders"), ("batiments", "orders"), ("lieux_dits", "supplier")):
+        assert A.layer(spark, sf, layer).count() == A.table(spark, sf, table).count()
+    big = "/root/testdata/sf0.1"
+    assert A.layer(spark, big, "communes").count() == A.table(spark, big, "customer").count() > A.N_COMMUNE_KEYS
+    assert A.link_edges(spark, sf).count() == 2 * A.table(spark, sf, "part").count()
+
+
+def test_nine_tables_six_sorted(spark, sf, tmp_path):
+    names = unify.save_layer_tables(A.layers(spark, sf), str(tmp_path))
+    assert len(names) == 9 and S.UNLOCATED_TABLE in names and len(S.SORTED_TABLES) == 6
+    assert sum(spark.read.parquet(str(tmp_path / n)).count() for n in names) == sum(d.count() for d in A.layers(spark, sf).values())

@@ -12,7 +12,7 @@ from parcelflow.operators.links import directory_pages, page_links
 BASES = ["http://h.example/a/b/c.html", "https://h.example/dir/", "https://h.example",
          "http://h.example/a/b?x=1#f", "https://h.example/a/"]
 HREFS = ["f.zip", "sub/", "/abs/f.zip", "../up.zip", "./here/", "../../../x", "a/./b/../c", "//other.example/p",
-         "?q=2", "ftp://files.example/x", "x?y=1#z", "..", ".", "a//b"]
+         "?q=2", " sp.zip", "ftp://files.example/x", "x?y=1#z", "..", ".", "a//b"]
 
 
 def test_resolve_link_matches_urljoin(spark):
@@ -26,7 +26,7 @@ def test_resolve_link_matches_urljoin(spark):
 def test_normalize_basename_and_paths(spark):
     urls = ["https://x.example/data/departements", "https://x.example/data/departements/",
             "https://x.example/data/f.zip", "http://ththre.example.com/fr/825?page=2&ref=x",
-            "https://m.example.net/en/25#top", "https://m.example.net/en/474.html"]
+            "https://m.example.net/", "https://m.example.net", "https://m.example.net/en/25#top", "https://m.example.net/en/474.html"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = df.select("u", normalize_seed("u").alias("n"), url_basename("u").alias("b"),
                     destination_folder(F.col("u"), F.lit("/out")).alias("d")).collect()
@@ -37,8 +37,7 @@ def test_normalize_basename_and_paths(spark):
         parts = urlparse(r.u).path.strip("/").split("/")
         if "." in parts[-1]:
             parts = parts[:-1]
-        assert r.d == "/".join(["/out", urlparse(r.u).netloc] + parts).rstrip("/") or r.d == "/".join(
-            ["/out", urlparse(r.u).netloc] + parts)
+        assert r.d == "/".join(["/out", urlparse(r.u).netloc] + [p for p in parts if p])
     rel = spark.createDataFrame([("files.example.org/shp/a.zip",), ("lonely.zip",)], "p string")
     assert [r.u for r in rel.select(path_to_url("p").alias("u")).collect()] == [
         "https://files.example.org/shp/a.zip", None]
@@ -60,6 +59,23 @@ def test_page_links_keeps_only_relative_links(spark):
     assert [r.page_id for r in directory_pages(not_dir).collect()] == [3]
 
 
+def test_hard_hrefs(spark):
+    from parcelflow.plans.adapters import EDGE_HTML, EDGE_URL
+    html = EDGE_HTML + '<a href="&#x41;&#233;.zip">n</a><a\thref=t.zip>t</a><abbr href="no.zip">x</abbr><a href="one" href="two">d</a>'
+    pages = spark.createDataFrame([(EDGE_URL, html)], "url string, html string")
+    got = [(r.href, r.link[len(EDGE_URL):]) for r in page_links(pages).orderBy("pos").collect()]
+    assert got == [("my file.zip", "my file.zip"), ("it's.zip", "it's.zip"), ("good.zip", "good.zip"), ("x.zip", "x.zip"), (" sp.zip", "sp.zip"),
+                   ("q&a.zip", "q&a.zip"), ('say "hi".zip', 'say "hi".zip'), ("sub/", "sub/"), ("Aé.zip", "Aé.zip"), ("t.zip", "t.zip"), ("one", "one")]
+
+
+def test_root_page_files_are_found(spark):
+    from parcelflow.operators.links import split_by_presence
+    pl = spark.createDataFrame([("https://h.example/", "https://h.example/a.zip")], "url string, link string")
+    files = spark.createDataFrame([("/m/h.example/a.zip", 10)], "path string, length long")
+    done, todo = split_by_presence(pl, files, "/m")
+    assert done.count() == 1 and todo.count() == 0
+
+
 def test_split_links_by_presence(spark):
     from parcelflow.operators.links import split_by_presence
     pl = spark.createDataFrame([("https://h.example/d/", "https://h.example/d/a.zip"),
