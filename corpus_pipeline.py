@@ -32,15 +32,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones are written in."""
     ship_package(spark)
     net = lang_id.fit(docs.where(F.coalesce(crc_mod4() != 2, F.lit(True))))
-    p = docs.select("*", lang_id.predicted(net, docs).alias("_language"))
-    return p.where((F.col("_language.lang_pred") != "und") & (F.col("_language.score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    p = lang_id.predicted(net, docs)
+    return docs.where((p["lang_pred"] != "und") & (p["score"] >= LEAST_LANGUAGE))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not scored as toxic."""
     ship_package(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.select("*", toxicity.scored(model, docs).alias("_toxic")).where(F.col("_toxic") < toxicity.THRESHOLD).select(*docs.columns)
+    return docs.where(toxicity.scored(model, docs) < toxicity.THRESHOLD)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     ship_package(spark)
-    found = docs.select("*", decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).alias("_leaks"))
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    return docs.where(F.size(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))) == 0)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

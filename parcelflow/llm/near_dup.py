@@ -243,10 +243,10 @@ def _between(hints: DataFrame, named: DataFrame, texts: DataFrame) -> DataFrame:
     return _blocked(rest.union(every), ["cluster", "i", "j"]).mapInPandas(_exact, "a bigint, b bigint").distinct()
 
 
-def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text", row_key: str = "row_key", text_key: str = "text_key") -> DataFrame:
     """``docs`` with row_key (the id, or a hash of the text without one) and text_key; equal pairs: equal rows."""
     of_text = F.xxhash64(F.col(text).cast("string"))
-    return docs.withColumn("row_key", F.coalesce(F.col(key).cast("bigint"), of_text)).withColumn("text_key", of_text)
+    return docs.withColumns({row_key: F.coalesce(F.col(key).cast("bigint"), of_text), text_key: of_text})
 
 
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -313,11 +313,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every component of ``docs``, all columns; rows without any word stay."""
     _, classes = grouped(docs, key, text)
-    keepers = classes.select("keeper.row_key", "keeper.text_key").distinct()
+    row_key, text_key, nth = "__near_dup_row", "__near_dup_text", "__near_dup_nth"
+    keepers = classes.select(F.col("keeper.row_key").alias(row_key), F.col("keeper.text_key").alias(text_key)).distinct()
     some = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = keyed(docs.where(some), key, text).join(keepers, ["row_key", "text_key"])
-    nth = F.row_number().over(Window.partitionBy("row_key", "text_key").orderBy("row_key"))
-    kept = kept.withColumn("nth", nth).where("nth = 1").select(*docs.columns)
+    kept = keyed(docs.where(some), key, text, row_key, text_key).join(keepers, [row_key, text_key])
+    first = F.row_number().over(Window.partitionBy(row_key, text_key).orderBy(row_key))
+    kept = kept.withColumn(nth, first).where(F.col(nth) == 1).select(*docs.columns)
     return kept.unionByName(docs.where(~some))
 
 
