@@ -1,7 +1,7 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance down directories.
 
-Statements are the lines of a text that speak of a licence, anywhere in the
-text.  A line, and each template, is a sparse vector of its distinct words,
+Statements are the lines, cut at ends of sentences, that speak of a licence,
+anywhere in a text.  A line, and each template, is a sparse vector of its distinct words,
 weighted by tf x idf; idf = ln((1 + N) / (1 + df)) + 1 over all statement lines of
 all files together with the templates (a word no line holds has df 0).  The
 line's best cosine to a template of at least ``ENOUGH`` names its licence; a
@@ -59,7 +59,7 @@ def words(text: Column) -> Column:
 
 def statements(files: DataFrame) -> DataFrame:
     """(file, line): the lines that speak of a licence; their terms are counted by value."""
-    some = files.where(F.col("text").rlike(_SPEAKS)).select("file", F.explode(F.split("text", "\n")).alias("line"))
+    some = files.where(F.col("text").rlike(_SPEAKS)).select("file", F.explode(F.split("text", r"\n|(?<=[.!?])\s+")).alias("line"))
     return some.where(F.col("line").rlike(_SPEAKS)).withColumn("line", F.trim("line"))
 
 
