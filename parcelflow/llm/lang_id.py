@@ -30,6 +30,8 @@ from .common import arrow_bytes, pieces
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 SAMPLE, CROPS, EPOCHS, RATE = 1200, 3, 6, 0.01
+#: training steps at least, however few the windows
+STEPS = 600
 #: languages told apart at most, the most frequent ones
 LANGUAGES = 500
 _STEP = WINDOW - max(WIDTHS) + 1
@@ -67,7 +69,7 @@ class Network:
         rng = np.random.default_rng(seed)
         params = [*self.conv, *self.bias, self.out, self.out_bias]
         m, v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS // max(1, -(-len(x) // 128))))):
             order = rng.permutation(len(x))
             for lo in range(0, len(x), 128):
                 rows = order[lo : lo + 128]
