@@ -82,6 +82,8 @@ class LabelModel:
     def fit(self, votes: np.ndarray, start: np.ndarray, rounds: int = 10) -> LabelModel:
         self.weight, self.prior = np.ones(votes.shape[1]), float(np.clip(start.mean(), 1e-3, 1 - 1e-3))
         q = start.astype(float)
+        self._estimate(votes, q)
+        self._weigh(votes, q, 0.8)  # voters that all but repeat each other; the rest once the classes are known
         for _ in range(2):
             for _ in range(rounds):
                 self._estimate(votes, q)
@@ -94,14 +96,14 @@ class LabelModel:
         n1, n0 = q.sum(), (1 - q).sum()
         self.fires = np.stack([((1 - q) @ votes + 0.05) / (n0 + 1), (q @ votes + 0.05) / (n1 + 1)])
 
-    def _weigh(self, votes: np.ndarray, q: np.ndarray) -> None:
+    def _weigh(self, votes: np.ndarray, q: np.ndarray, least: float = 0.0) -> None:
         """Correlations within the classes; a voter that others repeat counts for less."""
         expect = np.outer(1 - q, self.fires[0]) + np.outer(q, self.fires[1])
         rest = votes - expect
         sd = np.sqrt((rest**2).mean(0)) + 1e-9
         self.correlation = (rest.T @ rest) / len(votes) / np.outer(sd, sd)
         others = np.clip(self.correlation, 0, 1) - np.eye(len(sd))
-        self.weight = 1 / (1 + np.clip(others, 0, None).sum(1))
+        self.weight = 1 / (1 + np.where(others > least, others, 0).sum(1))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         f = np.clip(self.fires, 1e-6, 1 - 1e-6)

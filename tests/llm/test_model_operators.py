@@ -46,7 +46,7 @@ def test_network_equals_plain_convolution_and_covers_whole_texts():
         while t and (at == 0 or at + max(lang_id.WIDTHS) - 1 < len(t)):
             cuts.append(t[at : at + lang_id.WINDOW])
             at += lang_id.WINDOW - max(lang_id.WIDTHS) + 1
-        want = sum(len(c) * _plain_network(net, np.frombuffer(c.ljust(lang_id.WINDOW, b"\0"), np.uint8)) for c in cuts) / len(t) if t else 0
+        want = sum(len(c) * _plain_network(net, np.frombuffer(c.ljust(lang_id.WINDOW, b"\0"), np.uint8)) for c in cuts) / sum(map(len, cuts)) if t else 0
         assert np.allclose(p, want, atol=1e-5)
 
 
@@ -88,11 +88,11 @@ def test_toxicity_held_out_and_edges(spark):
     hit = sum(r["predicted"] == 1 and r["toxic"] == 1 for r in held)
     assert hit / max(1, sum(r["predicted"] for r in held)) > 0.8 and hit / sum(r["toxic"] for r in held) > 0.5
     docs = spark.createDataFrame([(k, f"some plain words {k}" + (" you are an idiot" if k % 4 == 0 else "") + f" tail{k * 7}", 1) for k in range(400)]
-                                 + [(1000, None, 0), (1001, "", 0), (None, "idiot", 0), (8, "some plain words 8 you are an idiot tail56", 1)], "doc_id long, text string, toxic int")
+                                 + [(1000, None, 0), (1001, "", 0), (None, "you are an idiot", 0), (8, "some plain words 8 you are an idiot tail56", 1)], "doc_id long, text string, toxic int")
     labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)] + [(5, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     s = {r[0]: r[1] for r in docs.select("text", toxicity.scored(model, docs)).collect()}
-    assert s["idiot"] > 0.5 and s[None] == s[""] < 0.3 and all(0 <= v <= 1 for v in s.values())
+    assert s["you are an idiot"] > 0.5 and s[None] == s[""] < 0.3 and all(0 <= v <= 1 for v in s.values())
     one = toxicity.fit(docs, labels.where("toxic = 0"))
     assert one.score("idiot") < 0.01 and toxicity.fit(docs.limit(0), labels.limit(0)).score(None) < 0.01
 
