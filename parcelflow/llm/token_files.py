@@ -44,8 +44,9 @@ from pyspark.sql import functions as F
 from .common import shared_path
 
 FRAME_IDS = 1 << 17
-#: words that a worker remembers
-MEMORY = 400_000
+#: words that a worker remembers, twice, and characters it encodes at once
+MEMORY, RUN = 600_000, 1 << 18
+_ENDS = ".,;:!?"
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _TAIL = struct.Struct("<QQQQ")
 
@@ -55,6 +56,7 @@ _SPLIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: white space to Python, but not to the tokenizer; and the mark of a word without a space before it
 _ODD = re.compile("[\x00\x1c-\x1f]")
 _BARE = "\x00"
+_WHITE = re.compile(r"\s")
 
 
 class Encoder:
@@ -72,6 +74,8 @@ class Encoder:
         self.by_word = self.lib.normalizer is None and split == "ByteLevel" and not self.lib.pre_tokenizer.add_prefix_space
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.line_end = np.frombuffer(self._raw(["\n"])[0], self.width)
+        self.ends = dict(zip(_ENDS, self._raw(list(_ENDS)), strict=True))
         #: ids of words met lately, and of those met before
         self.memory: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -80,33 +84,84 @@ class Encoder:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in got]
 
-    def _lookup(self, words: list[str]) -> bytes:
-        """The ids of words with a space before each (of those with the mark, without)."""
-        got = list(map(self.memory.get, words))
-        if None in got:
-            if len(self.memory) > MEMORY:
-                self.older, self.memory = self.memory, {}
-                got = [None] * len(words)
-            new = list({w for w, g in zip(words, got, strict=True) if g is None})
-            old = list(map(self.older.get, new))
-            self.memory.update((w, g) for w, g in zip(new, old, strict=True) if g is not None)
-            new = [w for w, g in zip(new, old, strict=True) if g is None]
-            self.memory.update(zip(new, self._raw([w[1:] if w[:1] == _BARE else " " + w for w in new]), strict=True))
-            got = list(map(self.memory.get, words))
-        return b"".join(got)
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids of a text as packed integers of ``width``."""
-        if not text:
-            return b""
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """The ids of words with a space before each; words without white space are encoded as lines of one text."""
+        lines = [w for w in words if not _WHITE.search(w)] if len(self.line_end) == 1 else []
+        out = {}
+        for lo in range(0, len(lines), 4096):
+            run = lines[lo : lo + 4096]
+            ids = np.array(self.lib.encode_batch_fast([" " + "\n ".join(run) + "\n"], add_special_tokens=False)[0].ids, self.width)
+            ends = (np.flatnonzero(ids == self.line_end[0]) * self.width.itemsize).tolist()
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(run, ends, strict=True):
+                out[w] = raw[at:end]
+                at = end + self.width.itemsize
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._raw([" " + w for w in rest]), strict=True))
+        return [out[w] for w in words]
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of words with a space before each (of those with the mark, without).
+
+        A word of letters and one of ``_ENDS`` is two tokens' worth: the word's ids and the mark's.
+        """
+        if len(self.memory) > MEMORY:
+            self.older, self.memory = self.memory, {}
+        memory, older = self.memory, self.older
+        ask, ended = set(), []
+        for w in words:
+            if w in memory:
+                continue
+            if w in older:
+                memory[w] = older[w]
+            elif w[-1:] in self.ends and w[-2:-1].isalpha() and w[0] != _BARE:
+                ended.append(w)
+                base = w[:-1]
+                if base not in memory:
+                    if base in older:
+                        memory[base] = older[base]
+                    else:
+                        ask.add(base)
+            else:
+                ask.add(w)
+        bare = [w for w in ask if w[:1] == _BARE]
+        memory.update(zip(bare, self._raw([w[1:] for w in bare]), strict=True))
+        new = [w for w in ask if w[:1] != _BARE]
+        memory.update(zip(new, self._spaced(new), strict=True))
+        for w in ended:
+            memory[w] = memory[w[:-1]] + self.ends[w[-1]]
+
+    def _words(self, text: str) -> list[str] | None:
+        """The text cut at spaces; None if it must be encoded whole."""
         if not self.by_word or _ODD.search(text) or any(s in text for s in self.special):
-            return self._raw([text])[0]
+            return None
         if _LONG_SPACE.search(text):
-            words = [w[1:] if w[0] == " " and not w.isspace() else _BARE + w for w in _SPLIT.findall(text)]
-        else:
-            words = text.split(" ")
-            words[0] = _BARE + words[0]
-        return b"".join([self._lookup(words[lo : lo + 65536]) for lo in range(0, len(words), 65536)])
+            return [w[1:] if w[0] == " " and not w.isspace() else _BARE + w for w in _SPLIT.findall(text)]
+        words = text.split(" ")
+        words[0] = _BARE + words[0]
+        return words
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as packed integers of ``width``; call it for about ``RUN`` characters at once."""
+        cut = [self._words(t) if t else [] for t in texts]
+        self._learn(set().union(*(w for w in cut if w)))
+        get = self.memory.__getitem__
+        return [self._raw([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, cut, strict=True)]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
+
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Runs [lo, hi) of texts of about ``RUN`` characters; a longer text stands alone."""
+    lo = size = 0
+    for hi, t in enumerate(texts):
+        if hi > lo and size + len(t or "") > RUN:
+            yield lo, hi
+            lo, size = hi, 0
+        size += len(t or "")
+    if texts:
+        yield lo, len(texts)
 
 
 @lru_cache(maxsize=2)
@@ -226,13 +281,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, out: str, key: st
         part = TaskContext.get().partitionId()
         path = f"{out}/ids/part-{part:07d}-{uuid.uuid4().hex}.zst"
         for b in batches:
-            for k, null, t in zip(b["k"], b["no_k"], b["t"], strict=True):
+            texts = b["t"].tolist()
+            for lo, hi in _runs(texts):
                 if file is None:
                     file = _open(path, True)
                     to = Writer(file, enc.width)
-                ids = enc.encode(t) + end
-                n += len(ids) // enc.width.itemsize
-                to.add(None if null else int(k), ids)
+                rows = b.iloc[lo:hi]
+                for k, null, ids in zip(rows["k"].tolist(), rows["no_k"].tolist(), enc.encode_all(texts[lo:hi]), strict=True):
+                    n += len(ids) // enc.width.itemsize + 1
+                    to.add(None if null else k, ids + end)
         if file is not None:
             to.close()
             file.close()
