@@ -177,6 +177,19 @@ def test_html_blocks():
         html_text.blocks(text)
 
 
+def test_html_attribute_values_and_class_words():
+    text = "<p>Kept words</p>"
+    kept = ['<article style="overflow:hidden">', '<article title="The hidden cost">', "<article data-x='class=ad'>", '<article title="a role=navigation b" class=post>', '<body class="no-sidebar"><article>',
+            '<article class="post comments-open">', '<html class="cookie"><body id="menu"><main class="sidebar">', '<main><div class="has-sidebar">', '<main><div class="post comments-open">', "<article data-hidden=1>", "<article =hidden>"]
+    for start in kept[:-1]:
+        got = html_text.blocks(start + text)
+        assert got.content == ["Kept words"] and got.has_article, start
+    for start in ('<div class="sidebar-left">', '<div id=comments>', '<div class="commentList">', "<div hidden>", '<div title="x" aria-hidden="true">', '<div class="main-nav">', '<section class="x ad">', "<div class=left-sidebar>"):
+        assert html_text.blocks(f"<article>{text}{start}gone</div></article>").content == ["Kept words"], start
+    assert html_text.blocks('<body class="no-sidebar"><p>Plain</p>').outside == [("Plain", False)]
+    html_text.blocks(kept[-1])
+
+
 def test_html_host_runs(spark):
     menu, legal = "home news sport weather contact imprint now", "all rights are reserved by the owners of this site"
     body = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
