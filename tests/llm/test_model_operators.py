@@ -190,6 +190,15 @@ def test_html_attribute_values_and_class_words():
     html_text.blocks(kept[-1])
 
 
+def test_html_boilerplate_is_counted_beside_articles(spark):
+    menu = "home news sport weather contact imprint now"
+    page = lambda k: f"<html><body><nav>{menu}</nav><article><p>" + " ".join(f"w{k}x{j}" for j in range(30)) + f"</p></article><div>own{k} words</div></body></html>"
+    rows = [(k, "http://h.example/", page(k)) for k in (0, 1, 2, 3, 3)] + [(4, "http://other.example/", page(4)), (5, "http://h.example/", "<article>alone</article>")]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["page_id"], r["n_boilerplate"]) for r in got) == [(0, 7), (1, 7), (2, 7), (3, 7), (3, 7), (4, 0), (5, 0)]
+    assert all(r["text"] == ("alone" if r["page_id"] == 5 else " ".join(f"w{r['page_id']}x{j}" for j in range(30))) for r in got)
+
+
 def test_html_host_runs(spark):
     menu, legal = "home news sport weather contact imprint now", "all rights are reserved by the owners of this site"
     body = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
