@@ -199,6 +199,26 @@ def test_html_boilerplate_is_counted_beside_articles(spark):
     assert all(r["text"] == ("alone" if r["page_id"] == 5 else " ".join(f"w{r['page_id']}x{j}" for j in range(30))) for r in got)
 
 
+def test_html_edited_copies_and_shared_passages_stay(spark):
+    menu = "home news sport weather contact imprint now"
+    words = lambda k, n=60: [f"w{k}x{j}" for j in range(n)]
+    edited = lambda j: " ".join("edit" if i == j else w for i, w in enumerate(words("copy")))
+    shared = " ".join(words("shared", 55))
+    body = {0: " ".join(words("copy")), 1: edited(10), 2: edited(30), 3: edited(50), 4: " ".join(words(4)), 5: " ".join(words(5)) + "\n\n" + shared, 6: shared + "\n\n" + " ".join(words(6)),
+            7: " ".join([*words(7), "a", "phrase", "of", "six", "common", "words"]), 8: " ".join([*words(8), "a", "phrase", "of", "six", "common", "words", *words(80)])}
+    # a host whose pages are most of all its template
+    frame = " ".join(words("frame", 200))
+    thin = {20 + k: " ".join(words(f"thin{k}", 15)) for k in range(6)}
+    whole = lambda m, t: f"<div>{m}</div>" + "".join(f"<p>{p}</p>" for p in t.split("\n\n"))
+    rows = [(k, "http://h.example/", whole(menu, t)) for k, t in body.items()] + [(k, "http://thin.example/", whole(frame, t)) for k, t in thin.items()]
+    # copies that are most of a host: a paragraph is the same in all
+    most = {40 + k: " ".join(words("one")) + "\n\n" + edited(5 + 9 * k) for k in range(5)}
+    rows += [(k, "http://most.example/", whole(menu, t)) for k, t in most.items()]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: got[k] for k in (body | thin)} == body | thin
+    assert {k: got[k] for k in most} == {k: f"{menu}\n\n{t}" for k, t in most.items()}
+
+
 def test_html_host_runs(spark):
     menu, legal = "home news sport weather contact imprint now", "all rights are reserved by the owners of this site"
     body = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
