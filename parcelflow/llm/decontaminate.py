@@ -4,14 +4,18 @@ Words are runs of ASCII letters, digits and any other character beyond ASCII;
 A-Z are lowered.  A seed is a run of ``SEED`` words of a test item that chance
 would hardly put into a document: the product of its words' frequencies, which
 are counted over all documents, is at most ``RARE``.  An item always keeps its
-``LEAST`` rarest seeds.  How often a seed itself occurs plays no part, so a
+``LEAST`` rarest seeds, and ``STRETCH_LEAST`` of each stretch of half ``LONG``
+words, so that any passage of ``LONG`` words holds some.  How often a seed itself occurs plays no part, so a
 passage that thousands of documents share keeps its seeds.
 
 A document's words are joined to the seeds by their hashes.  Around hits of
 one item a window as long as the item and some slack is aligned with it, word
 by word (match 2, mismatch and gap -1).  The score is the best local alignment
 over that of the item with itself; from ``SCORE`` on the document holds a copy,
-exact, edited or paraphrased.  The best window of each document and item counts.
+exact, edited or paraphrased.  So it does, whatever the item's length, where the
+alignment itself scores as much as ``LONG`` copied words and ``SCORE`` of what its
+own words could: a passage of a long item, reported with its score (below
+``SCORE``).  The best window of each document and item counts.
 
 Items are taken in blocks of at most ``BLOCK_BYTES`` of text, which bounds what
 the driver collects and what tasks are sent, whatever the benchmark's size.
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import PUNCTUATION, arrow_bytes, ngrams, pieces, words_of
 
 SEED, RARE, LEAST, SCORE = 3, 1e-9, 8, 0.5
+#: words of a passage that is a copy even if most of its item is missing, and the seeds kept of each half as many words
+LONG, STRETCH_LEAST = 20, 3
 MATCH, MISS, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
 
@@ -73,7 +79,11 @@ class Items:
             chance = np.array([freq[i : i + n].prod() for i in range(len(words) - n + 1)])
             bound = max(RARE, np.sort(chance)[: LEAST][-1])
             hashes = ngrams(words, n)
-            for i in np.flatnonzero(chance <= bound):
+            kept = chance <= bound
+            for at in range(0, len(chance), LONG // 2):
+                inside = chance[at : at + LONG // 2 - n + 1]
+                kept[at + np.argsort(inside, kind="stable")[:STRETCH_LEAST]] = True
+            for i in np.flatnonzero(kept):
                 seeds[n, int(hashes[i])].append((k, int(i)))
         self.lengths = sorted({n for n, _ in seeds})
         self.seeds = {n: np.array(sorted(h for m, h in seeds if m == n), np.uint64) for n in self.lengths}
@@ -114,13 +124,14 @@ class Items:
                 if n < need:
                     continue
                 score, end = align(item, words[lo:hi])
-                score /= MATCH * size
-                if score >= SCORE and (best is None or score > best[0]):
-                    best = score, lo, lo + end, n
+                if score < MATCH * min(SCORE * size, LONG) or (best is not None and score <= best[0]):
+                    continue
+                _, back = align(item[::-1], words[lo : lo + end][::-1])
+                if score >= MATCH * SCORE * size or score >= MATCH * max(LONG, SCORE * back):
+                    best = score, lo + end, back, n
             if best:
-                score, lo, end, n = best
-                _, back = align(item[::-1], words[lo:end][::-1])
-                found.append({"item_id": self.ids[k], "score": score, "n_seeds": n, "first_word": end - back, "last_word": end - 1})
+                score, end, back, n = best
+                found.append({"item_id": self.ids[k], "score": score / (MATCH * size), "n_seeds": n, "first_word": end - back, "last_word": end - 1})
         return sorted(found, key=lambda f: (-f["score"], f["item_id"]))
 
 

@@ -270,6 +270,24 @@ def test_leaks_exact_edited_and_hot(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0 == decontaminate.contaminated(docs.limit(0), bench).count()
 
 
+def test_leaks_of_long_passages(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"v{k}" for k in range(400)]
+    prose = lambda n: " ".join(rng.choice(vocabulary[:60], n))
+    items = [(0, " ".join(rng.choice(vocabulary, 59))), (1, " ".join(rng.choice(vocabulary, 500))), (2, " ".join(rng.choice([f"c{k}" for k in range(15)], 300)))]
+    words = [t.split() for _, t in items]
+    edited = [w if k % 8 else f"new{k}" for k, w in enumerate(words[1][120:200])]
+    texts = {1: prose(90) + " " + " ".join(words[0][:29]) + " " + prose(40), 2: " ".join(words[1][100:300]), 3: prose(300) + " " + " ".join(words[1][470:495]), 4: prose(30) + " " + " ".join(edited) + " " + prose(30),
+             5: prose(50) + " " + " ".join(words[1][40:52]) + " " + prose(50), 6: prose(800), 7: prose(20) + " " + " ".join(words[2][111:136])}
+    texts |= {10 + k: prose(20) + " " + " ".join(words[1][k : k + 22]) + " " + prose(20) for k in range(0, 478, 17)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+    assert set(got) == {(1, 0), (2, 1), (3, 1), (4, 1), (7, 2)} | {(k, 1) for k in texts if k >= 10}
+    assert all(s < decontaminate.SCORE for s in got.values()) and got[2, 1] == 0.4
+    assert next((r["first_word"], r["last_word"]) for r in rows if r["doc_id"] == 3) == (300, 324)
+
+
 def test_pieces_cover_all_rows():
     offsets = np.array([0, 5, 5, 3_000_000, 3_000_001, 3_000_001])
     assert list(pieces(offsets)) == [(0, 2), (2, 3), (3, 5)]
