@@ -1,17 +1,24 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance down directories.
 
-Statements are the lines, cut at ends of sentences, that speak of a licence,
-anywhere in a text.  A line, and each template, is a sparse vector of its distinct words,
-weighted by tf x idf; idf = ln((1 + N) / (1 + df)) + 1 over all statement lines of
-all files together with the templates (a word no line holds has df 0).  The
-line's best cosine to a template of at least ``ENOUGH`` names its licence; a
-file's licence is that of its best line.
+Statements are the lines, cut at ends of sentences, that hold a telling word of
+any template (all their words but ``_COMMON`` ones and numbers), anywhere in a
+text.  Paragraphs, the comment a file begins with and licence files as a whole
+are compared too, where they hold such words.  A line or such a block, and each
+template, is a sparse vector of its distinct words, weighted by tf x idf;
+idf = ln((1 + N) / (1 + df)) + 1 over all statement lines of all files together
+with the templates (a word no line holds has df 0).  The best cosine to a
+template of at least ``ENOUGH`` names a line's or block's licence; a file's
+licence is that of its best one.  Reservations ("All rights reserved.") stand
+beside many grants and count only in files without one.
+
+Templates are short notices, usual headers and full texts; of the long licences
+(Apache, GNU, MPL, Creative Commons) the notices and the titles their files begin with.
 
 A licence file (its base name begins with LICENSE, LICENCE, COPYING, NOTICE or
 COPYRIGHT) speaks for its directory; of several the best score, then the
 smallest path.  A file without a statement of its own takes the licence of the
 nearest directory above it that has one: every directory is joined to all its
-ancestors' licences, and the deepest stays.
+ancestors' licences, and the deepest stays; grants come before reservations here too.
 
 Only DataFrame functions are used; the templates are a fixed table, and words
 of lines are joined to it by value.  Directories, not files, are joined to
@@ -24,12 +31,37 @@ empty table gives an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ENOUGH = 0.6
 
-# SPDX identifiers and the words of their usual short notices.
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, "
+    "EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_GNU = (
+    "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version. "
+    "This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. "
+    "You should have received a copy of the GNU {name} along with this {what}. If not, see https://www.gnu.org/licenses/."
+)
+_GNU_TITLE = "GNU {name} Version {v}, {date} Copyright (C) Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+
+# SPDX identifiers and the words of their usual short notices, headers and full texts.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -47,20 +79,80 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC0-1.0", "Dedicated to the public domain under the CC0 1.0 Universal license"),
     ("proprietary", "Copyright. All rights reserved. No part of this may be reproduced without permission"),
+    ("proprietary", "All rights reserved."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights "
+     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+     "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS + " AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+     "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_END),
+    ("ISC", _ISC),
+    ("ISC", _ISC + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+     "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+     "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+     "See the License for the specific language governing permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-2.0", _GNU.format(what="program", name="General Public License", v=2)),
+    ("GPL-3.0", _GNU.format(what="program", name="General Public License", v=3)),
+    ("LGPL-2.1", _GNU.format(what="library", name="Lesser General Public License", v="2.1")),
+    ("LGPL-3.0", _GNU.format(what="library", name="Lesser General Public License", v=3)),
+    ("AGPL-3.0", _GNU.format(what="program", name="Affero General Public License", v=3)),
+    ("GPL-2.0", _GNU_TITLE.format(name="General Public License", v=2, date="June 1991")),
+    ("GPL-3.0", _GNU_TITLE.format(name="General Public License", v=3, date="29 June 2007")),
+    ("LGPL-2.1", _GNU_TITLE.format(name="Lesser General Public License", v="2.1", date="February 1999")),
+    ("LGPL-3.0", _GNU_TITLE.format(name="Lesser General Public License", v=3, date="29 June 2007")),
+    ("AGPL-3.0", _GNU_TITLE.format(name="Affero General Public License", v=3, date="19 November 2007")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
-_SPEAKS = r"(?i)licen[sc]|copyright|spdx|all rights reserved|public domain|permission is hereby"
+_RESERVED = "proprietary"
+# Words that say nothing of a licence when they stand alone.
+_COMMON = set("a above all along also an and any appear are as at be but by can do each even for form forms from has have if in included including is it its later list may more must no nor not of on one or other others out part "
+              "person persons see shall should so some such than that the their this to under use used version v was way whether which whom will with you your hope name names".split())
+_WORD = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
+_PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+_COMMENT_LINE = r"^\s*(?:$|#|//|/\*|\*|--|;|%|<!--)"
+_COMMENT = r"^\s*(/\*[\s\S]*?\*/|<!--[\s\S]*?-->|\"\"\"[\s\S]*?\"\"\"|\'\'\'[\s\S]*?\'\'\')"
 _FILE = r"(?i)^(licen[sc]e|copying|notice|copyright)"
 
 
 def words(text: Column) -> Column:
     """Lowered runs of letters and digits; version numbers and hyphened names stay whole."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({_WORD})"), F.lit(1))
+
+
+def _either(terms: set[str]) -> str:
+    """A regular expression for any of ``terms``, by common beginnings."""
+    heads: dict[str, set[str]] = {}
+    for t in terms - {""}:
+        heads.setdefault(t[0], set()).add(t[1:])
+    some = "|".join(re.escape(h) + (_either(rest) if rest != {""} else "") for h, rest in sorted(heads.items()))
+    return f"(?:{some})" + ("?" if "" in terms else "")
+
+
+def telling() -> str:
+    """Matches texts that hold a telling word of a template, alone or in a hyphened word."""
+    terms = {t for _, text in TEMPLATES for t in re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())}
+    terms = {t for t in terms if t not in _COMMON and not re.fullmatch(r"[\d.]+", t)} | {"license", "licence", "licensed", "licenced", "licenses", "licences", "licensing", "copyright", "copyrighted", "spdx"}
+    return rf"(?i)\b{_either(terms)}\b"
 
 
 def statements(files: DataFrame) -> DataFrame:
-    """(file, line): the lines that speak of a licence; their terms are counted by value."""
-    some = files.where(F.col("text").rlike(_SPEAKS)).select("file", F.explode(F.split("text", r"\n|(?<=[.!?])\s+")).alias("line"))
-    return some.where(F.col("line").rlike(_SPEAKS)).withColumn("line", F.trim("line"))
+    """(file, line, n): lines with telling words (n: 1), and larger blocks with such words (n: 0, not counted for idf)."""
+    speaks = telling()
+    some = files.where(F.col("text").rlike(speaks))
+    lines = F.split("text", r"\n|(?<=[.!?])\s+")
+    rows = F.split("text", "\n")
+    code = F.array_position(F.transform(rows, lambda r: ~r.rlike(_COMMENT_LINE)), True)
+    head = F.array_join(F.when(code > 0, F.slice(rows, 1, F.greatest(code - 1, F.lit(0)).cast("int"))).otherwise(F.array().cast("array<string>")), "\n")
+    whole = F.when(F.regexp_extract("path", r"([^/]*)$", 1).rlike(_FILE), F.col("text"))
+    blocks = F.concat(F.split("text", _PARAGRAPH), F.array(head, F.regexp_extract("text", _COMMENT, 1), F.coalesce(whole, F.lit(""))))
+    # A block of one line is that line.
+    blocks = F.filter(F.array_distinct(F.transform(blocks, lambda b: F.trim(b))), lambda b: b.rlike(r"\n|[.!?]\s"))
+    as_lines = some.select("file", F.explode(lines).alias("line"), F.lit(1).alias("n"))
+    as_blocks = some.select("file", F.explode(blocks).alias("line"), F.lit(0).alias("n"))
+    return as_lines.union(as_blocks).where(F.col("line").rlike(speaks)).withColumn("line", F.trim("line"))
 
 
 def weighted(vectors: DataFrame, idf: DataFrame, n: Column, *key: str) -> DataFrame:
@@ -79,7 +171,7 @@ def line_licenses(lines: DataFrame) -> DataFrame:
     split = lines.select("line", "copies", F.explode(words(F.col("line"))).alias("term"))
     n = lines.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"))
     n = F.lit(int(n.first()["n"]) + len(TEMPLATES))
-    of_lines = split.distinct().groupBy("term").agg(F.sum("copies").alias("df"))
+    of_lines = split.where("copies > 0").distinct().groupBy("term").agg(F.sum("copies").alias("df"))
     of_templates = known.select("template", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = of_lines.union(of_templates).groupBy("term").agg(F.sum("df").alias("df"))
     a = weighted(split, idf, n, "line")
@@ -91,10 +183,10 @@ def line_licenses(lines: DataFrame) -> DataFrame:
 
 def own_licenses(files: DataFrame) -> DataFrame:
     """(file, license, score) of files with a statement of their own."""
-    found = statements(files).groupBy("file", "line").agg(F.count(F.lit(1)).alias("copies"))
+    found = statements(files).groupBy("file", "line").agg(F.sum("n").alias("copies"))
     per_line = found.groupBy("line").agg(F.sum("copies").alias("copies"))
     named = found.join(line_licenses(per_line), "line")
-    best = named.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("best"))
+    best = named.groupBy("file").agg(F.min(F.struct((F.col("license") == _RESERVED).alias("reserved"), (-F.col("score")).alias("less"), "license")).alias("best"))
     return best.select("file", F.col("best.license").alias("license"), (-F.col("best.less")).alias("score"))
 
 
@@ -116,7 +208,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", keep: tuple[s
     rows = f.select(*keep, "path", "file").withColumn("folder", folder_of(F.col("path")))
     rows = rows.join(own, "file", "left")
     is_file = F.regexp_extract("path", r"([^/]*)$", 1).rlike(_FILE)
-    spoken = rows.where(is_file & F.col("license").isNotNull()).groupBy(F.col("folder").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("less"), "path", "license")).alias("of"))
+    spoken = rows.where(is_file & F.col("license").isNotNull()).groupBy(F.col("folder").alias("above")).agg(F.min(F.struct((F.col("license") == _RESERVED).alias("reserved"), (-F.col("score")).alias("less"), "path", "license")).alias("of"))
     spoken = spoken.select("above", F.col("of.license").alias("passed_on"))
     up = rows.where("folder is not null").select("folder").distinct().select("folder", F.inline(ancestors(F.col("folder"))))
     nearest = up.join(spoken, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "passed_on")).alias("from"))

@@ -111,6 +111,20 @@ def test_licenses_own_inherited_and_none(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_licenses_full_texts_headers_and_reservations(spark):
+    full = {lic: max((t for x, t in license_scan.TEMPLATES if x == lic), key=len) for lic, _ in license_scan.TEMPLATES}
+    wrap = lambda text, mark="", n=70: "\n".join(mark + w for w in __import__("textwrap").wrap(text, n))
+    mine = "Copyright (c) 2019 Some Body. All rights reserved.\n\n"
+    files = [("a/LICENSE", mine + wrap(full["BSD-3-Clause"])), ("b/LICENSE", mine + wrap(full["BSD-2-Clause"])), ("c/COPYING", "Copyright 2020 Nobody\n\n" + wrap(full["ISC"])), ("d/LICENSE.md", "The MIT License\n\n" + wrap(full["MIT"])),
+             ("e/x.py", wrap(full["GPL-2.0"], "# ") + "\n\nimport os\n"), ("e/y.c", "/*\n" + wrap(full["Apache-2.0"]) + "\n*/\nint main;\n"), ("e/z.js", wrap(full["ISC"], "// ", 40) + "\nvar x;\n"), ("e/w.c", "/*\n" + wrap(full["GPL-3.0"], " * ") + "\n */\n"),
+             ("f/x.txt", "Prose.\nAll rights reserved.\nMore prose."), ("f/y.txt", "All rights reserved.\nReleased under the MIT License, as is."), ("g/x.txt", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+             ("g/y.txt", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"), ("h/LICENSE", "All rights reserved."), ("h/x", "nothing"), ("h/y", "People use a version of this part, and the others see it.")]
+    got = {r["path"]: (r["license"], r["origin"]) for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    want = dict(zip([p for p, _ in files], ["BSD-3-Clause", "BSD-2-Clause", "ISC", "MIT", "GPL-2.0", "Apache-2.0", "ISC", "GPL-3.0", "proprietary", "MIT", "BSD-3-Clause", "ISC", "proprietary"]))
+    assert {p: x for p, (x, _) in got.items() if p in want} == want and all(got[p][1] == "own" for p in want)
+    assert got["h/x"] == got["h/y"] == ("proprietary", "inherited")
+
+
 def test_license_cosine_equals_brute_force(spark):
     lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 1.1", "License: see the file", "All rights reserved"]
     files = spark.createDataFrame([(f"f{k}", t) for k, t in enumerate(lines + lines[:1])], "path string, text string")
