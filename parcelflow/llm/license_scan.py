@@ -20,7 +20,7 @@ smallest path.  A file without a statement of its own takes the licence of the
 nearest directory above it that has one: every directory is joined to all its
 ancestors' licences, and the deepest stays; grants come before reservations here too.
 
-Only DataFrame functions are used; the templates are a fixed table, and words
+Only DataFrame functions are used; texts meet by a 64-bit hash; the templates are a fixed table, and words
 of lines are joined to it by value.  Directories, not files, are joined to
 ancestors, so a directory with many files costs one row.
 
@@ -36,6 +36,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 ENOUGH = 0.6
 
 _AS_IS = (
@@ -107,8 +109,8 @@ TEMPLATES = (
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
 _RESERVED = "proprietary"
-# Words that say nothing of a licence when they stand alone.
-_COMMON = set("a above all along also an and any appear are as at be but by can do each even for form forms from has have if in included including is it its later list may more must no nor not of on one or other others out part "
+# Words that say nothing of a licence when they stand alone ("mit" is German for "with").
+_COMMON = set("a above all along also an and any appear are as at be but by can do each even for form forms from has have if in included including is it its later list may mit more must no nor not of on one or other others out part "
               "person persons see shall should so some such than that the their this to under use used version v was way whether which whom will with you your hope name names".split())
 _WORD = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 _PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
@@ -164,28 +166,29 @@ def weighted(vectors: DataFrame, idf: DataFrame, n: Column, *key: str) -> DataFr
 
 
 def line_licenses(lines: DataFrame) -> DataFrame:
-    """(line, license, score) of distinct lines that come near a template; ``lines`` has (line, copies)."""
+    """(unit, license, score) of distinct lines and blocks that come near a template; ``lines`` has (unit, line, copies), a unit being the hash of its text."""
     spark = lines.sparkSession
     fixed = spark.createDataFrame([(i, lic, t) for i, (lic, t) in enumerate(TEMPLATES)], "template int, license string, line string")
     known = fixed.select("template", "license", F.explode(words(F.col("line"))).alias("term"))
-    split = lines.select("line", "copies", F.explode(words(F.col("line"))).alias("term"))
+    split = lines.select("unit", "copies", F.explode(words(F.col("line"))).alias("term"))
     n = lines.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"))
     n = F.lit(int(n.first()["n"]) + len(TEMPLATES))
     of_lines = split.where("copies > 0").distinct().groupBy("term").agg(F.sum("copies").alias("df"))
     of_templates = known.select("template", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = of_lines.union(of_templates).groupBy("term").agg(F.sum("df").alias("df"))
-    a = weighted(split, idf, n, "line")
+    a = weighted(split, idf, n, "unit")
     b = weighted(known, idf, n, "template", "license").withColumnRenamed("w", "v")
-    near = a.join(F.broadcast(b), "term").groupBy("line", "template", "license").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
-    best = near.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("best"))
-    return best.select("line", F.col("best.license").alias("license"), (-F.col("best.less")).alias("score")).where(F.col("score") >= ENOUGH)
+    near = a.join(F.broadcast(b), "term").groupBy("unit", "template", "license").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
+    best = near.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("best"))
+    return best.select("unit", F.col("best.license").alias("license"), (-F.col("best.less")).alias("score")).where(F.col("score") >= ENOUGH)
 
 
 def own_licenses(files: DataFrame) -> DataFrame:
     """(file, license, score) of files with a statement of their own."""
-    found = statements(files).groupBy("file", "line").agg(F.sum("n").alias("copies"))
-    per_line = found.groupBy("line").agg(F.sum("copies").alias("copies"))
-    named = found.join(line_licenses(per_line), "line")
+    found = statements(files).withColumn("unit", F.xxhash64("line")).groupBy("file", "unit").agg(F.any_value("line").alias("line"), F.sum("n").alias("copies"))
+    found = written(found, "statements")
+    per_line = written(found.groupBy("unit").agg(F.any_value("line").alias("line"), F.sum("copies").alias("copies")), "units")
+    named = found.select("file", "unit").join(line_licenses(per_line), "unit")
     best = named.groupBy("file").agg(F.min(F.struct((F.col("license") == _RESERVED).alias("reserved"), (-F.col("score")).alias("less"), "license")).alias("best"))
     return best.select("file", F.col("best.license").alias("license"), (-F.col("best.less")).alias("score"))
 
