@@ -74,6 +74,8 @@ class Codec:
         self.find.make_automaton()
         self.cut = next((r for r in (_FINE, _COARSE) if all(len(r.findall(p)) == 1 for p in known)), None)
         self.decimal = {p: str(i) for p, i in self.id_of.items()}
+        odd = self.control | set(self.byte_of) | {self.unknown_id}
+        self.said = {str(i): t for i, t in enumerate(self.text_of) if i not in odd}
         self._chunks, self._words = _Chunks(self), _Words(self)
 
     def merged(self, text: str) -> list[str]:
@@ -203,8 +205,9 @@ class Codec:
         """The ids of a chunk in decimal, and the text they decode to."""
         parts, decimal = self.pieces(text), self.decimal
         try:
-            return " ".join([decimal[p] for p in parts]), "".join(parts)
-        except KeyError:  # characters without a piece
+            ids = [decimal[p] for p in parts]
+            return " ".join(ids), "".join([self.said[i] for i in ids])
+        except KeyError:  # characters without a piece, or ids without a text of their own
             ids = [i for p in parts for i in self.ids_of(p)]
             return " ".join([str(i) for i in ids]), self.surface(ids)
 
@@ -224,7 +227,7 @@ class Codec:
             line = " ".join([memory[w] for w in run])
             n += line.count(" ") + 1
             ids.update(f"{line} ".encode())
-            # what a chunk decodes to was compared when it was encoded; the odd ones are kept apart
+            # each chunk's ids were decoded when it was encoded; what differs from the chunk is kept apart
             if memory.odd:
                 run = [memory.odd.get(w, w) for w in run]
             surface = (" " if lo else "") + " ".join(run) if memory.spaced else "".join(run)

@@ -49,6 +49,18 @@ def test_codec_equals_the_library(library):
         assert codec.digest(text) == _digest(library, text), text
 
 
+def test_decoded_text_comes_from_the_ids(library):
+    codec = sp_codec.Codec(PIECES)
+    (piece,) = codec.pieces(codec.chunks("the")[0])
+    wrong = library.encode("cat")[0]
+    codec.decimal[piece] = str(wrong)
+    for text in ("the", "in the end", "in  the end", "the, the"):
+        ids = [wrong if i == codec.id_of[piece] else i for i in library.encode(text)] + [2]
+        got = codec.digest(text)
+        assert got[1] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert got[2] == hashlib.sha256(library.decode(ids).encode()).hexdigest() != hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_pair_check_equals_merging_anew():
     codec, rng = sp_codec.codec(PIECES), np.random.default_rng(1)
     known = sorted(codec.shorter)
