@@ -8,7 +8,8 @@ a softmax over the features gives the languages' probabilities.  A document's
 score is the mean of its windows', weighted by their bytes.
 
 Training takes at most about ``SAMPLE`` documents a language (all rows of rare
-languages, ``LANGUAGES`` of them), chosen by a hash of the id among the given rows, and of each at
+languages; less where there are so many that ``ROWS`` are divided among them, but one
+at least), chosen by a hash of the id among the given rows, and of each at
 most ``CROPS`` windows at hashed places.  The features' gradients reach only the
 bytes at each maximum.  The seed is fixed, so equal tables give equal models.
 
@@ -32,8 +33,8 @@ WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 SAMPLE, CROPS, EPOCHS, RATE = 1200, 3, 6, 0.01
 #: training steps at least, however few the windows
 STEPS = 600
-#: languages told apart at most, the most frequent ones
-LANGUAGES = 500
+#: documents of all languages together at most, about
+ROWS = 600_000
 _STEP = WINDOW - max(WIDTHS) + 1
 
 
@@ -138,10 +139,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def training_windows(rows: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(label, window) of the sample: byte windows of 24 to WINDOW bytes at hashed places."""
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(LANGUAGES)
-    share = F.lit(float(SAMPLE)) / F.col("n")
     draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(3)), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.join(F.broadcast(counts), label).where(draw < share).select(F.col(label).alias("label"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"))
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least"))
+    each = min(SAMPLE, ROWS / max(rows.select(label).distinct().count(), 1))
+    sample = rows.join(F.broadcast(counts), label).where((draw < F.lit(float(each)) / F.col("n")) | (draw == F.col("least"))).select(F.col(label).alias("label"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -50,6 +50,16 @@ def test_network_equals_plain_convolution_and_covers_whole_texts():
         assert np.allclose(p, want, atol=1e-5)
 
 
+def test_language_sample_holds_every_language(spark, monkeypatch):
+    rows = [(k, f"text {k} of language {k % 530}", f"l{k % 530}") for k in range(1060)] + [(5000 + k, f"more {k}", "l0") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names = lambda: [r["label"] for r in lang_id.training_windows(docs, "doc_id", "text", "lang").collect()]
+    assert len(set(names())) == 530
+    monkeypatch.setattr(lang_id, "ROWS", 5300)
+    got = names()
+    assert len(set(got)) == 530 and got.count("l0") < 40
+
+
 def test_language_held_out_accuracy_and_edges(spark):
     got = queries.queries()["op2_language"](spark, SF01).join(spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.where("held_out").select("lang", "lang_pred").collect()
