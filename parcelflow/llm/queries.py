@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import ship_package
 
-from . import decontaminate, html_text, lang_id, license_scan, near_dup, sharding, sp_codec, token_files, toxicity, vector_search
+from . import decontaminate, html_text, lang_id, license_scan, near_dup, ranked_search, sharding, sp_codec, sql, substring_dedup, token_files, toxicity, vector_search, whitening
 from .common import crc_mod4, held_out, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,7 +77,19 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op4_licenses, op5_sharding, op6_sentencepiece, op7_html_text, op8_vector_search, op9_token_files, op10_near_dup)
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_decontamination, op2_language, op3_toxicity, op4_licenses, op5_sharding, op6_sentencepiece, op7_html_text, op8_vector_search, op9_token_files, op10_near_dup, op11_whitening, op12_ranked_search, op13_substring_dedup)
 
 
 def _shipped(query: Callable) -> Callable:
@@ -93,4 +105,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_ranked_search": sql.RANKED_SEARCH, "op13_substring_dedup": sql.SUBSTRING_DEDUP}
