@@ -14,10 +14,10 @@ SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 QUERY_RE = r"^[^?#]*\?([^#]*)"
-# attribute text of an <a> start tag; a quoted value may hold '>'
-ANCHOR_RE = r"""(?is)<a(?=[\s/])((?:[^>"']|"[^"]*"|'[^']*')*)>"""
+# attribute text of an <a> start tag; a quoted value may hold '>'; possessive, so that a tag of any length needs no stack
+ANCHOR_RE = r"""(?is)<a(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 # value of the first attribute named exactly href, after whole other attributes
-HREF_RE = r"""(?is)^(?:[\s/]*(?!href[\s=/>])[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+[\s/]*href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']*)"""
+HREF_RE = r"""(?is)^(?:[\s/]*+(?!href[\s=/>])[^\s=/>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)*+[\s/]*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']*+)"""
 # character references decoded in attribute values
 NAMED_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"))
 COMMENT_RE = r"(?s)<!--.*?-->"

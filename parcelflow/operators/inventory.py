@@ -113,13 +113,18 @@ FAILED = "failed"
 
 
 def conversion_results(plan: DataFrame, results: DataFrame) -> DataFrame:
-    """Every planned file with its outcome and, if it failed, its message.
+    """Every planned file once, with its outcome and, if it failed, its message.
 
-    ``results`` has (path, ok, message) of the files tried; a file that was to
-    be converted and has no result yet stays ``to_convert``.
+    ``results`` has (path, ok, message) of the files tried and may have ``at``,
+    the time of the attempt; a file that was to be converted and has no result
+    yet stays ``to_convert``.  Of several results of a file (failed, then
+    retried) the latest counts; without times, or at the same time, a success
+    counts before a failure, and of failures the last message in text order.
     """
-    tried = results.select("path", F.col("ok").alias("_ok"), F.col("message").alias("_message"))
-    j = plan.join(tried, "path", "left")
+    at = F.col("at") if "at" in results.columns else F.lit(0)
+    latest = F.max(F.struct(at.alias("at"), F.coalesce("ok", F.lit(False)).alias("ok"), "message"))
+    tried = results.groupBy("path").agg(latest.alias("_r")).select("path", F.col("_r.ok").alias("_ok"), F.col("_r.message").alias("_message"))
+    j = plan.dropDuplicates(["path"]).join(tried, "path", "left")
     outcome = F.when(F.col("outcome") == SKIPPED, F.lit(SKIPPED)).when(F.col("_ok"), F.lit(SUCCESS)).when(~F.col("_ok"), F.lit(FAILED)).otherwise(F.col("outcome"))
     return j.select("path", outcome.alias("outcome"), F.when(outcome == FAILED, F.col("_message")).alias("message"))
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import anchor_hrefs, is_directory_page, is_kept_link, resolve_link
-from ..session import materialised
+from ..session import discard, materialised, scratch_path
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -31,29 +31,107 @@ def directory_pages(pages: DataFrame, url: str = "url", html: str = "html") -> D
             .where(is_directory_page(F.col(url), F.col("_hrefs"))).drop("_hrefs"))
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, merge_every: int = 4) -> DataFrame:
-    """Nodes reachable from ``seeds`` over ``edges(src, dst)``, with BFS depth.
-
-    One join per round: the frontier meets the edges, and nodes seen before are
-    removed by an anti join.  New nodes are written to the shared folder as a
-    level of their own; every ``merge_every`` rounds the visited set is written
-    anew as one table, so a round reads a bounded number of tables whatever the
-    depth.  Joins choose their own partitioning, so a node with very many links
-    can be split.  The loop ends when a round finds nothing new, and only then.
+#: rounds of plain search before shortcuts are drawn; shortcuts of one length that a node has at most
+PLAIN_ROUNDS, SHORTCUTS = 4, 8
+
+
+class _Kept:
+    """Tables written below the shared folder; ``drop`` deletes one that is no longer read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for f in frames:
+            path, _ = self.paths.pop(id(f))
+            discard(self.spark, path)
+
+
+def _longer(shortcuts: DataFrame, limit: int) -> DataFrame:
+    """Shortcuts of twice the length: (src, dst) of two that follow each other.
+
+    A node gets none where it might have more than ``limit``: what follows its
+    shortcuts is counted before anything is joined, so at most ``limit`` rows a
+    node are made, whatever its degree.
     """
-    e = materialised(edges.select(F.col("src").alias("node"), F.col("dst")).distinct(), "edges")
-    visited = materialised(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "visited")
-    frontier, recent, depth = visited, [], 0
-    while True:
-        depth += 1
+    degree = shortcuts.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    ahead = shortcuts.join(degree.withColumnRenamed("src", "dst"), "dst").groupBy("src").agg(F.sum("n").alias("n"))
+    few = shortcuts.join(ahead.where(F.col("n") <= limit).select("src"), "src", "left_semi")
+    then = shortcuts.select(F.col("src").alias("dst"), F.col("dst").alias("to"))
+    return few.join(then, "dst").select("src", F.col("to").alias("dst")).where("src <> dst").distinct()
+
+
+def reachable_in_rounds(edges: DataFrame, seeds: DataFrame, merge_every: int = 4, plain_rounds: int = PLAIN_ROUNDS,
+                        shortcuts: int = SHORTCUTS) -> tuple[DataFrame, int]:
+    """Nodes reachable from ``seeds`` over ``edges(src, dst)`` with their exact depth, and how many rounds it took.
+
+    The first ``plain_rounds`` rounds are a plain search: the frontier meets the
+    edges and nodes seen before are removed.  What is still open then is deep, and
+    from there each round also joins shortcuts of the longest length with
+    themselves, so after k rounds there are shortcuts over 2, 4 ... 2^k edges.  A
+    node at any distance is a sum of such lengths away, so a chain of n nodes
+    takes about log2 n rounds.  A node has at most ``shortcuts`` of each length
+    (none rather than more), which bounds their number; where a path branches too
+    much for them the search goes on by shorter ones, at worst edge by edge.
+
+    Depths found over shortcuts are lengths of real walks, so never too small;
+    a node whose depth falls joins the frontier again, and the search ends when a
+    round improves nothing over the edges themselves: then all depths are exact.
+    The frontier, depths and shortcuts are tables in the shared folder; those
+    that a round replaces are deleted.  Nulls are no nodes.
+    """
+    keep = _Kept(edges.sparkSession)
+    e = keep.write(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct(), "edges")
+    visited = keep.write(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("depth", F.lit(0)), "visited")
+    frontier, recent, rounds = visited, [], 0
+    while rounds < plain_rounds:
+        rounds += 1
         seen = reduce(DataFrame.unionByName, recent, visited)
-        found = frontier.join(e, "node").select(F.col("dst").alias("node")).where("node is not null").distinct()
-        frontier = materialised(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "level")
-        if frontier.isEmpty():
-            return reduce(DataFrame.unionByName, recent, visited)
+        found = frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
+        frontier = keep.write(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(rounds)), "level")
         recent.append(frontier)
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionByName, recent, visited), rounds
         if len(recent) == merge_every:
-            visited, recent = materialised(reduce(DataFrame.unionByName, recent, visited), "visited"), []
+            merged = keep.write(reduce(DataFrame.unionByName, recent, visited), "visited")
+            keep.drop(visited, *recent[:-1])
+            visited, recent = merged, []
+    depths = keep.write(reduce(DataFrame.unionByName, recent, visited), "depths")
+    levels, longest = [e.withColumn("hops", F.lit(1))], e
+    while True:
+        rounds += 1
+        if longest is not None:
+            new = keep.write(_longer(longest, shortcuts), "shortcuts")
+            longest = None if new.isEmpty() else new
+        every = reduce(DataFrame.unionByName, levels)
+        step = frontier.join(every, frontier["node"] == every["src"]).select(F.col("dst").alias("node"), (F.col("depth") + F.col("hops")).alias("depth"))
+        if longest is not None:
+            # nodes settled before meet the shortcuts that are new
+            hops = 2 ** len(levels)
+            step = step.unionByName(depths.join(longest, depths["node"] == longest["src"]).select(F.col("dst").alias("node"), (F.col("depth") + hops).alias("depth")))
+            levels.append(longest.withColumn("hops", F.lit(hops)))
+        best = step.groupBy("node").agg(F.min("depth").alias("depth"))
+        known = depths.withColumnRenamed("depth", "_known")
+        better = best.join(known, "node", "left").where("_known IS NULL OR depth < _known").select("node", "depth")
+        before, frontier = frontier, keep.write(better, "frontier")
+        if frontier.isEmpty():
+            return depths, rounds
+        old, depths = depths, keep.write(depths.join(frontier, "node", "left_anti").unionByName(frontier), "depths")
+        keep.drop(old)
+        if rounds > plain_rounds + 1:
+            keep.drop(before)
+
+
+def reachable(edges: DataFrame, seeds: DataFrame, merge_every: int = 4) -> DataFrame:
+    """Nodes reachable from ``seeds`` over ``edges(src, dst)``, with their depth; see :func:`reachable_in_rounds`."""
+    return reachable_in_rounds(edges, seeds, merge_every)[0]
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -369,6 +369,22 @@ def file_listing_sql() -> str:
             f"UNION ALL SELECT {st} || '.parquet', o_orderdate, {ln} * 2 FROM orders WHERE o_orderkey % 6 = 0")
 
 
+def mirror_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, length) of a small mirror tree, one file a supplier: some empty, some with hidden names, several folders deep."""
+    k = F.col("s_suppkey")
+    hidden = F.when(F.pmod(k, F.lit(7)) == 3, F.lit(".")).when(F.pmod(k, F.lit(7)) == 5, F.lit("_")).otherwise(F.lit(""))
+    ext = F.when(F.pmod(k, F.lit(10)) == 9, F.lit(".zip")).when(F.pmod(k, F.lit(2)) == 1, F.lit(".SHP")).otherwise(F.lit(".shp"))
+    folder = F.concat(F.lit("shp/"), dep_code(k), F.when(F.pmod(k, F.lit(3)) == 0, F.lit("/a b/c")).otherwise(F.lit("")))
+    length = F.when(F.pmod(k, F.lit(4)) == 0, F.lit(0)).otherwise(F.pmod(k, F.lit(1000)))
+    return table(spark, sf_dir, "supplier").select(F.concat(folder, F.lit("/"), hidden, F.lit("cadastre-"), k.cast("string"), ext).alias("path"), length.cast("bigint").alias("length"))
+
+
+MIRROR_FILES_SQL = (f"SELECT 'shp/' || {dep_sql('s_suppkey')} || CASE WHEN s_suppkey % 3 = 0 THEN '/a b/c' ELSE '' END || '/' || "
+                    f"CASE s_suppkey % 7 WHEN 3 THEN '.' WHEN 5 THEN '_' ELSE '' END || 'cadastre-' || s_suppkey || "
+                    f"CASE WHEN s_suppkey % 10 = 9 THEN '.zip' WHEN s_suppkey % 2 = 1 THEN '.SHP' ELSE '.shp' END AS path, "
+                    f"CAST(CASE WHEN s_suppkey % 4 = 0 THEN 0 ELSE s_suppkey % 1000 END AS BIGINT) AS length FROM supplier")
+
+
 def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, dst) over part keys, two edges a row; has cycles.
 
@@ -392,18 +408,31 @@ EDGE_HTML = """<html><body><a href='../'>up</a><a href="my file.zip">1</a><a hre
 <a data-href="bad.zip" href="good.zip">3</a><a title="a > b" href=x.zip>4</a><a href=" sp.zip">5</a>\
 <a href="q&#38;a.zip">6</a><a href='say &quot;hi&quot;.zip'>7</a><a name="n">8</a><A HREF = "sub/">9</A></body></html>"""
 
+#: and a page (page_id -2) with a tag of a megabyte and one that never ends
+LONG_URL, LONG_TAIL = "https://long.example/", '<a href="z.zip">2</a><a '
+LONG_REPEATS = (("b ", 500_000), ("c", 20_000))
+
+
+def _long_html(repeat, text, join):
+    (word, n), (end, m) = LONG_REPEATS
+    return join(text("<a "), repeat(text(word), n), text('href="y.zip">1</a>'), text(LONG_TAIL), repeat(text(end), m))
+
 
 def pages_with_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages and the page of hard links."""
-    own = spark.range(1).select(F.lit(-1).cast("bigint").alias("page_id"), F.lit(EDGE_URL).alias("url"), F.lit(EDGE_HTML).alias("html"))
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html").unionByName(own)
+    """All pages, the page of hard links and the page of long tags."""
+    long_html = _long_html(F.repeat, F.lit, F.concat)
+    own = [spark.range(1).select(F.lit(k).cast("bigint").alias("page_id"), F.lit(url).alias("url"), html.alias("html"))
+           for k, url, html in ((-1, EDGE_URL, F.lit(EDGE_HTML)), (-2, LONG_URL, long_html))]
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html").unionByName(own[0]).unionByName(own[1])
 
 
 def sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-PAGES_SQL = f"SELECT page_id, url, html FROM pages UNION ALL SELECT CAST(-1 AS BIGINT), {sql_text(EDGE_URL)}, {sql_text(EDGE_HTML)}"
+_LONG_SQL = _long_html(lambda t, n: f"repeat({t}, {n})", sql_text, lambda *parts: " || ".join(parts))
+PAGES_SQL = (f"SELECT page_id, url, html FROM pages UNION ALL SELECT CAST(-1 AS BIGINT), {sql_text(EDGE_URL)}, {sql_text(EDGE_HTML)} "
+             f"UNION ALL SELECT CAST(-2 AS BIGINT), {sql_text(LONG_URL)}, {_LONG_SQL}")
 
 SITE = "https://site.example/"
 

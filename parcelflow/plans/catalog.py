@@ -23,6 +23,7 @@ from ..operators import enrich, export, extract, inventory, links, manifest, spa
 from ..session import app_id, discard, scratch_path, ship_package
 from ..sinks.layers import write_layer_file
 from ..sources.files import list_files
+from ..sources.log_store import LogStore
 from ..sources.layers import PUBLISHED, read_batches, read_layer, read_layers, read_published
 from ..sources.manifest import read_log, read_manifest, write_log
 from ..sources.pages import read_pages
@@ -259,7 +260,7 @@ def q_export_sorted(spark, sf_dir):
 
 @register("export_fusion", f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL")
 def q_export_fusion(spark, sf_dir):
-    path = fresh_copy(spark, sf_dir, "fusion", lambda p: export.export_fusion(published(spark, sf_dir), p))
+    path = fresh_copy(spark, sf_dir, "fusion", lambda p: export.export_fusion(spark, publish(spark, sf_dir), p))
     return flat(spark.read.schema(PUBLISHED).parquet(path))
 
 
@@ -278,6 +279,38 @@ def q_export_order(spark, sf_dir):
     return out_of_order(published(spark, sf_dir).withColumn("part", F.col("lot")), keys)
 
 
+def out_of_order_between(df: DataFrame, keys: list) -> DataFrame:
+    """Files of a written dataset, taken by name, that start before the file before them ends."""
+    key = F.struct(*[x for k in keys for x in (k.isNull(), k)])
+    d = df.select(key.alias("k"), F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    ends = d.groupBy("f").agg(F.min_by("k", "i").alias("first"), F.max_by("k", "i").alias("last"))
+    before = F.lag("last").over(Window.orderBy("f"))  # one row a file
+    return ends.withColumn("bad", F.coalesce(before > F.col("first"), F.lit(False))).agg(F.count_if("bad").alias("n_out_of_order"))
+
+
+@register("fusion_order",
+          f"SELECT lot AS part, count(*) AS n, 0 AS n_out_of_order FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL GROUP BY lot "
+          f"UNION ALL SELECT 'between files', count(*), 0 FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL")
+def q_fusion_order(spark, sf_dir):
+    """The fused files keep the batches' order, inside each file and from file to file by name."""
+    # small runs: several files at any table size
+    path = fresh_copy(spark, sf_dir, "fusion-order", lambda p: export.export_fusion(spark, publish(spark, sf_dir), p, fused_bytes=1 << 20))
+    fused = spark.read.schema(PUBLISHED).parquet(path)
+    keys = [F.col("lot"), F.col("departement"), F.col("commune"), type_prefix("type_objet"), F.col("section")]
+    between = out_of_order_between(fused, keys).crossJoin(fused.agg(F.count("*").alias("n"))).select(F.lit("between files").alias("part"), "n", "n_out_of_order")
+    return out_of_order(fused.withColumn("part", F.col("lot")), keys).unionByName(between)
+
+
+@register("export_zones",
+          f"SELECT lot, geom_srid, min(bbox_xmin) AS xmin, min(bbox_ymin) AS ymin, max(bbox_xmax) AS xmax, max(bbox_ymax) AS ymax, count(*) AS n "
+          f"FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL AND bbox_xmin IS NOT NULL GROUP BY lot, geom_srid")
+def q_export_zones(spark, sf_dir):
+    """The zone table of the export's files, summed up by batch."""
+    z = export.read_zones(spark, publish(spark, sf_dir))
+    box = [F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")]
+    return z.groupBy("lot", "geom_srid").agg(*box, F.sum("n").alias("n"))
+
+
 _TABLES_SQL = [f"SELECT '{n}' AS part, count(*) AS n, 0 AS n_out_of_order FROM ({A.layer_sql(n)}) "
                + ("WHERE parcelle IS NOT NULL" if n == "subdivisions_fiscales" else "") for n in S.LAYERS]
 _TABLES_SQL.append(f"SELECT '{S.UNLOCATED_TABLE}', count(*), 0 FROM ({A.layer_sql('subdivisions_fiscales')}) WHERE parcelle IS NULL")
@@ -359,7 +392,7 @@ _x0, _y0, _x1, _y1, _srid = EXTRACT_WINDOW
           f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL AND bbox_xmax >= {_x0} AND bbox_xmin <= {_x1} "
           f"AND bbox_ymax >= {_y0} AND bbox_ymin <= {_y1} AND geom_srid = {_srid}")
 def q_extract_extent(spark, sf_dir):
-    return flat(extract.extract_extent(published(spark, sf_dir), _x0, _y0, _x1, _y1, _srid))
+    return flat(extract.read_extent(spark, publish(spark, sf_dir), _x0, _y0, _x1, _y1, _srid))
 
 
 def extents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,7 +419,16 @@ EXTENTS_SQL = ("SELECT extent_id, x0 AS xmin, y0 AS ymin, x0 + side AS xmax, y0
           f"ON f.bbox_xmax >= e.xmin AND f.bbox_xmin <= e.xmax AND f.bbox_ymax >= e.ymin AND f.bbox_ymin <= e.ymax "
           f"AND f.geom_srid = e.srid WHERE f.lot IS NOT NULL")
 def q_extract_many_extents(spark, sf_dir):
-    return flat(extract.extract_many_extents(published(spark, sf_dir), extents(spark, sf_dir)))
+    return flat(extract.read_many_extents(spark, publish(spark, sf_dir), extents(spark, sf_dir)))
+
+
+@register("extents_of_layers",
+          f"SELECT e.extent_id, f.* FROM ({UNIFIED_FLAT_SQL}) f JOIN ({EXTENTS_SQL}) e "
+          f"ON f.bbox_xmax >= e.xmin AND f.bbox_xmin <= e.xmax AND f.bbox_ymax >= e.ymin AND f.bbox_ymin <= e.ymax "
+          f"AND f.geom_srid = e.srid")
+def q_extents_of_layers(spark, sf_dir):
+    """The same join over features that are not exported yet, so without a zone table."""
+    return flat(extract.extract_many_extents(unified(spark, sf_dir), extents(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ manifest ----
@@ -666,6 +708,19 @@ def q_incremental_layers(spark, sf_dir):
     return flat(spark.read.schema(PUBLISHED).parquet(out).drop("lot"))
 
 
+@register("incremental_published", f"SELECT * FROM ({_ROUTED_SQL}) WHERE lot IS NOT NULL")
+def q_incremental_published(spark, sf_dir):
+    """The sorted export kept up to date: half of the layers first; then the rest, and some files again under other names."""
+    landing, store, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "store"), scratch_path(spark, "landing-checkpoint")
+    half = len(S.LAYERS) // 2
+    FX.land_layer_files(spark, sf_dir, landing, S.LAYERS[:half])
+    incremental.land_published(spark, landing, store, ckpt)
+    FX.land_layer_files(spark, sf_dir, landing, S.LAYERS[half - 1:])
+    out = incremental.land_published(spark, landing, store, ckpt)
+    discard(spark, landing)
+    return flat(read_published(spark, out))
+
+
 # ------------------------------------------------------ links resume ----
 
 MIRROR = "/mirror"
@@ -718,6 +773,22 @@ def q_links_done(spark, sf_dir):
     return read_log(spark, fresh_copy(spark, sf_dir, "log", lambda p: write_log(log, p)), layout="lines")
 
 
+@register("log_versions", _ORACLE["links_done"])
+def q_log_versions(spark, sf_dir):
+    """The same log kept as segments: three appends, the last of them of nothing new, and a compaction."""
+    pl = links.page_links(A.pages_with_edges(spark, sf_dir))
+    done, _ = links.split_by_presence(pl, downloaded_files(spark, sf_dir), MIRROR)
+    done = done.select(F.col("link").alias("url"))
+
+    def fill(path: str) -> None:
+        store = LogStore(spark, path)
+        for part in (A.download_log(spark, sf_dir), done, done):
+            store.append(part)
+        store.compact()
+
+    return LogStore(spark, fresh_copy(spark, sf_dir, "log-store", fill)).read()
+
+
 # ------------------------------------------------------ seed outcomes ----
 
 def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -781,6 +852,24 @@ def q_conversion_failures(spark, sf_dir):
     return inventory.conversion_failures(inventory.conversion_results(plan, _tried(plan)))
 
 
+def _attempts(plan: DataFrame) -> DataFrame:
+    """The same run with what came before it: every tried file failed once, and files that end in 2 a second time after their success."""
+    run = _tried(plan).withColumn("at", F.lit(2))
+    first = run.select("path", F.lit(False).alias("ok"), F.lit("out of memory").alias("message"), F.lit(1).alias("at"))
+    last = run.where(F.regexp_extract("path", r"(\d)\.[^.]*$", 1) == "2").select("path", F.lit(False).alias("ok"), F.lit("disk full").alias("message"), F.lit(3).alias("at"))
+    return run.unionByName(first).unionByName(last)
+
+
+@register("conversion_retries",
+          f"SELECT path, CASE WHEN outcome = 'success' AND d = '2' THEN 'failed' ELSE outcome END AS outcome, "
+          f"CASE WHEN outcome = 'failed' THEN 'cannot read ' || path WHEN outcome = 'success' AND d = '2' THEN 'disk full' END AS message "
+          f"FROM (SELECT path, outcome, string_split(path, '.')[-2][-1] AS d FROM ({_TRIED_SQL}))")
+def q_conversion_retries(spark, sf_dir):
+    """One outcome a file, the latest, where files were tried two and three times."""
+    plan = inventory.conversion_plan(_listing(spark, sf_dir))
+    return inventory.conversion_results(plan, _attempts(plan))
+
+
 @register("file_lists",
           f"SELECT strftime(\"modificationTime\", '%Y_%m') AS ym, {_layer_of_sql('path')} AS layer, path FROM ({_SHP_SQL}) WHERE {_layer_of_sql('path')} IS NOT NULL")
 def q_file_lists(spark, sf_dir):
@@ -799,6 +888,14 @@ def q_list_files(spark, sf_dir):
     return list_files(spark, path, ".PARQUET").select(part("layer").alias("layer"), part("departement").alias("departement")).distinct()
 
 
+@register("mirror_listing", f"SELECT path, length, TRUE AS dated FROM ({A.MIRROR_FILES_SQL})")
+def q_mirror_listing(spark, sf_dir):
+    """Every file of a real tree with its length, and whether its time is of today: empty and hidden ones too."""
+    root = FX.mirror_tree(spark, sf_dir)
+    dated = F.col("modificationTime").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    return list_files(spark, root).select(F.col("path").substr(F.length(F.lit(root)) + 2, F.length("path")).alias("path"), "length", dated.alias("dated"))
+
+
 @register("stored_pages", "SELECT url, count(*) AS n FROM pages GROUP BY url")
 def q_stored_pages(spark, sf_dir):
     return read_pages(spark, f"{sf_dir}/pages.parquet").groupBy("url").agg(F.count("*").alias("n"))

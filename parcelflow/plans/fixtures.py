@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import app_id, scratch_path
+from ..session import app_id, arrow_file_system, scratch_path
 from . import adapters as A
 
 
@@ -43,6 +43,31 @@ def layer_files(spark: SparkSession, sf_dir: str) -> str:
     return _LAYER_FILES[key]
 
 
+_MIRRORS: dict[tuple[str, str], str] = {}
+
+
+def _write_files(batches):
+    import pandas as pd
+
+    for b in batches:
+        for path, length in zip(b["path"], b["length"], strict=True):
+            system, where = arrow_file_system(path)
+            system.create_dir(where.rpartition("/")[0], recursive=True)
+            with system.open_output_stream(where, compression=None) as f:
+                f.write(b"x" * int(length))
+        yield pd.DataFrame({"n": [len(b)]})
+
+
+def mirror_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A tree of small files, written by tasks below the shared folder."""
+    key = (app_id(spark), sf_dir)
+    if key not in _MIRRORS:
+        root = scratch_path(spark, "mirror")
+        A.mirror_files(spark, sf_dir).select(F.concat(F.lit(root + "/"), "path").alias("path"), "length").mapInPandas(_write_files, "n bigint").write.format("noop").mode("overwrite").save()
+        _MIRRORS[key] = root
+    return _MIRRORS[key]
+
+
 _LISTINGS: dict[tuple[str, str], str] = {}
 
 

@@ -86,6 +86,14 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_file_system(path: str):
+    """The pyarrow file system of a path that Spark wrote down, and the path within it; used inside tasks."""
+    from pyarrow import fs
+
+    local = re.match(r"file:(?://)?(?=/)|(?=/)", path)
+    return (fs.LocalFileSystem(), path[local.end():]) if local else fs.FileSystem.from_uri(path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a superseded copy that this application wrote below the shared folder."""
     if not path.startswith(shared_dir(spark) + "/"):

@@ -49,3 +49,10 @@ def read_batches(spark: SparkSession, path: str, lots: list[str] | None = None)
         return read_published(spark, path)
     return (spark.read.schema(PUBLISHED).option("basePath", path)
             .parquet(*[f"{path}/lot={lot}" for lot in lots]))
+
+
+def read_files(spark: SparkSession, path: str, files: list) -> DataFrame:
+    """Some files, as (lot, file name), of the exported dataset ``path``; no other is listed or opened."""
+    if not files:
+        return read_published(spark, path).where("false")
+    return spark.read.schema(PUBLISHED).option("basePath", path).parquet(*sorted(f"{path}/lot={lot}/{file}" for lot, file in files))

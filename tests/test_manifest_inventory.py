@@ -143,6 +143,13 @@ def test_conversion_outcomes_keep_every_failure(spark):
     assert rows(inventory.conversion_failures(got)) == [("c", "bad"), ("d", "worse")]
 
 
+def test_a_file_tried_again_has_one_outcome(spark):
+    plan = spark.createDataFrame([("a", "to_convert"), ("b", "to_convert"), ("b", "to_convert"), ("c", "to_convert"), ("d", "to_convert")], "path string, outcome string")
+    tried = spark.createDataFrame([("a", False, "bad", 1), ("a", True, None, 2), ("b", True, None, 1), ("b", False, "late", 3), ("c", False, "x", 5), ("c", False, "y", 5), ("d", None, "?", 1)], "path string, ok boolean, message string, at int")
+    assert rows(inventory.conversion_results(plan, tried)) == [("a", "success", None), ("b", "failed", "late"), ("c", "failed", "y"), ("d", "failed", "?")]
+    assert rows(inventory.conversion_results(plan, tried.drop("at"))) == [("a", "success", None), ("b", "success", None), ("c", "failed", "y"), ("d", "failed", "?")]
+
+
 def test_blank_vintage_stays_blank(spark, tmp_path):
     p = tmp_path / "m.tsv"
     p.write_text("format\tmillesime\tsource\nshp\t\thttps://x.example/a/\n", encoding="utf-8")

@@ -125,7 +125,7 @@ def test_backfill(spark):
 
 def test_fusion_and_extract_sinks(spark, sf, tmp_path):
     pub = catalog.published(spark, sf)
-    fused = export.export_fusion(pub, str(tmp_path / "fusion"))
+    fused = export.export_fusion(spark, catalog.publish(spark, sf), str(tmp_path / "fusion"))
     back = spark.read.parquet(fused)
     assert back.exceptAll(pub).count() == 0 and back.count() == pub.count()
     out = export.export_extract(extract.extract_commune(pub, "59000"), str(tmp_path / "lille"), single_file=True)
@@ -152,12 +152,7 @@ def test_export_splits_a_hot_commune_over_tasks(spark, tmp_path):
     sizes = [pq.read_metadata(d / f).num_rows for f in files]
     assert sum(sizes) == 20000 and max(sizes) < 20000 * 0.5
     assert read_published(spark, path).count() == 20000
-    prev_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(os.path.getsize(d / f) for f in files) + 1))
-    try:
-        fused = export.export_fusion(read_published(spark, path), str(tmp_path / "fused"))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", prev_bytes)
+    fused = export.export_fusion(spark, path, str(tmp_path / "fused"), fused_bytes=max(os.path.getsize(d / f) for f in files))
     parts = [f for f in os.listdir(fused) if f.endswith(".parquet")]
     assert len(parts) > 1, "the fusion must not put a hot key into one task"
 

@@ -5,7 +5,7 @@ from urllib.parse import urljoin, urlparse
 
 from pyspark.sql import functions as F
 
-from parcelflow.functions.urls import (destination_folder, normalize_seed, path_to_url, resolve_link,
+from parcelflow.functions.urls import (anchor_hrefs, destination_folder, normalize_seed, path_to_url, resolve_link,
                                        url_basename)
 from parcelflow.operators.links import directory_pages, page_links
 
@@ -87,3 +87,22 @@ def test_split_links_by_presence(spark):
     done, todo = split_by_presence(pl, files, "/m")
     assert [r.link for r in done.collect()] == ["https://h.example/d/a.zip"]
     assert sorted(r.link for r in todo.collect()) == ["https://h.example/d/b.zip", "https://h.example/d/e.zip"]
+
+
+def test_tags_of_a_megabyte_and_tags_that_never_end(spark):
+    """Neither needs stack: links around them are still found."""
+    import time
+
+    pages = {
+        "long tag": "<a " + "b " * 500_000 + 'href="y.zip">1</a><a href=z.zip>2</a>',
+        "long word": "<a " + "b" * 1_000_000 + " href=y.zip>1</a><a href=z.zip>2</a>",
+        "long value": '<a title="' + "x > y " * 200_000 + '" href="y.zip">1</a><a href="z.zip">2</a>',
+        "many attributes": "<a " + "k='v' " * 100_000 + "href=y.zip>1</a><a href=z.zip>2</a>",
+        "stray": "<a href=y.zip>1</a><a href=z.zip>2</a><a " + "c" * 1_000_000,
+        "stray quote": "<a href=y.zip>1</a><a href=z.zip>2</a><a '" + "c > " * 200_000,
+    }
+    t0 = time.time()
+    df = spark.createDataFrame(list(pages.items()), "url string, html string")
+    got = {r["url"]: r["h"] for r in df.select("url", anchor_hrefs(F.col("html")).alias("h")).collect()}
+    assert got == {k: ["y.zip", "z.zip"] for k in pages}
+    assert time.time() - t0 < 60
