@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,13 +11,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.session import scratch_path
+from parcelflow.session import scratch_path, ship_package
 
 #: Texts are handled inside a task in pieces of about this many bytes, so the
 #: working memory does not follow the Arrow batch or the longest text.
 PIECE_BYTES = 1 << 20
 
 
+#: bytes of the batches in which rows go to Python and back; a longer row is a batch of its own
+BATCH_BYTES = 4 << 20
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with this package on its workers, and with small Arrow batches (a session setting, kept)."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +61,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is free in this process back to the system; a worker is kept for the next task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def arrow_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string column as one byte array and n + 1 offsets; nulls are empty."""
     if isinstance(col, pa.ChunkedArray):

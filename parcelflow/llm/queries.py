@@ -8,10 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.session import ship_package
-
 from . import decontaminate, html_text, lang_id, license_scan, near_dup, ranked_search, sharding, sp_codec, sql, substring_dedup, token_files, toxicity, vector_search, whitening
-from .common import crc_mod4, held_out, table
+from .common import crc_mod4, held_out, prepared, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,8 +92,7 @@ _QUERIES = (op1_decontamination, op2_language, op3_toxicity, op4_licenses, op5_s
 
 def _shipped(query: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
-        return query(spark, sf_dir)
+        return query(prepared(spark), sf_dir)
 
     return run
 

@@ -7,23 +7,24 @@ a word sequence that also starts in a document with a smaller id.
 1. Each window's minimiser is the least hash of its runs of ``GRAM`` words.
    Consecutive windows with one minimiser travel as one packed string, a
    super-k-mer: their words joined by a space (at most ``LONGEST`` windows).
-   Before it is shuffled a task joins equal strings and keeps the least and the
-   largest id; strings of one bucket travel together, compressed.
+   Before they are shuffled a task joins equal strings of a run of texts: the
+   least and the largest id, and where the string occurs.  Strings of one bucket
+   travel together, compressed.
 2. A bucket is a share of the minimisers' values, so equal windows meet there.
    Its windows are sorted by their hashes; windows with equal hashes are
-   compared byte by byte; the least id of each distinct window is exact.  Only
-   strings with a window that starts in a smaller document than their largest
-   one are returned, with the least id of each of their windows.
-3. The documents' super-k-mers are cut again and joined to those by a hash of
-   the string (64 bits); windows with a smaller id than the document's are
-   gathered by document, and the words they cover are removed.
+   compared byte by byte; the least id of each distinct window is exact.  The
+   places of windows with a smaller id than their document's are returned.
+3. Documents' places are gathered, and the texts (packed and compressed too, equal
+   rows once) meet them; the words that the windows cover are removed.
 
 Hot minimisers, as a line that a third of the documents hold in various
-surroundings, are counted first (all that occur ``SEEN`` times in a task's run
-of texts); the ``HOT`` most frequent of them that would fill more than a
-quarter of a bucket have their windows sent one by one, dealt by the window's
-own hash.  That changes where windows meet, never the result.  Hot passages
-are one string a run.
+surroundings, are counted first (all that occur ``SEEN`` times in a piece of
+text); the ``HOT`` most frequent of them that would fill more than a quarter of a
+bucket have their windows sent one by one, dealt by the window's own hash.  That
+changes where windows meet, never the result.  Hot strings, of a passage that very
+many documents hold (``OFTEN`` times, counted alike), do not bring their places:
+their documents are cut again and joined to the strings' least ids by the
+string's hash, a join that Spark can split.
 
 Null and empty texts have no words: n_words and n_removed 0, the hash of the
 empty text.  A row without an id counts as larger than every id.  Rows with
@@ -44,12 +45,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _ODD, _PLACE, arrow_bytes, mix, ngrams, pieces, written
+from .common import _ODD, _PLACE, arrow_bytes, mix, ngrams, pieces, release, written
 
-WINDOW, GRAM, LONGEST = 13, 4, 64
-#: bytes of strings a task joins before it sends them, bytes of a bucket
-RUN, BUCKET = 32 << 20, 4 << 20
-HOT, SEEN = 100_000, 8
+WINDOW, GRAM, LONGEST = 13, 3, 64
+#: bytes of strings a task joins before it sends them, bytes of a bucket, and of texts that are sent at once
+RUN, BUCKET, TEXTS = 40 << 20, 12 << 20, 16 << 20
+HOT, SEEN, OFTEN = 100_000, 8, 1 << 16
 _LAST = np.iinfo(np.int64).max
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -151,9 +152,23 @@ def _texts(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple
             yield Strings(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], hot), b.slice(lo, hi - lo)
 
 
-def _hot(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """The hot minimisers, and about how many bytes of strings there are."""
+class Hot:
+    """Hot minimisers and names of hot strings, both sorted, and about how many bytes of strings there are."""
 
+    def __init__(self, minimisers: list[int], names: list[int], size: int):
+        self.minimisers = np.sort(np.array(minimisers, np.int64).view(np.uint64))
+        self.names = np.sort(np.array(names, np.int64))
+        self.size = size
+
+    def has(self, names: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.zeros(len(names), bool)
+        at = np.searchsorted(self.names, names)
+        at[at == len(self.names)] = 0
+        return self.names[at] == names
+
+
+def find_hot(docs: DataFrame) -> Hot:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, _ in _texts(batches, np.zeros(0, np.uint64)):
             if not len(s.first):
@@ -161,68 +176,122 @@ def _hot(docs: DataFrame) -> tuple[np.ndarray, int]:
             last = s.first + s.length + WINDOW - 2
             size = s.end[last] - s.begin[s.first]
             low, of, n = np.unique(s.minimiser, return_inverse=True, return_counts=True)
-            some = n >= SEEN
-            each = np.bincount(of, size).astype(np.int64)[some]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(low[some].view(np.int64), 0)), pa.array(np.append(each, size.sum())), pa.array(np.append(np.zeros(some.sum(), bool), True))], names=["low", "bytes", "total"])
-
-    got = docs.select("text").mapInArrow(run, "low bigint, bytes bigint, total boolean").groupBy("total", "low").agg(F.sum("bytes").alias("bytes"))
-    got = got.where(F.col("total") | (F.col("bytes") > BUCKET // 4)).orderBy(F.desc("total"), F.desc("bytes")).limit(HOT + 1).collect()
-    hot = np.sort(np.array([r["low"] for r in got if not r["total"]], np.int64).view(np.uint64))
-    return hot, sum(r["bytes"] for r in got if r["total"])
-
-
-def _joined(strings: list[bytes], lo: np.ndarray, hi: np.ndarray, bucket: np.ndarray) -> pa.Table:
-    """Equal strings as one, with the least and largest id."""
-    t = pa.table({"s": pa.array(strings, pa.large_binary()), "lo": lo, "hi": hi, "b": bucket})
-    return t.group_by("s", use_threads=False).aggregate([("lo", "min"), ("hi", "max"), ("b", "min")])
-
-
-def sent(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """p (the bucket) and its strings, joined and compressed, of each run of a task's texts."""
-
-    def flush(strings: list[bytes], ids: list[np.ndarray], to: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        doc = np.concatenate(ids)
-        t = _joined(strings, doc, doc, np.concatenate(to))
-        p = t["b_min"].to_numpy()
-        t = t.take(pa.array(np.argsort(p, kind="stable"))).combine_chunks()
-        p = np.sort(p)
-        raw, offsets = arrow_bytes(t["s"])
-        lo, hi = t["lo_min"].to_numpy(), t["hi_max"].to_numpy()
-        cuts = np.flatnonzero(np.diff(p, prepend=-1, append=-2))
-        zip_ = zstandard.ZstdCompressor(level=3)
-        keys, blobs = [], []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            body = struct.pack("<q", b - a) + np.diff(offsets[a : b + 1]).astype("<i8").tobytes() + lo[a:b].astype("<i8").tobytes() + hi[a:b].astype("<i8").tobytes()
-            keys.append(int(p[a]))
-            blobs.append(zip_.compress(body + raw[offsets[a] : offsets[b]].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["p", "strings"])
+            name, times = np.unique(s.name, return_counts=True)
+            some, often = n >= SEEN, times >= SEEN
+            kind = np.repeat([0, 1, 2], [1, some.sum(), often.sum()])
+            what = np.concatenate([[0], low[some].view(np.int64), name[often]])
+            weight = np.concatenate([[size.sum()], np.bincount(of, size)[some], times[often]]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int64)), pa.array(what), pa.array(weight)], names=["kind", "what", "weight"])
+
+    got = docs.select("text").mapInArrow(run, "kind bigint, what bigint, weight bigint").groupBy("kind", "what").agg(F.sum("weight").alias("weight"))
+    least = F.when(F.col("kind") == 1, BUCKET // 4).when(F.col("kind") == 2, OFTEN).otherwise(0)
+    got = written(got.where(F.col("weight") > least), "hot")
+    top = lambda kind: [r["what"] for r in got.where(F.col("kind") == kind).orderBy(F.desc("weight"), "what").limit(HOT).collect()]
+    size = got.where("kind = 0").agg(F.sum("weight")).first()[0] or 0
+    return Hot(top(1), top(2), size)
+
+
+def _packed(*columns: np.ndarray, body: bytes = b"") -> bytes:
+    """Integer columns of various lengths and what follows them, compressed."""
+    parts = [struct.pack("<q", len(columns))]
+    for c in columns:
+        c = c.astype("<i8")
+        # by byte planes: the high bytes of small numbers are runs of zeros
+        parts += [struct.pack("<q", len(c)), c.view(np.uint8).reshape(-1, 8).T.tobytes()]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([*parts, body]))
+
+
+def _unpacked(data: bytes) -> tuple[list[np.ndarray], bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    at, columns = 8, []
+    for _ in range(struct.unpack_from("<q", raw)[0]):
+        n = struct.unpack_from("<q", raw, at)[0]
+        at += 8
+        columns.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T).view("<i8").reshape(n))
+        at += 8 * n
+    return columns, raw[at:]
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=0)
+
+
+def _runs(key: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of every run of equal values."""
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+
+
+def _pairs(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, sorted, and the place of each row's pair."""
+    order = np.lexsort((key, doc))
+    d, k = doc[order], key[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1])
+    to = np.empty(len(d), np.int64)
+    to[order] = np.cumsum(new) - 1
+    return d[new], k[new], to
+
+
+def sent(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
+    """p (the bucket) and its strings, joined and compressed, of each run of a task's texts.
+
+    Columns of a packet: the strings' sizes, least and largest ids; rows of
+    their documents (id, text_key); places as (string, document, first window).
+    """
+
+    def flush(strings: list[pa.Array], cols: list[tuple]) -> Iterator[pa.RecordBatch]:
+        p, doc, key, first, name = (np.concatenate(c) for c in zip(*cols, strict=True))
+        coded = pa.concat_arrays(strings).dictionary_encode()
+        strings.clear()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary
+        brings = ~hot.has(name)
+        order = np.argsort(p, kind="stable")
+        keys, packets = [], []
+        for a, b in _runs(p[order]):
+            rows = order[a:b]
+            own, of = np.unique(code[rows], return_inverse=True)
+            lo, hi = np.full(len(own), _LAST), np.full(len(own), -_LAST - 1)
+            np.minimum.at(lo, of, doc[rows])
+            np.maximum.at(hi, of, doc[rows])
+            body, ends = arrow_bytes(distinct.take(pa.array(own)))
+            rows, of = rows[brings[rows]], of[brings[rows]]
+            docs_, keys_, to = _pairs(doc[rows], key[rows])
+            at = np.lexsort((first[rows], to, of))
+            of, to, places = of[at], to[at], first[rows][at]
+            new = np.ones(len(of), bool)  # equal rows bring a place once
+            new[1:] = (of[1:] != of[:-1]) | (to[1:] != to[:-1]) | (places[1:] != places[:-1])
+            keys.append(int(p[order[a]]))
+            packets.append(_packed(np.diff(ends), _steps(lo), hi - lo, _steps(docs_), keys_, _steps(of[new]), _steps(to[new]), places[new], body=body.tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packets, pa.binary())], names=["p", "packet"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, ids, to, size = [], [], [], 0
-        for s, b in _texts(batches, hot):
+        strings, cols, size = [], [], 0
+        for s, b in _texts(batches, hot.minimisers):
             if not len(s.first):
                 continue
-            new = s.packed()
-            strings += new
-            ids.append(b.column("doc").to_numpy()[s.text])
-            to.append((s.bucket % np.uint64(buckets)).astype(np.int64))
-            size += sum(map(len, new))
+            strings.append(pa.array(s.packed(), pa.large_binary()))
+            to = (s.bucket % np.uint64(buckets)).astype(np.int64)
+            cols.append((to, b.column("doc").to_numpy()[s.text], b.column("text_key").to_numpy()[s.text], s.first - s.at[s.text], s.name))
+            size += strings[-1].nbytes
             if size >= RUN:
-                yield from flush(strings, ids, to)
-                strings, ids, to, size = [], [], [], 0
+                yield from flush(strings, cols)
+                strings, cols, size = [], [], 0
+                release()
         if strings:
-            yield from flush(strings, ids, to)
+            yield from flush(strings, cols)
+        del strings, cols
+        release()
 
-    return docs.select("doc", "text").mapInArrow(run, "p bigint, strings binary")
+    return docs.select("doc", "text_key", "text").mapInArrow(run, "p bigint, packet binary")
 
 
-def least_ids(strings: list[bytes], lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For distinct strings: name of each that is of use, where its windows begin, and the windows' least ids."""
+def least_ids(strings: list[bytes], lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For distinct strings: their names, where the windows of each begin, and the least id of each window."""
     raw = np.frombuffer(b"".join(strings), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.int64)
     begin, end, at = spelled(raw, offsets)
-    words = word_hashes(raw, begin, end)
-    h = ngrams(words, WINDOW)
+    h = ngrams(word_hashes(raw, begin, end), WINDOW)
     count = np.diff(at) - WINDOW + 1
     cut = np.concatenate([[0], np.cumsum(count)])
     of = np.repeat(np.arange(len(strings)), count)
@@ -250,102 +319,189 @@ def least_ids(strings: list[bytes], lo: np.ndarray, hi: np.ndarray) -> tuple[np.
     np.minimum.at(least, group, lo[of[order]])
     mins = np.empty(len(h), np.int64)
     mins[order] = least[group]
-    use = np.logical_or.reduceat(mins < hi[of], cut[:-1])
     name = mix(np.add.reduceat(h * _PLACE[place], cut[:-1]) + count.astype(np.uint64)).view(np.int64)
-    return np.where(use, name, 0), np.where(use, 1, 0), mins
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The strings of use of every bucket and the least ids of their windows; a bucket's rows stand together."""
-    unzip = zstandard.ZstdDecompressor()
-
-    def bucket(blobs: list[bytes]) -> pa.RecordBatch | None:
-        strings, los, his = [], [], []
-        for z in blobs:
-            body = unzip.decompress(z)
-            n = struct.unpack_from("<q", body)[0]
-            size, lo, hi = np.frombuffer(body, "<i8", 3 * n, 8).reshape(3, n)
-            ends = 8 + 24 * n + np.cumsum(size)
-            strings += [body[a:b] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
-            los.append(lo)
-            his.append(hi)
-        t = _joined(strings, np.concatenate(los), np.concatenate(his), np.zeros(len(strings), np.int64))
-        strings, lo, hi = t["s"].to_pylist(), t["lo_min"].to_numpy(), t["hi_max"].to_numpy()
-        name, use, mins = least_ids(strings, lo, hi)
-        count = np.array([s.count(b" ") for s in strings]) - WINDOW + 2
-        cut = np.concatenate([[0], np.cumsum(count)])
-        some = np.flatnonzero(use)
-        if not len(some):
-            return None
-        picked = np.concatenate([mins[cut[k] : cut[k + 1]] for k in some])
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count[some])]), pa.int32()), pa.array(picked))
-        return pa.RecordBatch.from_arrays([pa.array(name[some]), lists], names=["name", "least"])
-
-    held, blobs = None, []
-    for b in batches:
-        for p, z in zip(b.column("p").to_pylist(), b.column("strings"), strict=True):
-            if p != held and blobs:
-                if (out := bucket(blobs)) is not None:
-                    yield out
-                blobs = []
-            held = p
-            blobs.append(z.as_py())
-    if blobs and (out := bucket(blobs)) is not None:
-        yield out
+    return name, cut, mins
+
+
+_MET = "doc bigint, text_key bigint, places array<int>, name bigint, least array<bigint>"
+
+
+def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values, kind))
+
+
+def _bucket(packets: list[bytes], hot: Hot) -> Iterator[pa.RecordBatch]:
+    """Places of repeated windows by document, and the least ids of hot strings."""
+    codes: dict[bytes, int] = {}
+    los, his, seen, at = [], [], [], []
+    for packet in packets:
+        (size, lo, wide, doc, key, of, to, first), body = _unpacked(packet)
+        ends = np.cumsum(size)
+        own = np.array([codes.setdefault(body[a:b], len(codes)) for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)], np.int64)
+        lo = np.cumsum(lo)
+        los.append((own, lo))
+        his.append((own, lo + wide))
+        to = np.cumsum(to)
+        seen.append((own[np.cumsum(of)], np.cumsum(doc)[to], key[to], first))
+    least, most = np.full(len(codes), _LAST), np.full(len(codes), -_LAST - 1)
+    for own, lo in los:
+        np.minimum.at(least, own, lo)
+    for own, hi in his:
+        np.maximum.at(most, own, hi)
+    name, cut, mins = least_ids(list(codes), least)
+    count = np.diff(cut)
+    use = np.logical_or.reduceat(mins < np.repeat(most, count), cut[:-1])
+    string, doc, key, first = (np.concatenate(c) for c in zip(*seen, strict=True))
+    some = use[string]
+    string, doc, key, first = string[some], doc[some], key[some], first[some]
+    n = count[string]
+    row = np.repeat(np.arange(len(string)), n)
+    window = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    hit = mins[cut[string][row] + window] < doc[row]
+    row, place = row[hit], (first[row] + window)[hit]
+    order = np.lexsort((place, key[row], doc[row]))
+    row, place = row[order], place[order]
+    if len(row):
+        d, k = doc[row], key[row]
+        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))
+        yield pa.RecordBatch.from_arrays([pa.array(d[new]), pa.array(k[new]), _lists(place, np.append(new, len(row)), pa.int32()), pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.list_(pa.int64()))], names=["doc", "text_key", "places", "name", "least"])
+    far = np.flatnonzero(use & hot.has(name))
+    if len(far):
+        picked = np.concatenate([mins[cut[k] : cut[k + 1]] for k in far])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(far), pa.int64()), pa.nulls(len(far), pa.int64()), pa.nulls(len(far), pa.list_(pa.int32())), pa.array(name[far]), _lists(picked, np.concatenate([[0], np.cumsum(count[far])]), pa.int64())], names=["doc", "text_key", "places", "name", "least"])
+
+
+def _meet(hot: Hot):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, packets = None, []
+        for b in batches:
+            for p, packet in zip(b.column("p").to_pylist(), b.column("packet"), strict=True):
+                if p != held and packets:
+                    yield from _bucket(packets, hot)
+                    packets = []
+                held = p
+                packets.append(packet.as_py())
+        if packets:
+            yield from _bucket(packets, hot)
+        del packets
+        release()
+
+    return run
 
 
-def _cut_again(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Every super-k-mer of every document: its name, the document and the first window's place."""
+def _cut_again(docs: DataFrame, hot: Hot) -> DataFrame:
+    """The hot strings of every document: name, document and the first window's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, b in _texts(batches, hot):
-            if len(s.first):
-                row = pa.array(s.text)
-                yield pa.RecordBatch.from_arrays([pa.array(s.name), b.column("doc").take(row), b.column("text_key").take(row), pa.array((s.first - s.at[s.text]).astype(np.int32))], names=["name", "doc", "text_key", "first"])
+        for s, b in _texts(batches, hot.minimisers):
+            some = np.flatnonzero(hot.has(s.name))
+            if len(some):
+                row = pa.array(s.text[some])
+                yield pa.RecordBatch.from_arrays([pa.array(s.name[some]), b.column("doc").take(row), b.column("text_key").take(row), pa.array((s.first - s.at[s.text])[some].astype(np.int32))], names=["name", "doc", "text_key", "first"])
 
     return docs.select("doc", "text_key", "text").mapInArrow(run, "name bigint, doc bigint, text_key bigint, first int")
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        raw, offsets = arrow_bytes(b.column("text"))
-        hits = b.column("hits")
-        for lo, hi in pieces(offsets):
-            part = raw[offsets[lo] : offsets[hi]]
-            begin, end, at = spelled(part, offsets[lo : hi + 1] - offsets[lo])
-            flat = part.tobytes()
-            gone_all = np.zeros(len(begin) + 1, np.int64)
-            for d in range(hi - lo):
-                found = hits[lo + d]
-                if found.is_valid:
-                    starts = np.array(found.values, np.int64) + at[d]
-                    np.add.at(gone_all, starts, 1)
-                    np.add.at(gone_all, starts + WINDOW, -1)
-            gone = np.cumsum(gone_all[:-1]) > 0
-            n, cut, sha = np.diff(at), [], []
-            for d in range(hi - lo):
-                keep = np.flatnonzero(~gone[at[d] : at[d + 1]]) + at[d]
-                cut.append(int(n[d] - len(keep)))
-                words = [flat[x:y] for x, y in zip(begin[keep].tolist(), end[keep].tolist(), strict=True)]
-                sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(cut, pa.int64()), pa.array(sha)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-
 def covered(docs: DataFrame) -> DataFrame:
     """doc, text_key and hits (places of windows that start in a smaller document) of ``docs`` (doc, text_key, text)."""
-    hot, size = _hot(docs)
-    buckets = size // BUCKET + 1
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 8)
-    met = sent(docs, hot, buckets).repartition(n, "p").sortWithinPartitions("p").mapInArrow(_meet, "name bigint, least array<bigint>")
-    met = written(met, "strings")
-    found = _cut_again(docs, hot).join(met, "name").where(F.exists("least", lambda x: x < F.col("doc")))
-    place = F.filter(F.transform("least", lambda x, i: F.when(x < F.col("doc"), F.col("first") + i)), lambda x: x.isNotNull())
-    return found.select("doc", "text_key", place.alias("places")).groupBy("doc", "text_key").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("hits"))
+    hot = find_hot(docs)
+    buckets = hot.size // BUCKET + 1
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 4)
+    met = sent(docs, hot, buckets).repartition(n, "p").sortWithinPartitions("p").mapInArrow(_meet(hot), _MET)
+    if len(hot.names):
+        met = written(met, "met")
+    found = met.where("doc IS NOT NULL").select("doc", "text_key", "places")
+    if len(hot.names):
+        far = _cut_again(docs, hot).join(met.where("name IS NOT NULL").select("name", "least"), "name")
+        place = F.filter(F.transform("least", lambda x, i: F.when(x < F.col("doc"), F.col("first") + i)), lambda x: x.isNotNull())
+        found = found.unionByName(far.select("doc", "text_key", place.alias("places")))
+    return found.groupBy("doc", "text_key").agg(F.flatten(F.collect_list("places")).alias("hits"))
+
+
+def _kept(raw: np.ndarray, offsets: np.ndarray, hits: list[np.ndarray | None]) -> Iterator[tuple[int, int, str]]:
+    """n_words, n_removed and the hash of the kept words of several texts."""
+    begin, end, at = spelled(raw, offsets)
+    flat = raw.tobytes()
+    edges = np.zeros(len(begin) + 1, np.int64)
+    for d, found in enumerate(hits):
+        if found is not None:
+            np.add.at(edges, found + at[d], 1)
+            np.add.at(edges, found + at[d] + WINDOW, -1)
+    keep = np.cumsum(edges[:-1]) <= 0
+    for d in range(len(hits)):
+        own = np.flatnonzero(keep[at[d] : at[d + 1]]) + at[d]
+        words = [flat[x:y] for x, y in zip(begin[own].tolist(), end[own].tolist(), strict=True)]
+        n = int(at[d + 1] - at[d])
+        yield n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+_TEXT = "p bigint, doc bigint, text_key bigint, hits array<int>, packet binary"
+
+
+def _sent_texts(docs: DataFrame, parts: int) -> DataFrame:
+    """The texts by p, a share of (doc, text_key), joined and compressed; equal rows of a run once, with their number."""
+
+    def flush(cols: list[tuple], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        p, doc, key, no_id = (np.concatenate(c) for c in zip(*cols, strict=True))
+        rows, first, times = np.unique(np.stack([p, doc, key, no_id], 1), axis=0, return_index=True, return_counts=True)
+        packets, keys = [], []
+        for a, b in _runs(rows[:, 0]):
+            body = [texts[k] for k in first[a:b].tolist()]
+            packets.append(_packed(_steps(rows[a:b, 1]), rows[a:b, 2], rows[a:b, 3], times[a:b], np.array([len(t) for t in body]), body=b"".join(body)))
+            keys.append(int(rows[a, 0]))
+        n = len(keys)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())), pa.array(packets, pa.binary())], names=["p", "doc", "text_key", "hits", "packet"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols, texts, size = [], [], 0
+        for b in batches:
+            raw, offsets = arrow_bytes(b.column("text"))
+            p, doc, key, no_id = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("p", "doc", "text_key", "no_id"))
+            for lo, hi in pieces(offsets):
+                flat = raw[offsets[lo] : offsets[hi]].tobytes()
+                ends = (offsets[lo : hi + 1] - offsets[lo]).tolist()
+                texts += [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                cols.append((p[lo:hi], doc[lo:hi], key[lo:hi], no_id[lo:hi]))
+                size += len(flat)
+                if size >= TEXTS:
+                    yield from flush(cols, texts)
+                    cols, texts, size = [], [], 0
+        if cols:
+            yield from flush(cols, texts)
+        del cols, texts
+        release()
+
+    part = F.pmod(F.xxhash64("doc", "text_key"), F.lit(parts))
+    return docs.select(part.alias("p"), "doc", "text_key", F.col("doc_id").isNull().alias("no_id"), "text").mapInArrow(run, _TEXT)
+
+
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A part's hits come first, then its texts."""
+    held, hits = None, {}
+    for b in batches:
+        for p, doc, key, found, packet in zip(*(b.column(c) for c in ("p", "doc", "text_key", "hits", "packet")), strict=True):
+            if p.as_py() != held:
+                held, hits = p.as_py(), {}
+            if not packet.is_valid:
+                hits[doc.as_py(), key.as_py()] = np.array(found.values, np.int64)
+                continue
+            (docs, keys, no_id, times, size), body = _unpacked(packet.as_py())
+            raw, docs = np.frombuffer(body, np.uint8), np.cumsum(docs)
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            for lo, hi in pieces(offsets):
+                own = [hits.get(x) for x in zip(docs[lo:hi].tolist(), keys[lo:hi].tolist(), strict=True)]
+                n, cut, sha = zip(*_kept(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], own), strict=True)
+                again = np.repeat(np.arange(hi - lo), times[lo:hi])
+                ids = pa.array(docs[lo:hi], mask=no_id[lo:hi].astype(bool))
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(again)) for c in (ids, pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(sha))], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row of ``docs``."""
     whole = F.col(text).cast("string")
-    d = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)).alias("doc"), F.coalesce(F.xxhash64(whole), F.lit(0)).alias("text_key"), whole.alias("text"))
+    d = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64(whole).alias("text_key"), whole.alias("text"))
     hits = covered(d.select("doc", "text_key", "text"))
-    return d.join(hits, ["doc", "text_key"], "left").select("doc_id", "text", "hits").mapInArrow(_removed, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = hits.select(F.pmod(F.xxhash64("doc", "text_key"), F.lit(parts)).alias("p"), "doc", "text_key", F.col("hits").cast("array<int>").alias("hits"), F.lit(None).cast("binary").alias("packet"))
+    both = hits.unionByName(_sent_texts(d, parts)).repartition("p").sortWithinPartitions("p", F.col("packet").isNotNull())
+    return both.mapInArrow(_removed, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")

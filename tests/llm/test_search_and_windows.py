@@ -174,8 +174,14 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch):
     assert _dedup(spark, docs) == want
     monkeypatch.setattr(substring_dedup, "BUCKET", 4000)  # many buckets, hot minimisers
     monkeypatch.setattr(substring_dedup, "SEEN", 2)
-    hot, size = substring_dedup._hot(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert len(hot) and size > 100_000
+    hot = substring_dedup.find_hot(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert len(hot.minimisers) and not len(hot.names) and hot.size > 100_000
+    assert _dedup(spark, docs) == want
+    monkeypatch.setattr(substring_dedup, "OFTEN", 4)  # hot strings
+    monkeypatch.setattr(substring_dedup, "TEXTS", 3000)
+    monkeypatch.setattr(substring_dedup, "RUN", 9000)
+    hot = substring_dedup.find_hot(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert len(hot.names) > 10
     assert _dedup(spark, docs) == want
 
 
@@ -185,10 +191,15 @@ def test_substring_dedup_of_nothing(spark):
 
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     strings = [" ".join(f"{c}{k}" for k in range(14)).encode() for c in "abc"]
-    lo, hi = np.array([4, 2, 3]), np.array([4, 2, 9])
     monkeypatch.setattr(substring_dedup, "ngrams", lambda w, n: np.zeros(max(0, len(w) - n + 1), np.uint64))
-    _, use, mins = substring_dedup.least_ids(strings, lo, hi)
-    assert use.tolist() == [0, 0, 1] and mins.tolist() == [4, 4, 2, 2, 3, 3]
+    _, cut, mins = substring_dedup.least_ids([*strings, strings[2] + b" more"], np.array([4, 2, 3, 1]))
+    assert cut.tolist() == [0, 2, 4, 6, 9] and mins.tolist() == [4, 4, 2, 2, 1, 1, 1, 1, 1]
+
+
+def test_packets_hold_any_integers():
+    columns = [np.array([0, -1, 1 << 62, -(1 << 63), (1 << 63) - 1]), np.zeros(0, np.int64), np.arange(1000)]
+    got, body = substring_dedup._unpacked(substring_dedup._packed(*columns, body=b"rest"))
+    assert body == b"rest" and all((a == b).all() for a, b in zip(got, columns, strict=True))
 
 
 def test_strings_cover_every_window_once():
