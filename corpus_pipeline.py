@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import decontaminate, lang_id, near_dup, sp_codec, toxicity
-from parcelflow.llm.common import crc_mod4, table, written
+from parcelflow.llm.common import crc_mod4, prepared, table, written
 from parcelflow.llm.queries import PIECE_MODEL
-from parcelflow.session import ship_package
 
 #: a document whose best language scores less is rejected
 LEAST_LANGUAGE = 0.4
@@ -30,7 +29,7 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones are written in."""
-    ship_package(spark)
+    prepared(spark)
     net = lang_id.fit(docs.where(F.coalesce(crc_mod4() != 2, F.lit(True))))
     p = lang_id.predicted(net, docs)
     return docs.where((p["lang_pred"] != "und") & (p["score"] >= LEAST_LANGUAGE))
@@ -38,26 +37,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not scored as toxic."""
-    ship_package(spark)
+    prepared(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.scored(model, docs) < toxicity.THRESHOLD)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    ship_package(spark)
+    prepared(spark)
     return near_dup.first_of_each(docs).select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    ship_package(spark)
+    prepared(spark)
     return docs.where(F.size(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))) == 0)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256."""
-    ship_package(spark)
+    prepared(spark)
     return sp_codec.encode_decode(docs, PIECE_MODEL)
 
 
