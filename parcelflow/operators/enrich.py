@@ -53,10 +53,12 @@ def split_subdivisions(df: DataFrame, millesime: str = S.DEFAULT_MILLESIME) -> t
 def sort_layer(df: DataFrame) -> DataFrame:
     """Two-key order (departement, commune) of the per-layer tables.
 
-    Only meaningful when a layer table is materialised on its own; the
-    export sorts by its own keys.
+    A hash of the row comes last, so that the range partitioner can split one
+    commune's rows over many tasks.  Only meaningful when a layer table is
+    materialised on its own; the export sorts by its own keys.
     """
-    return df.orderBy(F.col("departement").asc_nulls_last(), F.col("commune").asc_nulls_last())
+    keyed = df.withColumn("_tb", F.xxhash64(*df.columns))
+    return keyed.orderBy(F.col("departement").asc_nulls_last(), F.col("commune").asc_nulls_last(), "_tb").drop("_tb")
 
 
 def enrich_mixed(df: DataFrame, millesime: str = S.DEFAULT_MILLESIME, layer_col: str = "layer") -> DataFrame:

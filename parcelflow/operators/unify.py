@@ -92,3 +92,21 @@ def save_layer_tables(layers: Mapping[str, DataFrame], path: str, mode: str = "o
         df.write.mode(mode).option("compression", compression).parquet(f"{path}/{name}")
         names.append(name)
     return names
+
+
+def save_bucketed_tables(layers: Mapping[str, DataFrame], path: str, prefix: str, buckets: int,
+                         millesime: str = S.DEFAULT_MILLESIME, compression: str = "zstd") -> list[str]:
+    """Save the nine tables through the catalog as ``<prefix><table>``, below ``path``, bucketed and sorted by commune.
+
+    All have the same buckets, so tables join, and group, by commune as they
+    lie, without a shuffle.  Rows are dealt out to the buckets before they are
+    written: one file a bucket.  A commune lies in one bucket whatever its size;
+    where that is too much for a task, join the tables of
+    :func:`save_layer_tables`, which Spark shuffles and can split.
+    """
+    names = []
+    for name, df in layer_tables(layers, millesime).items():
+        (df.repartition(buckets, "commune").write.mode("overwrite").format("parquet").option("compression", compression).option("path", f"{path}/{name}")
+            .bucketBy(buckets, "commune").sortBy("commune").saveAsTable(prefix + name))
+        names.append(prefix + name)
+    return names

@@ -337,9 +337,42 @@ def q_unified_view(spark, sf_dir):
     return spark.sql("SELECT type_objet, departement, count(*) AS n FROM source_unique GROUP BY type_objet, departement")
 
 
+@register("layer_by_name", flat_sql(f"SELECT * FROM ({A.layer_sql('sections')})"))
+def q_layer_by_name(spark, sf_dir):
+    """Every file named after the layer, at any depth, by the glob form; files of another name beside them are not read."""
+    def write(root: str) -> None:
+        for name in ("sections", "prefixes_sections"):
+            FX.glob_tree(spark, sf_dir, name, root)
+
+    root = fresh_copy(spark, sf_dir, "by-name", write)
+    return flat(read_layer(spark, root, "sections", layout="glob").select(*A.layer(spark, sf_dir, "sections").columns))
+
+
+_BUCKETED: dict[tuple[str, str], list[str]] = {}
+
+
+@register("layer_join",
+          f"SELECT commune, n_parcelles, surface, n_batiments FROM (SELECT commune, count(*) AS n_parcelles, CAST(sum(contenance) AS BIGINT) AS surface FROM ({A.layer_sql('parcelles')}) GROUP BY commune) "
+          f"JOIN (SELECT commune, count(*) AS n_batiments FROM ({A.layer_sql('batiments')}) GROUP BY commune) USING (commune)")
+def q_layer_join(spark, sf_dir):
+    """Parcels and buildings by commune, from tables bucketed by commune."""
+    key = (app_id(spark), sf_dir)
+    for name in _BUCKETED.pop(key, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    prefix = f"layers_{abs(hash(key)) % 10**9}_"
+    layers = read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned")
+    fresh_copy(spark, sf_dir, "bucketed", lambda p: _BUCKETED.__setitem__(key, unify.save_bucketed_tables(layers, p, prefix, 16)))
+    return commune_counts(spark, prefix)
+
+
+def commune_counts(spark: SparkSession, prefix: str) -> DataFrame:
+    parcels = spark.table(f"{prefix}parcelles").groupBy("commune").agg(F.count("*").alias("n_parcelles"), F.sum("contenance").alias("surface"))
+    return parcels.join(spark.table(f"{prefix}batiments").groupBy("commune").agg(F.count("*").alias("n_batiments")), "commune")
+
+
 @register("layer_glob", flat_sql(f"SELECT * FROM ({A.layer_sql('sections')})"))
 def q_layer_glob(spark, sf_dir):
-    """A layer written as datasets named after it in several folders, read by the glob form."""
+    """A layer written as datasets named after it in several folders."""
     layer = A.layer(spark, sf_dir, "sections")
 
     def write(root: str) -> None:

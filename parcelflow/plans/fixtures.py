@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.codes import departement_of
 from ..session import app_id, arrow_file_system, scratch_path
 from . import adapters as A
 
@@ -43,6 +44,23 @@ def layer_files(spark: SparkSession, sf_dir: str) -> str:
     return _LAYER_FILES[key]
 
 
+def glob_tree(spark: SparkSession, sf_dir: str, name: str, root: str) -> None:
+    """A layer as a converter leaves it: one file ``<name>.parquet`` a département, some folders deep."""
+    def write(key, rows):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        folder = key[0].as_py()
+        system, where = arrow_file_system(f"{root}/{folder[:1]}/{folder}/{name}.parquet")
+        system.create_dir(where.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(where, compression=None) as f:
+            pq.write_table(rows.drop_columns(["departement"]), f)
+        return pa.table({"n": pa.array([rows.num_rows], pa.int64())})
+
+    layer = A.layer(spark, sf_dir, name).withColumn("departement", departement_of("commune"))
+    layer.groupBy("departement").applyInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
+
+
 _MIRRORS: dict[tuple[str, str], str] = {}
 
 

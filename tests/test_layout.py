@@ -106,3 +106,32 @@ def test_pruned_extents_equal_the_plain_join(spark, sf, small_files, match_srid)
     cols = ["extent_id", "type_objet", "id", "geom_srid", "lot"]
     assert rows(got, *cols) == rows(want, *cols)
     assert extract.read_many_extents(spark, small_files, windows.limit(0)).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf, tmp_path):
+    names = unify.save_bucketed_tables(catalog.A.layers(spark, sf), str(tmp_path), "bt_", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalog.commune_counts(spark, "bt_")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and plan.count("Bucketed: true") == 2
+        plain = {n: spark.table(f"bt_{n}").count() for n in ("parcelles", "batiments")}
+        assert plain == {n: catalog.A.layer(spark, sf, n).count() for n in plain} and got.count() > 0 and len(names) == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_a_hot_commune_of_a_layer_table_is_split(spark):
+    from parcelflow.operators.enrich import enrich_layer, sort_layer
+
+    hot = spark.range(20000).select(F.lit("59350").alias("commune"), F.col("id").cast("string").alias("id"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sort_layer(enrich_layer(hot, "sections")).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert max(r["count"] for r in sizes) < 10000 and sum(r["count"] for r in sizes) == 20000
