@@ -6,7 +6,9 @@ would hardly put into a document: the product of its words' frequencies, which
 are counted over all documents, is at most ``RARE``.  An item always keeps its
 ``LEAST`` rarest seeds, and ``STRETCH_LEAST`` of each stretch of half ``LONG``
 words, so that any passage of ``LONG`` words holds some.  How often a seed itself occurs plays no part, so a
-passage that thousands of documents share keeps its seeds.
+passage that thousands of documents share keeps its seeds.  An item all of whose
+seeds chance would put into a document (above ``COMMON``) is found only whole,
+word for word; one of fewer words than a seed, if so common, not at all.
 
 A document's words are joined to the seeds by their hashes.  Around hits of
 one item a window as long as the item and some slack is aligned with it, word
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import PUNCTUATION, arrow_bytes, ngrams, pieces, words_of
 
-SEED, RARE, LEAST, SCORE = 3, 1e-9, 8, 0.5
+SEED, RARE, COMMON, LEAST, SCORE = 3, 1e-9, 1e-3, 8, 0.5
 #: words of a passage that is a copy even if most of its item is missing, and the seeds kept of each half as many words
 LONG, STRETCH_LEAST = 20, 3
 MATCH, MISS, GAP = 2, -1, -1
@@ -68,7 +70,7 @@ class Items:
     """A block of test items with its seeds, as sent to the tasks."""
 
     def __init__(self, rows: list[tuple[int, str]], counts: dict[int, int], total: int):
-        self.ids, self.words = [], []
+        self.ids, self.words, self.whole = [], [], []
         seeds = defaultdict(list)
         for item, words in rows:
             k = len(self.ids)
@@ -77,6 +79,10 @@ class Items:
             n = min(SEED, len(words))
             freq = np.array([max(counts.get(int(w), 0), 1) / max(total, 1) for w in words.view(np.int64)])
             chance = np.array([freq[i : i + n].prod() for i in range(len(words) - n + 1)])
+            common = bool(chance.min() > COMMON)
+            self.whole.append(common)
+            if common and len(words) < SEED:
+                continue
             bound = max(RARE, np.sort(chance)[: LEAST][-1])
             hashes = ngrams(words, n)
             kept = chance <= bound
@@ -124,7 +130,7 @@ class Items:
                 if n < need:
                     continue
                 score, end = align(item, words[lo:hi])
-                if score < MATCH * min(SCORE * size, LONG) or (best is not None and score <= best[0]):
+                if score < MATCH * min(SCORE * size, LONG) or (self.whole[k] and score < MATCH * size) or (best is not None and score <= best[0]):
                     continue
                 _, back = align(item[::-1], words[lo : lo + end][::-1])
                 if score >= MATCH * SCORE * size or score >= MATCH * max(LONG, SCORE * back):

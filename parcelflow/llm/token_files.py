@@ -14,7 +14,8 @@ raw size and checksum of every frame).  The raw bytes are
 A reader fetches the tail, then the index, then only the frames that hold the
 wanted documents, and checks each frame's checksum (low half of XXH64).
 
-Documents are written in ascending id order (nulls first; ties by text): Spark
+Documents are written in ascending id order (nulls first; ties by a hash of the
+text, so that rows of one id, or without one, can fill many files): Spark
 range-partitions them, every task writes one file under a name of its own
 attempt, and only files listed in the manifest (written by Spark's own commit)
 count, so a lost or repeated task leaves at most an unlisted file.
@@ -29,23 +30,25 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import arrow_bytes, pieces, release, shared_path
 
 FRAME_IDS = 1 << 17
-#: words that a worker remembers, twice, and characters it encodes at once
-MEMORY, RUN = 600_000, 1 << 18
+#: words that a worker remembers, twice, and bytes of text it encodes at once
+MEMORY, RUN = 400_000, 2 << 20
 _ENDS = ".,;:!?"
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _TAIL = struct.Struct("<QQQQ")
@@ -57,6 +60,9 @@ _SPLIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile("[\x00\x1c-\x1f]")
 _BARE = "\x00"
 _WHITE = re.compile(r"\s")
+#: bytes that may belong to white space, and bytes of ``_ODD``
+_MAY_BE_WHITE = np.array([b < 33 or b >= 128 for b in range(256)])
+_ODD_BYTE = np.array([b == 0 or 28 <= b < 32 for b in range(256)])
 
 
 class Encoder:
@@ -70,12 +76,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.model = self.lib.model
         split = self.lib.pre_tokenizer.__class__.__name__
         self.by_word = self.lib.normalizer is None and split == "ByteLevel" and not self.lib.pre_tokenizer.add_prefix_space
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.line_end = np.frombuffer(self._raw(["\n"])[0], self.width)
         self.ends = dict(zip(_ENDS, self._raw(list(_ENDS)), strict=True))
+        #: the characters that a byte-level vocabulary spells bytes with: printable ones as they are, the others from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.spelling = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.code = "H" if self.width.itemsize == 2 else "I"
         #: ids of words met lately, and of those met before
         self.memory: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -100,36 +112,42 @@ class Encoder:
         out.update(zip(rest, self._raw([" " + w for w in rest]), strict=True))
         return [out[w] for w in words]
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words with a space before each (of those with the mark, without).
+    def _piece(self, word: str, spaced: bool) -> bytes:
+        """The ids of letters with or without a space before them: one piece to the tokenizer, so its model alone decides."""
+        text = word if word.isascii() else "".join(map(self.spelling.__getitem__, word.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(self.spelling[32] + text if spaced else text)]).tobytes()
+
+    def _known(self, w: str) -> bytes | None:
+        """The ids of a word met before, or made of pieces: letters, letters and one of ``_ENDS``, or two such with a line end between."""
+        got = self.memory.get(w)
+        if got is None:
+            got = self.older.get(w)
+            bare = w[:1] == _BARE
+            core = w[1:] if bare else w
+            if got is not None:
+                pass
+            elif core.isalpha():
+                got = self._piece(core, not bare)
+            elif core[-1:] in self.ends and core[:-1].isalpha():
+                got = self._known(w[:-1]) + self.ends[core[-1]]
+            elif core.count("\n") == 1:
+                before, _, after = core.partition("\n")
+                if before and after and not _WHITE.search(before) and not _WHITE.search(after):
+                    first, second = self._known(w[: len(w) - len(after) - 1]), self._known(_BARE + after)
+                    got = None if first is None or second is None else first + self.line_end.tobytes() + second
+            if got is not None:
+                self.memory[w] = got
+        return got
 
-        A word of letters and one of ``_ENDS`` is two tokens' worth: the word's ids and the mark's.
-        """
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of words with a space before each (of those with the mark, without)."""
         if len(self.memory) > MEMORY:
             self.older, self.memory = self.memory, {}
-        memory, older = self.memory, self.older
-        ask, ended = set(), []
-        for w in words:
-            if w in memory:
-                continue
-            if w in older:
-                memory[w] = older[w]
-            elif w[-1:] in self.ends and w[-2:-1].isalpha() and w[0] != _BARE:
-                ended.append(w)
-                base = w[:-1]
-                if base not in memory:
-                    if base in older:
-                        memory[base] = older[base]
-                    else:
-                        ask.add(base)
-            else:
-                ask.add(w)
+        ask = [w for w in words.difference(self.memory) if self._known(w) is None]
         bare = [w for w in ask if w[:1] == _BARE]
-        memory.update(zip(bare, self._raw([w[1:] for w in bare]), strict=True))
+        self.memory.update(zip(bare, self._raw([w[1:] for w in bare]), strict=True))
         new = [w for w in ask if w[:1] != _BARE]
-        memory.update(zip(new, self._spaced(new), strict=True))
-        for w in ended:
-            memory[w] = memory[w[:-1]] + self.ends[w[-1]]
+        self.memory.update(zip(new, self._spaced(new), strict=True))
 
     def _words(self, text: str) -> list[str] | None:
         """The text cut at spaces; None if it must be encoded whole."""
@@ -141,29 +159,70 @@ class Encoder:
         words[0] = _BARE + words[0]
         return words
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as packed integers of ``width``; call it for about ``RUN`` characters at once."""
-        cut = [self._words(t) if t else [] for t in texts]
-        self._learn(set().union(*(w for w in cut if w)))
+    def _cut_apart(self, texts: pa.Array) -> np.ndarray:
+        """True for texts that can't simply be split at their spaces."""
+        raw, offsets = arrow_bytes(texts)
+        white = _MAY_BE_WHITE[raw]
+        at = np.flatnonzero((raw[1:-1] == 32) & white[:-2] & white[2:]) + 1 if len(raw) > 2 else np.zeros(0, np.int64)
+        odd = np.concatenate([at, np.flatnonzero(_ODD_BYTE[raw])])
+        out = np.zeros(len(texts), bool)
+        out[np.searchsorted(offsets, odd, side="right") - 1] = True
+        # two texts meet without a byte between them: what was found there is looked at again
+        for k in np.flatnonzero(out).tolist():
+            t = texts[k].as_py()
+            out[k] = bool(_ODD.search(t) or _LONG_SPACE.search(t))
+        whole = raw.tobytes()
+        for s in self.special:
+            if s.encode() in whole:
+                out |= np.array([s in t for t in texts.to_pylist()], bool)
+        return out
+
+    def encode_run(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with ``end`` behind it, and each text's number of ids.
+
+        Words are cut and numbered as an Arrow dictionary; only distinct ones are looked up or encoded, and the ids of all words
+        are joined by those numbers.  A text that can't be cut at spaces is one entry of its own.
+        """
+        texts = texts.fill_null("")
+        apart = self._cut_apart(texts) if self.by_word else np.ones(len(texts), bool)
+        words = pc.split_pattern(texts.filter(pa.array(~apart)), " ")
+        cuts = words.offsets.to_numpy().astype(np.int64)
+        values = words.values.slice(cuts[0], cuts[-1] - cuts[0]) if len(cuts) else words.values
+        cuts = cuts - cuts[0]
+        coded, first = values.dictionary_encode(), values.take(pa.array(cuts[:-1])).dictionary_encode()
+        spaced, bare = coded.dictionary.to_pylist(), [_BARE + w for w in first.dictionary.to_pylist()]
+        rest = {k: self._words(texts[k].as_py()) for k in np.flatnonzero(apart).tolist()}
+        self._learn(set(spaced).union(bare, *(w for w in rest.values() if w)))
         get = self.memory.__getitem__
-        return [self._raw([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, cut, strict=True)]
+        alone = [self._raw([texts[k].as_py()])[0] if w is None else b"".join(map(get, w)) for k, w in rest.items()]
+        table = [*map(get, spaced), *map(get, bare), *alone, b"" if end is None else np.array([end], self.width).tobytes()]
+        size = np.fromiter(map(len, table), np.int32, len(table)) // np.int32(self.width.itemsize)
+        # entries of every text: its words, or the one of its own; then the end
+        n = np.ones(len(texts), np.int64)
+        n[~apart] = np.diff(cuts)
+        at = np.concatenate([[0], np.cumsum(n + 1)])
+        entry = np.empty(int(at[-1]), np.int32)
+        entry[at[1:] - 1] = len(table) - 1
+        own = np.flatnonzero(~apart)
+        inside = np.ones(len(entry), bool)
+        inside[at[1:] - 1] = False
+        inside[at[:-1][apart]] = False
+        entry[inside] = coded.indices.to_numpy()
+        entry[at[:-1][own]] = len(spaced) + first.indices.to_numpy()
+        entry[at[:-1][apart]] = len(spaced) + len(bare) + np.arange(len(alone))
+        ids = np.frombuffer(b"".join(map(table.__getitem__, entry.tolist())), self.width)
+        return ids, np.add.reduceat(size[entry], at[:-1], dtype=np.int64) if len(texts) else np.zeros(0, np.int64)
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as packed integers of ``width``."""
+        ids, n = self.encode_run(pa.array(texts, pa.string()))
+        cuts = np.concatenate([[0], np.cumsum(n)])
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Runs [lo, hi) of texts of about ``RUN`` characters; a longer text stands alone."""
-    lo = size = 0
-    for hi, t in enumerate(texts):
-        if hi > lo and size + len(t or "") > RUN:
-            yield lo, hi
-            lo, size = hi, 0
-        size += len(t or "")
-    if texts:
-        yield lo, len(texts)
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     import os
@@ -205,6 +264,16 @@ class Writer:
         if self.waiting >= FRAME_IDS * self.width.itemsize:
             self._flush(False)
 
+    def add_all(self, keys: np.ndarray, nulls: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Append documents whose ids stand one after the other."""
+        self.keys.extend(np.where(nulls, 0, keys).tolist())
+        self.nulls.extend(nulls.tolist())
+        self.counts.extend(counts.tolist())
+        self.ids.append(ids.tobytes())
+        self.waiting += ids.nbytes
+        if self.waiting >= FRAME_IDS * self.width.itemsize:
+            self._flush(False)
+
     def close(self) -> None:
         if self.waiting:
             self._flush(True)
@@ -275,30 +344,31 @@ def _open(path: str, write: bool):
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, out: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and write all documents; returns the manifest: one row per file, in order by ``part``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, file, n = encoder(tokenizer), None, 0
-        end = np.array([end_id], enc.width).tobytes()
         part = TaskContext.get().partitionId()
         path = f"{out}/ids/part-{part:07d}-{uuid.uuid4().hex}.zst"
         for b in batches:
-            texts = b["t"].tolist()
-            for lo, hi in _runs(texts):
+            texts, keys, nulls = (b.column(c) for c in ("t", "k", "no_k"))
+            keys, nulls = keys.to_numpy(), nulls.to_numpy(zero_copy_only=False)
+            for lo, hi in pieces(arrow_bytes(texts)[1], RUN):
                 if file is None:
                     file = _open(path, True)
                     to = Writer(file, enc.width)
-                rows = b.iloc[lo:hi]
-                for k, null, ids in zip(rows["k"].tolist(), rows["no_k"].tolist(), enc.encode_all(texts[lo:hi]), strict=True):
-                    n += len(ids) // enc.width.itemsize + 1
-                    to.add(None if null else k, ids + end)
+                ids, counts = enc.encode_run(texts.slice(lo, hi - lo), end_id)
+                to.add_all(keys[lo:hi], nulls[lo:hi], counts, ids)
+                n += len(ids)
         if file is not None:
             to.close()
             file.close()
-            yield pd.DataFrame({"part": [part], "path": [path], "n_docs": [len(to.keys)], "n_tokens": [n]})
-
-    d = docs.select(F.coalesce(docs[key].cast("bigint"), F.lit(0)).alias("k"), docs[key].isNull().alias("no_k"), docs[text].alias("t"))
-    order = [F.col("no_k").desc(), F.col("k"), F.col("t")]
-    d = d.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
-    d.mapInPandas(run, "part int, path string, n_docs bigint, n_tokens bigint").write.parquet(f"{out}/manifest")
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([len(to.keys)], pa.int64()), pa.array([n], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])
+        release()
+
+    d = docs.select(F.coalesce(docs[key].cast("bigint"), F.lit(0)).alias("k"), docs[key].isNull().alias("no_k"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("t"))
+    d = d.withColumn("h", F.xxhash64("t"))
+    order = [F.col("no_k").desc(), F.col("k"), F.col("h"), F.col("t")]
+    d = d.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
+    d.mapInArrow(run, "part int, path string, n_docs bigint, n_tokens bigint").write.parquet(f"{out}/manifest")
     return docs.sparkSession.read.schema("part int, path string, n_docs bigint, n_tokens bigint").parquet(f"{out}/manifest")
 
 

@@ -147,8 +147,43 @@ def test_license_cosine_equals_brute_force(spark):
     vec = lambda d: {w: n * (np.log((1 + len(corpus)) / (1 + df[w])) + 1) for w, n in collections.Counter(d).items()}
     cos = lambda a, b: sum(a[w] * b.get(w, 0) for w in a) / np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
     for k, t in enumerate(lines):
-        best = max((round(cos(vec(words(t)), vec(words(x))), 6), lic) for lic, x in license_scan.TEMPLATES)
+        kept = lambda lic: all(m & set(words(t)) for m in license_scan.RULES.get(lic, ([], set()))[0]) and not license_scan.RULES.get(lic, ([], set()))[1] & set(words(t))  # noqa: E731, B023
+        best = max((round(cos(vec(words(t)), vec(words(x))), 6), lic) for lic, x in license_scan.TEMPLATES if kept(lic))
         assert got[f"f{k}"] == ((best[1], pytest.approx(best[0], abs=2e-6)) if best[0] >= license_scan.ENOUGH else (None, None))
+    assert got["f0"][0] == "MIT" and got["f1"] == (None, None)  # another version is another licence
+
+
+def test_spdx_lines_name_what_they_spell(spark):
+    ids = sorted({lic for lic, _ in license_scan.TEMPLATES if lic != "proprietary"}) + ["GPL-3.0-or-later", "BSD-4-Clause", "0BSD", "LicenseRef-Mine", "Apache-1.1", "MIT-0", "CC-BY-3.0"]
+    files = [(f"f{k}", f"// SPDX-License-Identifier: {x}\nint main;") for k, x in enumerate(ids)] + [("e1", "# SPDX-License-Identifier: (MIT OR Apache-2.0)"), ("e2", "/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */"), ("e3", "SPDX-License-Identifier:")]
+    files += [(f"m{k}", "Released under the MIT License.") for k in range(400)]
+    got = {r["path"]: r["license"] for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert [got[f"f{k}"] for k in range(len(ids))] == ids
+    assert got["e1"] == "MIT OR Apache-2.0" and got["e2"] == "GPL-2.0-only WITH Classpath-exception-2.0" and got["e3"] is None and got["m7"] == "MIT"
+
+
+def test_variants_and_versions_are_told_apart(spark):
+    lines = {f"Licensed under CC {v} 4.0": f"CC-{v}-4.0" for v in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")}
+    lines |= {f"This work is licensed under a Creative Commons {long} 4.0 International License": f"CC-{v}-4.0" for v, long in (("BY", "Attribution"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"))}
+    lines |= {"Apache License, Version 1.1": None, "Licensed under the Apache License, Version 1.1": None, "Licensed under the GNU Affero General Public License, version 3": "AGPL-3.0",
+              "Licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0", "Licensed under CC BY-NC 3.0": None, "Released under the Unlicense": "Unlicense", "Licensed under the WTFPL": "WTFPL",
+              "Licensed under the Artistic License 2.0": "Artistic-2.0", "Released under the zlib License": "Zlib"}
+    full = {lic: max((t for x, t in license_scan.TEMPLATES if x == lic), key=len) for lic, _ in license_scan.TEMPLATES}
+    lines |= {full[x]: x for x in ("EPL-1.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "WTFPL", "MIT", "ISC")}
+    files = [(f"f{k}", t) for k, t in enumerate(lines)] + [(f"m{k}", "Released under the MIT License.") for k in range(400)]
+    got = {r["path"]: r["license"] for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {t: got[f"f{k}"] for k, t in enumerate(lines)} == lines
+    named = [("MIT-LICENSE.txt", True), ("UNLICENSE", True), ("LICENSE-MIT", True), ("Apache-2.0-LICENCE", True), ("licenses.py", True), ("relicense", False), ("src-licensed.c", True), ("a.txt", False)]
+    assert [spark.createDataFrame([(n,)], "n string").select(F.col("n").rlike(license_scan._FILE)).first()[0] for n, _ in named] == [x for _, x in named]
+
+
+def test_licences_in_long_chains_and_blank_lines(spark):
+    """Megabytes of hyphens, numbers and blank lines beside a notice: no stack, and the notice is found."""
+    mit = "Released under the MIT License."
+    files = [("a", "license " + "a-" * 2_500_000 + "\n" + mit), ("b", "copyright " + "1." * 1_000_000 + "\n" + mit), ("c", mit + "\n" * 100_000 + "All rights reserved."),
+             ("d", mit + "\n" + " \t\n" * 100_000 + "copyright"), ("e", "/* " + "* " * 500_000 + "\n" + mit), ("f", ("license text. " * 20_000) + "\n" + mit), ("g", "SPDX-License-Identifier: " + "MIT OR " * 100_000 + "MIT")]
+    got = {r["path"]: r["license"] for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {p: got[p] for p in "abcdef"} == dict.fromkeys("abcdef", "MIT") and got["g"].startswith("MIT OR MIT")
 
 
 # ---- sharding -------------------------------------------------------------------

@@ -93,6 +93,35 @@ def test_byte_encoder_equals_the_library():
         assert list(np.frombuffer(enc.encode(text), enc.width)) == lib.encode(text, add_special_tokens=False).ids, text
 
 
+def test_runs_of_texts_equal_the_library():
+    """Many texts at once: what meets at their borders, white space of all kinds, line ends, marks, nulls and special tokens."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    lib, enc = Tokenizer.from_file(BYTES), token_files.encoder(BYTES)
+    rng = np.random.default_rng(3)
+    parts = ["word", "Wörter", "the", "x1", "don't", "é", "日本", " ", " ", "  ", "\n", "\n\n", "\t", ".", ",", "!?", "\x1d", "\x00", "\u00a0", "\u3000", "<|endoftext|>", "123", "_"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(3000)] + [None, "", " ", "\n", "a.\nB c,\nd", "a\n b", "a \nb", "w" * 5000]
+    for size in (1, 37, 4000):
+        for lo in range(0, len(texts) if size > 1 else 200, size):
+            run = texts[lo : lo + size]
+            ids, n = enc.encode_run(pa.array(run, pa.string()), 2)
+            want = [e.ids + [2] for e in lib.encode_batch_fast([t or "" for t in run], add_special_tokens=False)]
+            assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert enc.encode_run(pa.array([], pa.string()), 2)[0].tolist() == []
+
+
+def test_rows_without_an_id_fill_many_files(spark):
+    docs = spark.createDataFrame([(None, f"text number {k} of many") for k in range(4000)], "doc_id long, text string")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = token_files.write_tokens(docs, BYTES, 2, token_files.shared_path(spark, "tokens")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert len(files) > 3 and sum(f["n_docs"] for f in files) == 4000 and max(f["n_docs"] for f in files) < 2000
+
+
 def test_token_files_round_trip(spark):
     from tokenizers import Tokenizer
 
@@ -282,6 +311,16 @@ def test_leaks_exact_edited_and_hot(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0 == decontaminate.contaminated(docs.limit(0), bench).count()
 
 
+def test_items_of_common_words_are_found_whole_or_not_at_all(spark):
+    rng = np.random.default_rng(9)
+    rare = [f"v{k}" for k in range(500)]
+    prose = lambda n: " ".join(w for _ in range(n) for w in (rng.choice(rare), rng.choice(["the", "of", "and"])))
+    texts = {k: prose(60) for k in range(60)} | {100: prose(9) + " the of and " + prose(9), 101: prose(9) + " the of the and " + prose(9), 102: prose(5) + " xylem " + prose(5)}
+    bench = spark.createDataFrame([(1, "the"), (2, "the of and"), (3, "The, of!"), (4, "xylem"), (5, "of of of of of of")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), bench).collect()}
+    assert got == {(100, 2): 1.0, (102, 4): 1.0}
+
+
 def test_leaks_of_long_passages(spark):
     rng = np.random.default_rng(7)
     vocabulary = [f"v{k}" for k in range(400)]
