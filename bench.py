@@ -2,7 +2,8 @@
 
 Each query runs once cold, then ``BENCH_RUNS`` warm times; its figure is the
 median warm wall time of building the plan and running it to a ``noop``
-sink (nothing is collected to the driver).  The layer files and the listing
+sink (nothing is collected to the driver).  ``rows`` tells how many rows each
+gives, so that work and speed can be told apart.  The layer files and the listing
 derived from the tables are written before, and timed apart.  Prints ONE JSON
 line.
 """
@@ -55,10 +56,12 @@ def main() -> None:
     fixture_sec = time.perf_counter() - t0
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for name in (only or HEADLINE):
         fn = qs[name]
         cold[name] = round(run_once(spark, fn, sf_dir), 3)
         times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 3)
+        rows[name] = fn(spark, sf_dir).count()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "sum_of_median_query_sec",
@@ -66,6 +69,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "cold": cold,
+        "rows": rows,
         "fixture_sec": round(fixture_sec, 3),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,

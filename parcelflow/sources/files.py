@@ -7,7 +7,6 @@ from datetime import timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.inventory import extension_is
 from ..session import arrow_file_system, scratch_path

@@ -6,7 +6,6 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow import schema as S
 from parcelflow.operators import export
 from parcelflow.plans import adapters as A
 from parcelflow.plans import catalog, fixtures
