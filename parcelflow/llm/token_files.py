@@ -48,7 +48,7 @@ from .common import arrow_bytes, pieces, release, shared_path
 
 FRAME_IDS = 1 << 17
 #: words that a worker remembers, twice, and bytes of text it encodes at once
-MEMORY, RUN = 400_000, 2 << 20
+MEMORY, RUN = 800_000, 4 << 20
 _ENDS = ".,;:!?"
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _TAIL = struct.Struct("<QQQQ")

@@ -249,6 +249,22 @@ def test_html_attribute_values_and_class_words():
     html_text.blocks(kept[-1])
 
 
+def test_html_parts_by_name_style_and_place():
+    import time
+
+    text = lambda h: html_text.blocks(f"<article><p>one</p>{h}<p>two</p></article>").content
+    for c in ("reader-comments", "commentlist", "comment_form", "adsbygoogle", "google-ad", "googleAds", "page-adverts", "comments", "main-nav", "postShare"):
+        assert text(f'<div class="{c}"><p>gone</p></div>') == ["one", "two"], c
+    for c in ("no-sidebar", "comments-open", "has-ads", "without-comments", "commentary", "adson"):
+        assert text(f'<div class="{c}"><p>kept</p></div>') == ["one", "kept", "two"], c
+    assert text('<div style="color:red; Display : none"><p>gone</p></div><span style="visibility:hidden">gone</span>') == ["one", "two"]
+    assert text('<div style="display:block" title="display:none"><p>kept</p></div>') == ["one", "kept", "two"]
+    assert text("<p>a <textarea>x</textarea>b <template><p>y</p></template>c<script>1</script> d</p>") == ["one", "a b c d", "two"]
+    t0 = time.time()
+    assert html_text.blocks("<div>" * 100_000 + "deep" + "</zz>" * 100_000).outside == [("deep", False)]
+    assert time.time() - t0 < 20
+
+
 def test_html_boilerplate_is_counted_beside_articles(spark):
     menu = "home news sport weather contact imprint now"
     page = lambda k: f"<html><body><nav>{menu}</nav><article><p>" + " ".join(f"w{k}x{j}" for j in range(30)) + f"</p></article><div>own{k} words</div></body></html>"
