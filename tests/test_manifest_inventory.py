@@ -79,14 +79,14 @@ def test_file_inventory_on_real_listing(spark, tmp_path):
         (tmp_path / rel).write_bytes(data)
     listing = list_files(spark, str(tmp_path))
     assert sorted(os.path.basename(r.path) for r in list_files(spark, str(tmp_path), ".shp").collect()) == [
-        "cadastre-01-prefixes_sections.shp", "cadastre-01-sections.SHP", "other.shp"]
+        "cadastre-01-prefixes_sections.shp", "cadastre-01-sections.SHP", "cadastre-02-parcelles.shp", "other.shp"]
     inv = inventory.classify_shapefiles(listing)
-    # Spark file scans skip zero-length files: the empty parcelles.shp is not listed
-    assert sorted(r.layer for r in inv.collect()) == ["prefixes_sections", "sections"]
+    # the empty parcelles.shp is listed too
+    assert sorted(r.layer for r in inv.collect()) == ["parcelles", "prefixes_sections", "sections"]
     assert {r.ym for r in inv.collect()} == {inv.select(F.date_format(F.current_date(), "yyyy_MM")).first()[0]}
     missing = sorted(os.path.basename(r.path) for r in inventory.missing_sidecars(listing).collect())
-    assert missing == ["cadastre-01-prefixes_sections.shp", "other.shp"]
-    assert rows(inventory.sidecar_counts(listing)) == [(3, 2)]
+    assert missing == ["cadastre-01-prefixes_sections.shp", "cadastre-02-parcelles.shp", "other.shp"]
+    assert rows(inventory.sidecar_counts(listing)) == [(4, 3)]
     (tmp_path / "d/02/other.parquet").write_bytes(b"p")
     listing2 = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
                 .select("path", "length", "modificationTime"))
