@@ -16,6 +16,8 @@ from parcelflow.session import scratch_path, ship_package
 #: Texts are handled inside a task in pieces of about this many bytes, so the
 #: working memory does not follow the Arrow batch or the longest text.
 PIECE_BYTES = 1 << 20
+#: words are hashed in segments of about this many bytes
+SEGMENT_BYTES = 1 << 17
 
 
 #: bytes of the batches in which rows go to Python and back; a longer row is a batch of its own
@@ -125,7 +127,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(21, int(n).bit_length()))
+    return _powers(1 << max(18, int(n).bit_length()))
 
 
 def _segment_words(raw: np.ndarray, first: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,14 +149,14 @@ def _segment_words(raw: np.ndarray, first: np.ndarray, space: np.ndarray) -> tup
 def words_of(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lowered) of several texts, and each text's word offsets.
 
-    ``space`` marks the bytes between words.  A run of texts is cut at spaces into segments of about a megabyte, so the
+    ``space`` marks the bytes between words.  A run of texts is cut at spaces into segments of ``SEGMENT_BYTES``, so the
     temporary arrays stay small for texts of any length.
     """
     n, hashes, starts, at = int(offsets[-1]), [], [], 0
     is_first = np.zeros(n + 1, bool)
     is_first[offsets[:-1]] = True
     while at < n:
-        to = min(n, at + PIECE_BYTES)
+        to = min(n, at + SEGMENT_BYTES)
         while to < n and not space[raw[to]] and not is_first[to]:
             nxt = np.flatnonzero(space[raw[to : min(n, to + 65536)]] | is_first[to : min(n, to + 65536)])
             to = to + int(nxt[0]) if len(nxt) else min(n, to + 65536)

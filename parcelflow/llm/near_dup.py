@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_bytes, mix, ngrams, pieces, sequence_hash, words_of, written
+from .common import arrow_bytes, mix, ngrams, pieces, release, sequence_hash, words_of, written
 from .components import components
 
 WORDS, T, ROWS, BANDS = 5, 160, 5, 32
@@ -111,6 +111,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([k if x else [] for k, x in zip(keys, some, strict=True)], pa.list_(pa.int64())),
                 pa.array([r.tobytes() if x else None for r, x in zip(s.astype(np.uint8), some, strict=True)], pa.binary()),
             ], schema=_SKETCH)
+    release()
 
 
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
