@@ -59,6 +59,16 @@ def test_curve_keeps_neighbours_together(spark):
     assert [r["k"] is None for r in odd.collect()] == [False, True, False]
 
 
+def test_curve_interleaves_all_bits_and_names_each_coordinate_a_few_times(spark):
+    at = [-(1 << 23), -70_001, -1, 0, 1, 12_345, 5_592_405, (1 << 23) - 1]
+    cells = [(x, y) for x in at for y in at]
+    got = spark.createDataFrame([(8.0 * x, 8.0 * y + 7.5) for x, y in cells], "x double, y double").select("x", "y", curve_key(F.col("x"), F.col("y")).alias("k"))
+    want = {(8.0 * x, 8.0 * y + 7.5): sum(((x + (1 << 23) >> b & 1) << 2 * b) + ((y + (1 << 23) >> b & 1) << 2 * b + 1) for b in range(24)) for x, y in cells}
+    assert {(r["x"], r["y"]): r["k"] for r in got.collect()} == want
+    plan = spark.range(1).select(F.rand(1).alias("xx"), F.rand(2).alias("yy")).select(curve_key(F.col("xx"), F.col("yy")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xx#") <= 4 and plan.count("yy#") <= 4  # once for the key, once for null, once where it is made
+
+
 def test_one_place_is_compact_in_its_files(spark, tmp_path):
     """A commune of 20,000 features on a square: each file's zone covers a small part of it."""
     at = lambda c: F.col(c).cast("float")
