@@ -12,6 +12,9 @@ from .. import schema as S
 from ..functions.codes import srid_of
 from .enrich import enrich_layer, sort_layer, split_subdivisions
 
+#: bytes of a layer's (compressed) files that a bucket takes, as a task sorts a bucket; and buckets at least
+BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 16
+
 
 def union_layers(enriched: Mapping[str, DataFrame] | list[DataFrame]) -> DataFrame:
     """Bag union by column name; a column absent from a layer reads NULL."""
@@ -94,6 +97,15 @@ def save_layer_tables(layers: Mapping[str, DataFrame], path: str, mode: str = "o
     return names
 
 
+def buckets_for(spark, paths: list[str], bucket_bytes: int | None = None) -> int:
+    """How many buckets hold the largest of the datasets ``paths`` at ``bucket_bytes`` of its files a bucket; ``LEAST_BUCKETS`` at least."""
+    size = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size = max(size, p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+    return max(LEAST_BUCKETS, -(-size // (bucket_bytes or BUCKET_BYTES)))
+
+
 def save_bucketed_tables(layers: Mapping[str, DataFrame], path: str, prefix: str, buckets: int,
                          millesime: str = S.DEFAULT_MILLESIME, compression: str = "zstd") -> list[str]:
     """Save the nine tables through the catalog as ``<prefix><table>``, below ``path``, bucketed and sorted by commune.

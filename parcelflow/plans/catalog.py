@@ -360,8 +360,9 @@ def q_layer_join(spark, sf_dir):
     for name in _BUCKETED.pop(key, []):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     prefix = f"layers_{abs(hash(key)) % 10**9}_"
-    layers = read_layers(spark, FX.layer_files(spark, sf_dir), layout="partitioned")
-    fresh_copy(spark, sf_dir, "bucketed", lambda p: _BUCKETED.__setitem__(key, unify.save_bucketed_tables(layers, p, prefix, 16)))
+    root = FX.layer_files(spark, sf_dir)
+    layers, buckets = read_layers(spark, root, layout="partitioned"), unify.buckets_for(spark, [f"{root}/layer={n}" for n in S.LAYERS])
+    fresh_copy(spark, sf_dir, "bucketed", lambda p: _BUCKETED.__setitem__(key, unify.save_bucketed_tables(layers, p, prefix, buckets)))
     return commune_counts(spark, prefix)
 
 

@@ -145,3 +145,15 @@ def test_a_hot_commune_of_a_layer_table_is_split(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
     assert max(r["count"] for r in sizes) < 10000 and sum(r["count"] for r in sizes) == 20000
+
+
+def test_buckets_grow_with_the_files_of_the_largest_layer(spark, sf, tmp_path, monkeypatch):
+    few = unify.buckets_for(spark, [spark.range(10).write.parquet(str(tmp_path / "a")) or str(tmp_path / "a")])
+    spark.range(100_000).repartition(4).write.parquet(str(tmp_path / "b"))
+    size = sum(f.stat().st_size for f in (tmp_path / "b").iterdir() if f.suffix == ".parquet")
+    many = unify.buckets_for(spark, [str(tmp_path / "a"), str(tmp_path / "b")], 10_000)
+    assert few == 16 and size // 10_000 <= many <= size // 10_000 + 2
+    want = rows(catalog.queries()["layer_join"](spark, sf))
+    monkeypatch.setattr(unify, "BUCKET_BYTES", 4_000)
+    wide = catalog.queries()["layer_join"](spark, sf)
+    assert rows(wide) == want and " out of 16" not in wide._jdf.queryExecution().toString()
