@@ -157,3 +157,20 @@ def test_buckets_grow_with_the_files_of_the_largest_layer(spark, sf, tmp_path, m
     monkeypatch.setattr(unify, "BUCKET_BYTES", 4_000)
     wide = catalog.queries()["layer_join"](spark, sf)
     assert rows(wide) == want and " out of 16" not in wide._jdf.queryExecution().toString()
+
+
+def test_order_checks_tell_files_apart_without_their_paths(spark, tmp_path):
+    for k, values in enumerate(([1, 3, 2, 4], [5, 4], [9])):
+        spark.createDataFrame([("p", v) for v in values], "part string, v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "d" / f"k={k}"))
+    d = spark.read.parquet(str(tmp_path / "d"))
+    got = catalog.out_of_order(d, [F.col("v")])
+    assert [tuple(r) for r in got.collect()] == [("p", 7, 2)]
+    assert "xxhash64(" in got._jdf.queryExecution().optimizedPlan().toString()
+    for k, (a, b) in enumerate([(1, 4), (3, 9), (9, 9)]):
+        spark.createDataFrame([(v,) for v in (a, 100, b)], "v int").coalesce(1).write.parquet(str(tmp_path / f"n{k}"))
+        part = next(f for f in (tmp_path / f"n{k}").iterdir() if f.suffix == ".parquet")
+        (tmp_path / "e").mkdir(exist_ok=True)
+        (tmp_path / "e" / f"part-{k}.parquet").write_bytes(part.read_bytes())
+    between = catalog.out_of_order_between(spark.read.parquet(str(tmp_path / "e")), [F.col("v")])
+    assert [tuple(r) for r in between.collect()] == [(1,)]
+    assert "Join" in between._jdf.queryExecution().optimizedPlan().toString()
