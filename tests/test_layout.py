@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.grid import curve_key
 from parcelflow.operators import export, extract, unify
-from parcelflow.plans import catalog
+from parcelflow import schema
+from parcelflow.plans import catalog, fixtures
 from parcelflow.sources.layers import read_published
 from conftest import rows
 
@@ -174,3 +175,13 @@ def test_order_checks_tell_files_apart_without_their_paths(spark, tmp_path):
     between = catalog.out_of_order_between(spark.read.parquet(str(tmp_path / "e")), [F.col("v")])
     assert [tuple(r) for r in between.collect()] == [(1,)]
     assert "Join" in between._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_layer_files_are_written_layer_by_layer(spark, sf):
+    root = fixtures.layer_files(spark, sf).removeprefix("file:")
+    for name in schema.LAYERS:
+        want = catalog.A.layer(spark, sf, name, with_geometry=True)
+        file = next(f for f in os.listdir(f"{root}/layer={name}") if f.endswith(".parquet"))
+        assert pq.read_schema(f"{root}/layer={name}/{file}").names == want.columns  # not those of all layers
+        back = spark.read.schema(want.schema).parquet(f"{root}/layer={name}")
+        assert back.exceptAll(want).isEmpty() and want.exceptAll(back).isEmpty()
