@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.functions.grid import curve_key
+from parcelflow.functions.grid import curve_key, with_curve_key
 from parcelflow.operators import export, extract, unify
 from parcelflow import schema
 from parcelflow.plans import catalog, fixtures
@@ -70,6 +70,18 @@ def test_curve_interleaves_all_bits_and_names_each_coordinate_a_few_times(spark)
     assert plan.count("xx#") <= 4 and plan.count("yy#") <= 4  # once for the key, once for null, once where it is made
 
 
+def test_staged_curve_key_equals_the_expression(spark):
+    """Cells of all bits, both sides of zero, beyond the plane, null and not a number; no step is repeated in the plan."""
+    at = [8.0 * c + 3 for c in (-(1 << 23), -70_001, -1, 0, 1, 12_345, 5_592_405, (1 << 23) - 1)] + [1e12, -1e12, None]
+    d = spark.createDataFrame([(x, y) for x in at for y in at], "x double, y double")
+    got = with_curve_key(d, "k", F.col("x"), F.col("y"))
+    assert got.columns == ["x", "y", "k"]
+    assert got.where(~F.col("k").eqNullSafe(curve_key(F.col("x"), F.col("y")))).count() == 0 and got.where("k IS NULL").count() == 21
+    feats = catalog.unified(spark, "/root/testdata/sf0.001")
+    plan = export._with_sort_keys(export.assign_lots(feats), True)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" not in plan and len(plan) < 5 * len(feats._jdf.queryExecution().optimizedPlan().toString())
+
+
 def test_one_place_is_compact_in_its_files(spark, tmp_path):
     """A commune of 20,000 features on a square: each file's zone covers a small part of it."""
     at = lambda c: F.col(c).cast("float")
