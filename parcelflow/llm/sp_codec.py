@@ -29,12 +29,14 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import release
+
 SPACE = "▁"
 #: letters, one digit, or a run of anything else, each with the spaces before it
 _FINE = re.compile(SPACE + r"*(?:[^\W\d_²³¹¼½¾]+|\d|(?:[^\w" + SPACE + r"]|[_²³¹¼½¾])+)|" + SPACE + "+")
 _COARSE = re.compile(SPACE + "*[^" + SPACE + "]+|" + SPACE + "+")
-#: chunks and pairs that a worker remembers
-MEMORY = 400_000
+#: chunks, words and pairs that a worker remembers; it keeps them for its next task, beside what other stages need there
+MEMORY = 100_000
 
 
 class Codec:
@@ -297,6 +299,7 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
         for b in batches:
             rows = [c.digest(t) for t in b["t"]]
             yield pd.DataFrame({"k": b["k"], "n_tokens": [r[0] for r in rows], "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]})
+        release()
 
     d = docs.select(docs[key].alias("k"), docs[text].alias("t"))
     kind = d.schema["k"].dataType.simpleString()

@@ -61,6 +61,18 @@ def test_decoded_text_comes_from_the_ids(library):
         assert got[2] == hashlib.sha256(library.decode(ids).encode()).hexdigest() != hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_a_worker_remembers_few_words(library):
+    """What a worker keeps for its next task is bounded, however many distinct words it met."""
+    codec = sp_codec.Codec(PIECES)
+    letters = "etaoinshrdlucmfw"
+    text = " ".join("".join(letters[k >> s & 15] for s in (0, 4, 8, 12, 16)) for k in range(300_000))
+    n, _, back = codec.digest(text)
+    assert n > 300_000 and back == hashlib.sha256(text.encode()).hexdigest()
+    for held in (codec._words, codec._chunks):
+        assert len(held) + len(held.older) < 250_000
+    assert len(codec._fits) <= 100_000
+
+
 def test_pair_check_equals_merging_anew():
     codec, rng = sp_codec.codec(PIECES), np.random.default_rng(1)
     known = sorted(codec.shorter)
