@@ -1,6 +1,7 @@
 """Order of the fused export, the zone table and what extents read."""
 
 import os
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -197,3 +198,28 @@ def test_layer_files_are_written_layer_by_layer(spark, sf):
         assert pq.read_schema(f"{root}/layer={name}/{file}").names == want.columns  # not those of all layers
         back = spark.read.schema(want.schema).parquet(f"{root}/layer={name}")
         assert back.exceptAll(want).isEmpty() and want.exceptAll(back).isEmpty()
+
+
+def test_export_takes_tasks_by_the_size_of_its_files(spark, sf, tmp_path, monkeypatch):
+    feats = catalog.unified(spark, sf)
+    plain = export.export_sorted(feats, str(tmp_path / "plain"))
+    monkeypatch.setattr(export, "SORT_BYTES", 10_000)
+    path = export.export_sorted(feats, str(tmp_path / "many"))
+    files = export.ordered_files(spark, path)
+    assert len({f.rsplit("part-", 1)[1][:5] for _, f, _ in files}) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [_key(r) for lot, f, _ in files for r in pq.ParquetFile(f.removeprefix("file:")).read(columns=KEYS[1:]).append_column("lot", [[lot] * pq.read_metadata(f.removeprefix("file:")).num_rows]).to_pylist()]
+    assert keys == sorted(keys) and len(keys) > 0
+    a, b = read_published(spark, plain), read_published(spark, path)
+    assert a.count() == len(keys) and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_layers_are_written_beside_each_other(spark):
+    both = threading.Barrier(2)  # each write waits for the other
+    fixtures._at_once(spark, lambda name: both.wait(timeout=30), ("communes", "sections"))
+
+    def fails(name):
+        raise ValueError(name)
+
+    with pytest.raises(ValueError, match="sections"):
+        fixtures._at_once(spark, fails, ("sections",))
+    fixtures._at_once(spark, fails, ())
