@@ -213,6 +213,27 @@ def test_export_takes_tasks_by_the_size_of_its_files(spark, sf, tmp_path, monkey
     assert a.count() == len(keys) and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_export_key_orders_as_its_parts_in_one_string(spark):
+    said = [None, "", "\x00", "\x00\x00", "\x01", "\x01\x01", "\x02", "0", "0\x00", "0\x01", "00", "5", "59", "59\x00a", "59\x01", "é", "\uffff", "\U0001f600"]
+    parts = [(d, c, t, s) for d in said for c in said for t in ("a", None) for s in ("", None, "\x00")]
+    order = lambda r: tuple((v is None, (v or "").encode()) for v in r)
+    d = spark.createDataFrame(parts, "d string, c string, t string, s string").repartition(3)
+    got = d.orderBy(export._as_one(*(F.col(x) for x in "dcts"))).collect()
+    assert [order(r) for r in got] == sorted(order(r) for r in parts)
+
+
+def test_export_compares_one_string_and_sorts_once(spark, sf, tmp_path):
+    feats = catalog.unified(spark, sf)
+    keyed, keys = export._with_sort_keys(export.assign_lots(feats), True)
+    assert [k for k in keyed.columns if k not in (*feats.columns, "lot")] == ["_key", "_curve", "_tb"] and len(keys) == 3
+    places = [r[0] for r in keyed.where("lot is not null").groupBy("lot").agg(F.min("_key").alias("k")).orderBy("k").collect()]
+    assert places == sorted(places) and len(places) == len(schema.LOT_NAMES)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with export._writers(spark, 9):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "9"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
 def test_layers_are_written_beside_each_other(spark):
     both = threading.Barrier(2)  # each write waits for the other
     fixtures._at_once(spark, lambda name: both.wait(timeout=30), ("communes", "sections"))
