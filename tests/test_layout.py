@@ -11,6 +11,7 @@ from parcelflow.functions.grid import curve_key, with_curve_key
 from parcelflow.operators import export, extract, unify
 from parcelflow import schema
 from parcelflow.plans import catalog, fixtures
+from parcelflow.session import shared_dir
 from parcelflow.sources.layers import read_published
 from conftest import rows
 
@@ -244,3 +245,52 @@ def test_layers_are_written_beside_each_other(spark):
     with pytest.raises(ValueError, match="sections"):
         fixtures._at_once(spark, fails, ("sections",))
     fixtures._at_once(spark, fails, ())
+
+
+def _shuffled(spark) -> int:
+    """Files of shuffles in the local folders of the session's executors (here the driver)."""
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    return sum(f.startswith("shuffle_") for d in dirs for _, _, names in os.walk(d) for f in names)
+
+
+def test_a_large_export_goes_batch_by_batch_and_leaves_only_its_files(spark, sf, tmp_path, monkeypatch):
+    feats = catalog.unified(spark, sf)
+    plain = read_published(spark, export.export_sorted(feats, str(tmp_path / "plain")))
+    monkeypatch.setattr(export, "STAGED_BYTES", 1)
+    shared, before = shared_dir(spark).removeprefix("file:"), _shuffled(spark)
+    path = export.export_sorted(feats, str(tmp_path / "staged"))
+    assert _shuffled(spark) <= before + 8  # those of the zone table, one task a file at most; none of the rows
+    assert not [n for n in os.listdir(shared) if n.startswith("export-batches")]
+    staged = read_published(spark, path)
+    assert plain.count() > 0 and plain.exceptAll(staged).count() == 0 and staged.exceptAll(plain).count() == 0
+    keys = [_key({**r, "lot": lot}) for lot, f, _ in export.ordered_files(spark, path) for r in pq.ParquetFile(f.removeprefix("file:")).read(columns=KEYS[1:]).to_pylist()]
+    assert keys == sorted(keys) and len(keys) == plain.count()
+    zones = {tuple(r) for r in export.read_zones(spark, path).groupBy("lot", "geom_srid").agg(F.sum("n")).collect()}
+    assert zones == {tuple(r) for r in export.read_zones(spark, str(tmp_path / "plain")).groupBy("lot", "geom_srid").agg(F.sum("n")).collect()}
+    # again over it, twice, some batches only, and from features that hold their batch
+    export.export_sorted(feats, path)
+    assert read_published(spark, path).count() == plain.count()
+    export.export_sorted(feats, path, mode="append")
+    assert read_published(spark, path).count() == 2 * plain.count()
+    export.export_sorted(feats, path, lots=["01_10", "2A_2B"])
+    n = {r["lot"]: r["count"] for r in plain.groupBy("lot").count().collect()}
+    assert {r["lot"]: r["count"] for r in read_published(spark, path).groupBy("lot").count().collect()} == {k: v * (1 if k in ("01_10", "2A_2B") else 2) for k, v in n.items()}
+    export.export_sorted(plain, str(tmp_path / "batched"), batched=True)
+    batched = read_published(spark, str(tmp_path / "batched"))
+    assert plain.exceptAll(batched).count() == 0 and batched.exceptAll(plain).count() == 0
+    none = export.export_sorted(feats.where("departement = 'none'"), str(tmp_path / "none"))
+    assert not [d for d in os.listdir(none) if d.startswith("lot=")] if os.path.exists(none) else True
+
+
+def test_extents_shuffle_no_whole_rows(spark, small_files):
+    windows = spark.createDataFrame([(i, 100.0 * i + 30, 130.0, 100.0 * i + 150, 460.0, 2154) for i in range(6)], "extent_id bigint, xmin double, ymin double, xmax double, ymax double, srid int")
+    got = extract.read_many_extents(spark, small_files, windows)
+    want = extract.extract_many_extents(read_published(spark, small_files), windows).select(got.columns)
+    assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan
+    physical = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    for k, line in enumerate(physical):  # what goes into an exchange holds no geometry
+        if "Exchange hashpartitioning" in line:
+            below = next(x for x in physical[k + 1:] if "Project" in x or "Scan" in x)
+            assert "geometry#" not in below.split("[", 1)[1]
